@@ -1,0 +1,60 @@
+"""Refreshing result tables in full."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from txrisk.plans.gold import customer_risk_summary, daily_kpis, merchant_risk_summary
+from txrisk.session import pin_utc
+
+
+@dataclass(frozen=True)
+class View:
+    """A result table: what it holds, and the query over the clean table for it."""
+
+    comment: str
+    query: Callable[[DataFrame], DataFrame]
+
+
+GOLD_VIEWS = {
+    "customer_risk_summary": View("Risk summary per customer", customer_risk_summary),
+    "merchant_risk_summary": View("Risk summary per merchant", merchant_risk_summary),
+    "daily_kpis": View("Daily transaction and risk figures", daily_kpis),
+}
+
+
+def refresh_view(
+    df: DataFrame, table: str, comment: str = "", path: str | None = None, format: str = "parquet"
+) -> None:
+    """Replace the table with the query's full result.
+
+    ``df`` must not read the table itself; use :func:`txrisk.plans.incremental`
+    for results built on their own last state.
+    """
+    writer = df.write.format(format).mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    if comment:
+        quoted = comment.replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
+
+
+def refresh_gold(
+    spark: SparkSession,
+    clean_table: str,
+    names: dict[str, str] | None = None,
+    root: str | None = None,
+    views: dict[str, View] = GOLD_VIEWS,
+) -> None:
+    """Refresh every view from the clean table.
+
+    ``names`` maps a view to its table's name; files go under ``root`` if given.
+    """
+    silver = pin_utc(spark).read.table(clean_table)
+    for view, spec in views.items():
+        path = f"{root}/{view}" if root else None
+        refresh_view(spec.query(silver), (names or {}).get(view, view), spec.comment, path)
