@@ -8,7 +8,9 @@ duplicates and faults a real one has. It never leaves an event out. Works on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions.risk import is_suspicious, only_remote, risk_score, risk_signals
@@ -46,65 +48,71 @@ BROKEN_TEXT = '{"event_id": bad'
 # ------------------------------------------------------------------------------
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = pin_utc(spark).readStream.schema(EVENTS_DDL)
-    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Give every core a share where the scan has fewer splits than there are cores.
 
+    Writing and reading JSON takes far longer than moving the few columns it is
+    made from. A table of any size has splits enough and is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
 
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scan = _scan(spark, sf_dir)
+    return _spread(scan, scan)
 
-def _copies() -> Column:
-    """Which messages an event causes, its own first one always among them."""
-    event = F.col("event_id")
-    again, negated = event % 50 == 0, event % 97 == 0
-    return F.array_compact(
-        F.array(
-            F.lit(FIRST),
-            F.when(again, REDELIVERED),
-            F.when(negated & ~again, CORRECTED),
-            F.when(event % 200 == 7, BROKEN),
-        )
-    )
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reader = pin_utc(spark).readStream.schema(EVENTS_DDL)
+    stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return _spread(stream, _scan(spark, sf_dir))
+
+
+def _sql_list(values: Iterable[object]) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+# One message per copy; an event's own first message is always among them.
+_COPIES = f"""explode(array_compact(array(
+    {FIRST},
+    if(event_id % 50 = 0, {REDELIVERED}, NULL),
+    if(event_id % 97 = 0 AND event_id % 50 <> 0, {CORRECTED}, NULL),
+    if(event_id % 200 = 7, {BROKEN}, NULL)
+))) AS copy"""
+
+_TRANSACTION = f"""
+    CAST(event_id AS STRING) AS event_id;
+    CASE WHEN event_id % 101 <> 0 THEN concat('txn-', event_id) END AS transaction_id;
+    user_id AS customer_id;
+    user_id * 10 + event_id % 3 AS card_id;
+    k AS merchant_id;
+    concat('Merchant#', k) AS merchant_name;
+    element_at(array({_sql_list(CATEGORIES)}), CAST(k % 9 AS INT) + 1) AS merchant_category;
+    CASE WHEN event_id % 97 = 0 AND copy <> {CORRECTED} THEN -1 ELSE 1 END * round(value * 10, 2)
+      AS amount;
+    'USD' AS currency;
+    element_at(array({_sql_list(COUNTRIES)}), CAST((event_id * 7 + user_id) % 10 AS INT) + 1)
+      AS country;
+    concat('City#', user_id % 20) AS city;
+    map({_sql_list(x for pair in CHANNELS.items() for x in pair)})[event_type] AS channel;
+    concat('dev-', event_id) AS device_id;
+    '10.0.0.1' AS ip_address;
+    CAST(ts AS TIMESTAMP) AS event_ts;
+    copy;
+    event_id + CAST(copy AS BIGINT) * {OFFSET_STEP} AS offset
+"""
 
 
 def transactions(events: DataFrame) -> DataFrame:
-    """One transaction per event, with ``event_ts`` still a timestamp and a
-    ``copy`` column telling which message of the event it is."""
-    event, user, k = F.col("event_id"), F.col("user_id"), F.col("k")
-    amount = F.round(F.col("value") * 10, 2)
-    channel = F.create_map(*[F.lit(x) for pair in CHANNELS.items() for x in pair])
-    plain = events.withColumns(
-        {
-            "k": F.get_json_object("props", "$.k").cast("bigint"),
-            "copy": F.explode(_copies()),
-        }
-    ).select(
-        event.cast("string").alias("event_id"),
-        F.when(event % 101 != 0, F.concat(F.lit("txn-"), event)).alias("transaction_id"),
-        user.alias("customer_id"),
-        (user * 10 + event % 3).alias("card_id"),
-        k.alias("merchant_id"),
-        F.concat(F.lit("Merchant#"), k).alias("merchant_name"),
-        _pick(CATEGORIES, k % 9).alias("merchant_category"),
-        F.when((event % 97 == 0) & (F.col("copy") != CORRECTED), -amount)
-        .otherwise(amount)
-        .alias("amount"),
-        F.lit("USD").alias("currency"),
-        _pick(COUNTRIES, (event * 7 + user) % 10).alias("country"),
-        F.concat(F.lit("City#"), user % 20).alias("city"),
-        F.element_at(channel, F.col("event_type")).alias("channel"),
-        F.concat(F.lit("dev-"), event).alias("device_id"),
-        F.lit("10.0.0.1").alias("ip_address"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        "copy",
-        (event + F.col("copy").cast("bigint") * OFFSET_STEP).alias("offset"),
-    )
+    """One transaction per message, with ``event_ts`` still a timestamp and a
+    ``copy`` column telling which message of its event it is."""
+    keyed = events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+    plain = keyed.selectExpr("*", _COPIES).selectExpr(*_TRANSACTION.split(";"))
     return plain.withColumns(
         {"device_id": only_remote("device_id"), "ip_address": only_remote("ip_address")}
     )

@@ -26,6 +26,7 @@ from txrisk.plans.silver import clean
 from txrisk.plans.views import GOLD_VIEWS, refresh_view
 from txrisk.session import scratch_path
 from txrisk.sources.messages import encode_messages
+from txrisk.sources.tables import read_table
 from txrisk.streaming.hops import catch_up, export, ingest, refine
 from txrisk.streaming.sinks import replace_batch_in
 
@@ -163,61 +164,63 @@ def message_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(back.withColumn("event_ts", F.try_to_timestamp("event_ts")))
 
 
-# --- Increments ---------------------------------------------------------------
+# --- Tables and increments ----------------------------------------------------
 
 
-def _before_split(silver: DataFrame) -> DataFrame:
-    return customer_activity(silver.filter(F.col("event_ts") < SPLIT)).withColumn(
-        "dbt_processed_ts", F.current_timestamp()
-    )
-
-
-def incremental_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
-    return comparable(increment(silver, _before_split(silver), "replace"))
+def _table_name(name: str) -> str:
+    return f"txrisk_{name}_{uuid.uuid4().hex[:12]}"
 
 
-def incremental_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
-    return comparable(increment(silver, _before_split(silver), "recompute"))
+def _saved(df: DataFrame, name: str) -> str:
+    table = _table_name(name)
+    refresh_view(df, table, path=scratch_path(df.sparkSession, name))
+    return table
 
 
-def high_water_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
-    newer = newer_rows(silver, _before_split(silver))
-    return comparable(newer.select("event_id", "customer_id", "amount", "event_ts"))
+def _silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _saved(_silver(spark, sf_dir), "clean"))
 
 
-# --- Tables and streams -------------------------------------------------------
+def _before_split(silver: DataFrame) -> DataFrame:
+    return increment(silver.filter(F.col("event_ts") < SPLIT), None)
 
 
-def _table_name(name: str) -> str:
-    return f"txrisk_{name}_{uuid.uuid4().hex[:12]}"
+def incremental_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = _silver_table(spark, sf_dir)
+    return comparable(increment(silver, _before_split(silver), "replace"))
 
 
-def _saved(df: DataFrame, name: str) -> str:
-    table = _table_name(name)
-    refresh_view(df, table, path=scratch_path(df.sparkSession, name))
-    return table
+def incremental_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = _silver_table(spark, sf_dir)
+    return comparable(increment(silver, _before_split(silver), "recompute"))
 
 
 def incremental_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table behind a view, brought up to date twice: with the rows up to the
     split, then with all of them."""
-    silver = _silver(spark, sf_dir)
-    source, target = _table_name("clean"), _table_name("activity")
-    path = scratch_path(spark, "clean")
+    silver = _silver_table(spark, sf_dir)
+    source, target = _table_name("arriving"), _table_name("activity")
+    path, root = scratch_path(spark, "arriving"), scratch_path(spark, "activity")
     refresh_view(silver.filter(F.col("event_ts") < SPLIT), source, path=path)
-    apply_increment(spark, source, target, "recompute", root=scratch_path(spark, "activity"))
+    apply_increment(spark, source, target, "recompute", root=root)
     later = silver.filter(F.col("event_ts") >= SPLIT)
     later.write.format("parquet").mode("append").option("path", path).saveAsTable(source)
-    apply_increment(spark, source, target, "recompute", root=scratch_path(spark, "activity"))
-    return comparable(spark.read.table(target))
+    apply_increment(spark, source, target, "recompute", root=root)
+    return comparable(read_table(spark, target))
+
+
+def high_water_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = _silver_table(spark, sf_dir)
+    newer = newer_rows(silver, _before_split(silver))
+    return comparable(newer.select("event_id", "customer_id", "amount", "event_ts"))
 
 
 def view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = GOLD_VIEWS["customer_risk_summary"]
-    return comparable(spark.read.table(_saved(spec.query(_silver(spark, sf_dir)), "view")))
+    return comparable(read_table(spark, _saved(spec.query(_silver(spark, sf_dir)), "view")))
+
+
+# --- Streams ------------------------------------------------------------------
 
 
 def _streamed_silver(spark: SparkSession, sf_dir: str, **cleaning: object) -> str:
@@ -244,17 +247,17 @@ def _streamed_silver(spark: SparkSession, sf_dir: str, **cleaning: object) -> st
 
 
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(spark.read.table(_streamed_silver(spark, sf_dir)))
+    return comparable(read_table(spark, _streamed_silver(spark, sf_dir)))
 
 
 def silver_stream_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _streamed_silver(spark, sf_dir, rules_at="after_dedup")
-    return comparable(spark.read.table(table))
+    return comparable(read_table(spark, table))
 
 
 def silver_stream_within_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _streamed_silver(spark, sf_dir, retention="within_watermark")
-    return comparable(spark.read.table(table))
+    return comparable(read_table(spark, table))
 
 
 def export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +283,7 @@ def gold_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
         root=scratch_path(spark, "catch-up"),
         gold_names=names,
     )
-    return comparable(spark.read.table(names["daily_kpis"]))
+    return comparable(read_table(spark, names["daily_kpis"]))
 
 
 QUERIES: dict[str, Query] = {
