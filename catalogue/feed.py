@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.functions.risk import is_suspicious, only_remote, risk_score, risk_signals
+from txrisk.operators.score import hide_unless_remote, score
 from txrisk.session import pin_utc
 from txrisk.sources.messages import as_json
 
@@ -49,7 +49,7 @@ BROKEN_TEXT = '{"event_id": bad'
 
 
 def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return pin_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
 def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
@@ -113,23 +113,12 @@ def transactions(events: DataFrame) -> DataFrame:
     ``copy`` column telling which message of its event it is."""
     keyed = events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
     plain = keyed.selectExpr("*", _COPIES).selectExpr(*_TRANSACTION.split(";"))
-    return plain.withColumns(
-        {"device_id": only_remote("device_id"), "ip_address": only_remote("ip_address")}
-    )
-
-
-def scored(df: DataFrame) -> DataFrame:
-    """Add the risk signals, their count and the suspicion flag."""
-    return (
-        df.withColumn("risk_signals", risk_signals())
-        .withColumn("risk_score_hint", risk_score())
-        .withColumn("is_suspicious_hint", is_suspicious())
-    )
+    return hide_unless_remote(plain, "device_id", "ip_address")
 
 
 def payload(events: DataFrame) -> DataFrame:
     """The transactions with every payload field, plus ``copy`` and ``offset``."""
-    return scored(transactions(events)).withColumns(
+    return score(transactions(events)).withColumns(
         {"producer_app": F.lit("fixture"), "schema_version": F.lit("1.0")}
     )
 

@@ -23,7 +23,7 @@ from txrisk.operators.rules import expect_or_drop, rule_counts
 from txrisk.plans import gold
 from txrisk.plans.incremental import apply_increment, customer_activity, increment
 from txrisk.plans.silver import clean
-from txrisk.plans.views import GOLD_VIEWS, refresh_view
+from txrisk.plans.tables import TABLES, refresh_view
 from txrisk.session import scratch_path
 from txrisk.sources.messages import encode_messages
 from txrisk.sources.tables import read_table
@@ -216,8 +216,8 @@ def high_water_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = GOLD_VIEWS["customer_risk_summary"]
-    return comparable(read_table(spark, _saved(spec.query(_silver(spark, sf_dir)), "view")))
+    result = TABLES["customer_risk_summary"].query(_silver(spark, sf_dir))
+    return comparable(read_table(spark, _saved(result, "view")))
 
 
 # --- Streams ------------------------------------------------------------------
@@ -273,16 +273,10 @@ def export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All hops and summaries in one go; the daily figures at the end of it."""
-    names = {view: _table_name(view) for view in GOLD_VIEWS}
-    catch_up(
-        spark,
-        feed.messages(feed.stream_events(spark, sf_dir)),
-        raw_table=_table_name("raw"),
-        clean_table=_table_name("clean"),
-        root=scratch_path(spark, "catch-up"),
-        gold_names=names,
-    )
+    """All declared tables in one go; the daily figures at the end of it."""
+    names = {name: _table_name(name) for name in TABLES}
+    messages = feed.messages(feed.stream_events(spark, sf_dir))
+    catch_up(spark, messages, scratch_path(spark, "catch-up"), names)
     return comparable(read_table(spark, names["daily_kpis"]))
 
 

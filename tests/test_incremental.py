@@ -76,6 +76,8 @@ def test_recompute_covers_the_history_of_changed_customers(spark):
     assert (1, 3, 130.0, 43.33, 100.0, 2, 3, 2) in figures(got)
     assert FIRST[1] in figures(got)  # late row waits for a newer one
     assert (4, 1, 2.5, 2.5, 2.5, 0, 1, 1) in figures(got)
+    assert [r for r in figures(got) if r[0] is None] == [(None, 2, 4.0, 2.0, 3.0, 2, 2, 1)]
+    assert len(figures(got)) == 5
 
 
 def test_recompute_equals_a_full_run_when_rows_come_in_order(spark):
@@ -139,6 +141,24 @@ def test_apply_increment_switches_a_view(spark, table):
     assert first not in names
 
 
+def test_bucketed_targets_are_not_shuffled_again(spark, table):
+    source = f"{table}_clean"
+    silver(spark, DAY1).write.saveAsTable(source)
+    apply_increment(spark, source, table, buckets=4)
+    silver(spark, DAY2).write.mode("append").saveAsTable(source)
+    merged = increment(spark.read.table(source), spark.read.table(table), "replace")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin") :]
+    target_side = join[: join.index("Bucketed: true")]
+    assert "Exchange" not in target_side
+    apply_increment(spark, source, table, "recompute", buckets=4)
+    assert (1, 3, 130.0, 43.33, 100.0, 2, 3, 2) in figures(spark.read.table(table))
+
+
 def test_a_failed_increment_leaves_the_old_state(spark, table):
     source = f"{table}_clean"
     silver(spark, DAY1).write.saveAsTable(source)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue import feed
-from txrisk.plans.views import refresh_gold, refresh_view
+from txrisk.operators.bronze import to_bronze
+from txrisk.plans.silver import clean
+from txrisk.plans.tables import TABLES, refresh_view, refresh_views
 from txrisk.session import scratch_path
 from txrisk.sources.tables import read_envelope_files, read_stream_table
 from txrisk.streaming.hops import catch_up, export, ingest, refine
@@ -77,15 +79,17 @@ def test_catch_up_twice_takes_only_what_is_new(spark, table):
     landing = f"{root}/landing"
     events = feed.messages(feed.read_events(spark, SF_DIR))
     half = F.col("timestamp") < "2024-01-16"
-    names = {v: f"{table}_{v}" for v in ("customer_risk_summary", "merchant_risk_summary", "daily_kpis")}
+    names = {name: f"{table}_{name}" for name in TABLES}
     counts = []
     for part in (events.filter(half), events.filter(~half)):
         part.write.mode("append").parquet(landing)
-        catch_up(spark, read_envelope_files(spark, landing), f"{table}_raw", table, root, names)
-        counts.append(spark.read.table(table).count())
+        catch_up(spark, read_envelope_files(spark, landing), root, names)
+        counts.append(spark.read.table(names["transactions_clean"]).count())
         days = spark.read.table(names["daily_kpis"])
         assert days.agg(F.sum("transaction_count")).first()[0] == counts[-1]
     assert 0 < counts[0] < counts[1]
+    for name, spec in TABLES.items():
+        assert spark.catalog.getTable(names[name]).description == spec.comment
 
 
 def test_refresh_replaces_and_describes(spark, table):
@@ -95,14 +99,12 @@ def test_refresh_replaces_and_describes(spark, table):
     assert spark.catalog.getTable(table).description == "It's a view"
 
 
-def test_refresh_gold_uses_default_names(spark, table, tmp_path):
-    from txrisk.operators.bronze import to_bronze
-    from txrisk.plans.silver import clean
-
-    clean(to_bronze(feed.messages(feed.read_events(spark, SF_DIR)))).write.saveAsTable(table)
-    refresh_gold(spark, table)
-    for view in ("customer_risk_summary", "merchant_risk_summary", "daily_kpis"):
-        assert spark.read.table(view).count() > 0
+def test_views_refresh_under_their_declared_names(spark):
+    clean(to_bronze(feed.messages(feed.read_events(spark, SF_DIR)))).write.saveAsTable("transactions_clean")
+    refresh_views(spark)
+    for name, spec in TABLES.items():
+        if spec.kind == "view":
+            assert spark.read.table(name).count() > 0
 
 
 def test_scratch_paths_are_shared_and_fresh(spark):

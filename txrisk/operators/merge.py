@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.scalars import high_water
 
 
-def newer_rows(
-    df: DataFrame, target: DataFrame | None, ts: str = "event_ts", target_ts: str = "last_event_ts"
-) -> DataFrame:
-    """Rows strictly newer than anything in the target; all rows without a target.
+def is_newer(ts: str, target: DataFrame, target_ts: str = "last_event_ts") -> Column:
+    """Whether a time is strictly above everything in the target.
 
     The mark is one value for the whole target, taken by a scalar subquery that
     Spark evaluates first and then hands to the scan as a plain bound.
     """
-    if target is None:
-        return df
-    return df.filter(F.col(ts) > target.select(high_water(target_ts)).scalar())
+    return F.col(ts) > target.select(high_water(target_ts)).scalar()
+
+
+def newer_rows(
+    df: DataFrame, target: DataFrame | None, ts: str = "event_ts", target_ts: str = "last_event_ts"
+) -> DataFrame:
+    """Rows strictly newer than anything in the target; all rows without a target."""
+    return df if target is None else df.filter(is_newer(ts, target, target_ts))
 
 
 def merge_by_key(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target rows with a changed key give way to the changed row.
 
-    A null key matches nothing, so null-keyed rows pile up from both sides.
+    A null key matches nothing, so null-keyed rows pile up from both sides. Both
+    sides hold a key once, and one outer join takes the changes once: leaving
+    changed keys out and adding the changes would compute them twice.
     """
-    kept = target.join(changes.select(key), key, "left_anti")
-    return kept.select(target.columns).unionByName(changes)
+    old, new = target.alias("old"), changes.withColumn("_new", F.lit(True)).alias("new")
+    both = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    return both.select(
+        *[
+            F.when(F.col("new._new"), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
+            for name in target.columns
+        ]
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions import measures as m
-from txrisk.operators.merge import merge_by_key, newer_rows
+from txrisk.operators.merge import is_newer, merge_by_key, newer_rows
 from txrisk.plans.gold import summarise
 from txrisk.session import pin_utc
 
@@ -65,18 +65,21 @@ def increment(silver: DataFrame, target: DataFrame | None, mode: Mode = "replace
 
     ``replace`` summarises only rows newer than the target's newest, and puts
     that in place of what the customer had: cheap, but a customer's figures then
-    cover the last increment only. ``recompute`` gives those customers the
-    figures of their whole history. It needs no join back to the transactions:
-    a customer has newer rows exactly when their newest row is newer, which the
-    summary itself tells. Either way late rows of other customers wait until the
-    customer's next newer row.
+    cover the last increment only, and rows without a customer pile up.
+    ``recompute`` gives those customers the figures of their whole history. It
+    needs no join back to the transactions: a customer has newer rows exactly
+    when their newest row is newer, which the summary itself tells. Rows without
+    a customer are always recomputed. Either way late rows of other customers
+    wait until the customer's next newer row.
     """
     if target is None:
         return _stamped(customer_activity(silver))
     if mode == "replace":
         changes = customer_activity(newer_rows(silver, target))
     elif mode == "recompute":
-        changes = newer_rows(customer_activity(silver), target, ts="last_event_ts")
+        anonymous = F.col(KEY).isNull()
+        changes = customer_activity(silver).filter(is_newer("last_event_ts", target) | anonymous)
+        target = target.filter(~anonymous)
     else:
         raise ValueError(f"mode must be replace or recompute, not {mode!r}")
     return merge_by_key(target, _stamped(changes), KEY)
@@ -94,6 +97,7 @@ def apply_increment(
     format: str = "parquet",
     root: str | None = None,
     keep: int = 2,
+    buckets: int | None = None,
 ) -> str:
     """Bring ``target`` up to date and return the table now behind it.
 
@@ -103,7 +107,8 @@ def apply_increment(
     that fails on the way leaves the old one in place. The newest ``keep`` tables
     stay, so that readers which began on the one before can finish. Runs on one
     target must not overlap. Files go under ``root`` if given; a dropped table's
-    files there are left to the caller.
+    files there are left to the caller. With ``buckets`` the tables are bucketed
+    and sorted by customer, and later runs need not shuffle the target.
     """
     silver = pin_utc(spark).read.table(clean_table)
     current = spark.read.table(target) if spark.catalog.tableExists(target) else None
@@ -111,6 +116,8 @@ def apply_increment(
     writer = increment(silver, current, mode).write.format(format)
     if root:
         writer = writer.option("path", f"{root}/{table.rpartition('.')[2]}")
+    if buckets:
+        writer = writer.bucketBy(buckets, KEY).sortBy(KEY)
     writer.saveAsTable(table)
     spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {table}")
     for old in _numbered_tables(spark, target)[:-keep]:

@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators.bronze import to_bronze
 from txrisk.plans.silver import clean
-from txrisk.plans.views import refresh_gold
+from txrisk.plans.tables import TABLES, Table, describe, refresh_views
 from txrisk.schema import CLEAN_INTERVAL, EXPORT_INTERVAL, INGEST_INTERVAL, SOURCE_SYSTEM
-from txrisk.session import pin_utc
+from txrisk.session import pin_utc, use_disk_backed_state
 from txrisk.sources.tables import read_stream_table
 from txrisk.streaming.sinks import WriteBatch, export_stream, write_stream_table
 
@@ -41,7 +41,8 @@ def refine(
     **cleaning: object,
 ) -> StreamingQuery:
     """Raw table to clean table; ``cleaning`` goes to :func:`clean`."""
-    raw = read_stream_table(pin_utc(spark), raw_table, **source or {})
+    use_disk_backed_state(pin_utc(spark))
+    raw = read_stream_table(spark, raw_table, **source or {})
     return write_stream_table(clean(raw, **cleaning), clean_table, checkpoint, interval, **sink or {})
 
 
@@ -62,26 +63,27 @@ def export(
 def catch_up(
     spark: SparkSession,
     messages: DataFrame,
-    raw_table: str,
-    clean_table: str,
     root: str,
-    gold_names: dict[str, str] | None = None,
-    **cleaning: object,
+    names: dict[str, str] | None = None,
+    tables: dict[str, Table] = TABLES,
 ) -> None:
-    """Bring every table up to what the source holds now, in order, and end.
+    """Bring every declared table up to what the source holds now, in order, and end.
 
     Run again, it takes only what is new since. ``root`` is a shared folder for
-    checkpoints and for the files of the tables.
+    checkpoints and for the files of the tables; ``names`` gives declared tables
+    other names.
     """
-    raw, cleaned = f"{root}/raw", f"{root}/clean"
-    ingest(messages, raw_table, f"{raw}.checkpoint", None, path=raw).awaitTermination()
-    refine(
-        spark,
-        raw_table,
-        clean_table,
-        f"{cleaned}.checkpoint",
-        None,
-        sink={"path": cleaned},
-        **cleaning,
-    ).awaitTermination()
-    refresh_gold(spark, clean_table, gold_names, f"{root}/gold")
+    use_disk_backed_state(pin_utc(spark))
+    called = {name: name for name in tables} | (names or {})
+    for name, spec in tables.items():
+        if spec.kind == "stream":
+            source = read_stream_table(spark, called[spec.reads]) if spec.reads else messages
+            write_stream_table(
+                spec.query(source),
+                called[name],
+                f"{root}/{name}.checkpoint",
+                interval=None,
+                path=f"{root}/{name}",
+            ).awaitTermination()
+            describe(spark, called[name], spec.comment)
+    refresh_views(spark, names, root, tables)
