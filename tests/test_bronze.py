@@ -7,7 +7,7 @@ import hashlib
 from txrisk.functions.scalars import record_hash
 from txrisk.operators.bronze import to_bronze
 from txrisk.schema import ENVELOPE_DDL
-from txrisk.sources.kafka import message_options
+from txrisk.sources.kafka import broker_options, message_options
 
 
 def sha(text: str) -> str:
@@ -64,3 +64,4 @@ def test_message_options():
         "maxOffsetsPerTrigger": "1000",
     }
     assert "kafka.security.protocol" not in message_options("h:9092", "tx")
+    assert broker_options("h:9092") == {"kafka.bootstrap.servers": "h:9092"}

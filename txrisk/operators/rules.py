@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txrisk.functions.scalars import holds
@@ -48,7 +48,9 @@ def rule_counts(df: DataFrame, rules: dict[str, str] = SILVER_RULES) -> DataFram
     return counted.select(F.inline(F.array(*per_rule)))
 
 
-def watch_rules(df: DataFrame, name: str = "rules", rules: dict[str, str] = SILVER_RULES) -> DataFrame:
+def watch_rules(
+    df: DataFrame, name: str | Observation = "rules", rules: dict[str, str] = SILVER_RULES
+) -> DataFrame:
     """Report failures per rule with each micro-batch's progress (or as a batch
     observation) without another pass over the rows."""
     failures = [F.count_if(~ok).alias(rule) for rule, ok in _checks(rules).items()]

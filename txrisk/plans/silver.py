@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from txrisk.operators.dedup import Retention, first_arrivals, first_arrivals_stream
 from txrisk.operators.parse import to_typed
-from txrisk.operators.rules import SILVER_RULES, expect_or_drop
+from txrisk.operators.rules import SILVER_RULES, expect_or_drop, watch_rules
 from txrisk.schema import WATERMARK_DELAY
 
 Placement = Literal["before_dedup", "after_dedup"]
@@ -27,6 +27,7 @@ def clean(
     retention: Retention = "forever",
     rules: dict[str, str] = SILVER_RULES,
     thin_copies: bool = True,
+    watch: str | None = None,
 ) -> DataFrame:
     """Raw rows, batch or stream, to typed, flagged, valid, unique transactions.
 
@@ -34,10 +35,20 @@ def clean(
     never counts, so a later valid copy of the same event is kept. After it, the
     invalid first copy takes the event's place and is then dropped: the event is
     lost, and invalid rows move the watermark too.
+
+    ``watch`` names an observation of the rows the rules see and how many fail
+    each, reported with every micro-batch.
     """
+
+    def valid(df: DataFrame) -> DataFrame:
+        return expect_or_drop(watch_rules(df, watch, rules) if watch else df, rules)
+
+    def unique(df: DataFrame) -> DataFrame:
+        return _one_per_event(df, delay, retention, thin_copies)
+
     typed = to_typed(bronze)
     if rules_at == "before_dedup":
-        return _one_per_event(expect_or_drop(typed, rules), delay, retention, thin_copies)
+        return unique(valid(typed))
     if rules_at == "after_dedup":
-        return expect_or_drop(_one_per_event(typed, delay, retention, thin_copies), rules)
+        return valid(unique(typed))
     raise ValueError(f"rules_at must be before_dedup or after_dedup, not {rules_at!r}")
