@@ -79,10 +79,13 @@ def test_rules_after_lose_the_event_whose_first_copy_is_invalid(spark, play, thi
     assert state(progress) == (7, 0)
 
 
-def test_within_watermark_forgets_ids(spark, play):
+@pytest.mark.parametrize("thin", [True, False])
+def test_within_watermark_forgets_ids(spark, play, thin):
     out, progress = play(
         [minutes(spark, b) for b in RETENTION],
-        lambda s: first_arrivals_stream(expect_or_drop(s, RULES), retention="within_watermark"),
+        lambda s: first_arrivals_stream(
+            expect_or_drop(s, RULES), retention="within_watermark", thin_copies=thin
+        ),
     )
     assert emitted(out) == [
         ("a", 2), ("a", 200), ("b", 1), ("b", 201), ("c", 61), ("late", 5), ("late2", 150),
@@ -91,11 +94,15 @@ def test_within_watermark_forgets_ids(spark, play):
     assert state(progress) == (2, 7)
 
 
-def test_copies_are_thinned_before_the_owning_reducer(spark, play):
-    """A flood of one id: the second operator sees one row per input task."""
+@pytest.mark.parametrize("retention", ["forever", "within_watermark"])
+def test_copies_are_thinned_before_the_owning_reducer(spark, play, retention):
+    """A flood of one id: the owner sees one row per input task and micro-batch."""
     batch = [("hot", 1.0, 1.0)] * 500 + [(f"id{i}", 1.0, 2.0) for i in range(20)]
     later = [("hot", 1.0, 1.0)] * 500 + [("z", 1.0, 30.0)]
-    out, progress = play([minutes(spark, batch), minutes(spark, later)], first_arrivals_stream)
+    out, progress = play(
+        [minutes(spark, batch), minutes(spark, later)],
+        lambda s: first_arrivals_stream(s, retention=retention),
+    )
     assert len(emitted(out)) == 22
     owner, thinning = progress[0]["stateOperators"]
     assert owner["numRowsTotal"] == 21
@@ -103,9 +110,34 @@ def test_copies_are_thinned_before_the_owning_reducer(spark, play):
     assert owner["customMetrics"]["numDroppedDuplicateRows"] == 0
 
 
+@pytest.mark.parametrize("thin", [True, False])
+def test_of_differing_copies_in_one_batch_the_first_wins(spark, play, thin):
+    """Also when they differ in event time, and so would hash apart."""
+    first = [(f"id{i}", 1.0, 10.0 + i) for i in range(200)]
+    second = [(f"id{i}", 2.0, 5.0 + i / 7) for i in range(200)]
+    out, _ = play([minutes(spark, first + second)], lambda s: first_arrivals_stream(s, thin_copies=thin))
+    assert [r[0] for r in out.select("amount").collect()] == [1.0] * 200
+
+
+def test_a_late_copy_does_not_take_the_place_of_one_in_time(spark, play):
+    batches = [[("x", 1.0, 100.0)], [("y", 1.0, 101.0)], [("a", 1.0, 5.0), ("a", 2.0, 100.0), ("a", 3.0, 101.0)]]
+    for retention in ("forever", "within_watermark"):
+        out, _ = play(
+            [minutes(spark, b) for b in batches],
+            lambda s: first_arrivals_stream(s, retention=retention),
+        )
+        assert emitted(out) == [("a", 100), ("x", 100), ("y", 101)]
+
+
 def test_thinning_state_is_evicted_behind_the_watermark(spark, play):
     batches = [[(f"id{i}", 1.0, float(30 * i))] for i in range(6)]
     _, progress = play([minutes(spark, b) for b in batches], first_arrivals_stream)
     owner, thinning = progress[-1]["stateOperators"]
     assert owner["numRowsTotal"] == 6
     assert thinning["numRowsTotal"] <= 2
+
+
+def test_play_is_ordered(spark, play):
+    out, progress = play([minutes(spark, [("a", 1.0, float(i))]) for i in range(3)], lambda s: s)
+    assert [p["numInputRows"] for p in progress if p["numInputRows"]] == [1, 1, 1]
+    assert out.count() == 3

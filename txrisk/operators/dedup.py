@@ -11,7 +11,7 @@ from txrisk.schema import WATERMARK_DELAY
 
 Retention = Literal["forever", "within_watermark"]
 
-_LANE = "_lane"
+_TASK, _BATCH = "_task", "_batch"
 
 
 def first_arrivals(
@@ -47,21 +47,20 @@ def first_arrivals_stream(
     newer than the watermark are dropped. ``within_watermark``: an id is
     forgotten one delay after its event time, and may then pass again.
 
-    With ``thin_copies`` (for ``forever``) each input task's copies of one event
-    are first reduced among themselves. A flood of copies of one id is thereby
-    spread over as many reducers as there were input tasks, and only one row of
-    each goes on to the reducer that owns the id. That first state has the event
-    time in its key and is evicted behind the watermark, so it stays small.
-    Rows it drops always have an equal row ahead of them, so results do not
-    change; changing the setting needs a new checkpoint.
+    With ``thin_copies`` each input task's rows of one id in one micro-batch are
+    first reduced to the first that is not late. A flood of copies of one id is
+    thereby spread over as many reducers as there were input tasks, and one row
+    per task goes on to the reducer that owns the id. Results stay the same: the
+    owner would have met the row kept first, in the same micro-batch, and dropped
+    the others. The extra state is forgotten behind the watermark. Changing the
+    setting needs a new checkpoint.
     """
-    timed = df.withWatermark(event_time, delay)
-    if retention == "within_watermark":
-        return timed.dropDuplicatesWithinWatermark([key])
+    rows = df.withWatermark(event_time, delay)
     if thin_copies:
-        timed = (
-            timed.withColumn(_LANE, F.spark_partition_id())
-            .dropDuplicates([key, event_time, _LANE])
-            .drop(_LANE)
+        share = {_TASK: F.spark_partition_id(), _BATCH: F.current_timestamp()}
+        rows = (
+            rows.withColumns(share).dropDuplicatesWithinWatermark([key, *share]).drop(*share)
         )
-    return timed.dropDuplicates([key])
+    if retention == "within_watermark":
+        return rows.dropDuplicatesWithinWatermark([key])
+    return rows.dropDuplicates([key])
