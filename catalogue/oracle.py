@@ -252,6 +252,13 @@ SELECT customer_id, count(*) AS transaction_count,
   CAST(sum(CAST(hint AS INTEGER)) AS BIGINT) AS count_or_null,
   CAST(sum(CASE WHEN hint THEN 1 ELSE 0 END) AS BIGINT) AS count_or_zero
 FROM hinted GROUP BY customer_id""",
+    "aggregate_functions": f"""WITH {_SILVER}
+SELECT channel, count(*) AS row_count, count(device_id) AS device_count,
+  count(DISTINCT country) AS distinct_countries, {_TOTAL} AS total_amount,
+  {_MEAN} AS avg_amount, round(max(amount), 2) AS max_amount, max(event_ts) AS last_event_ts,
+  CAST(sum(CAST(is_suspicious_hint AS INTEGER)) AS BIGINT) AS suspicious_or_null,
+  CAST(sum(CASE WHEN is_suspicious_hint THEN 1 ELSE 0 END) AS BIGINT) AS suspicious
+FROM silver GROUP BY channel""",
     "risk_signals": f"""WITH {_SENT}
 SELECT kafka_offset AS "offset", {", ".join(_SIGNALS)} FROM signals""",
     "risk_scores": f"""WITH {_SENT}

@@ -117,6 +117,22 @@ def test_refresh_replaces_and_describes(spark, table):
     assert spark.catalog.getTable(table).description == "It's a view"
 
 
+def test_refresh_keeps_the_newest_tables_and_may_read_itself(spark, table):
+    behind = [refresh_view(spark.range(1), table)]
+    for _ in range(3):
+        twice = spark.read.table(table).union(spark.read.table(table))
+        behind.append(refresh_view(twice, table))
+    assert spark.read.table(table).count() == 8
+    assert [spark.catalog.tableExists(t) for t in behind] == [False, False, True, True]
+
+
+def test_a_failed_refresh_leaves_the_old_result(spark, table):
+    refresh_view(spark.range(5), table)
+    with pytest.raises(Exception):
+        refresh_view(spark.range(5).selectExpr("raise_error('no') AS id"), table)
+    assert spark.read.table(table).count() == 5
+
+
 def test_views_refresh_under_their_declared_names(spark):
     clean(to_bronze(feed.messages(feed.read_events(spark, SF_DIR)))).write.saveAsTable("transactions_clean")
     refresh_views(spark)

@@ -33,9 +33,10 @@ def merge_by_key(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """
     old, new = target.alias("old"), changes.withColumn("_new", F.lit(True)).alias("new")
     both = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    changed = F.col("new._new")
     return both.select(
         *[
-            F.when(F.col("new._new"), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
+            F.when(changed, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
             for name in target.columns
         ]
     )

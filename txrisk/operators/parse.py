@@ -9,7 +9,9 @@ from txrisk.functions.scalars import is_cross_border, is_high_amount, iso_timest
 from txrisk.schema import CARRIED, PAYLOAD_DDL
 
 
-def parse_payload(bronze: DataFrame, ddl: str = PAYLOAD_DDL, carried: list[str] = CARRIED) -> DataFrame:
+def parse_payload(
+    bronze: DataFrame, ddl: str = PAYLOAD_DDL, carried: list[str] = CARRIED
+) -> DataFrame:
     """One column per payload field, then the carried columns.
 
     Text that is not an object gives nulls, and so does a field of the wrong type

@@ -25,4 +25,5 @@ def score(df: DataFrame) -> DataFrame:
 
 def hide_unless_remote(df: DataFrame, *columns: str) -> DataFrame:
     """Null the columns (device and address, say) on all but remote transactions."""
-    return df.withColumns({name: only_remote(name) for name in columns or ("device_id", "ip_address")})
+    hidden = columns or ("device_id", "ip_address")
+    return df.withColumns({name: only_remote(name) for name in hidden})

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import time
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +10,13 @@ from pyspark.sql import functions as F
 from txrisk.functions import measures as m
 from txrisk.operators.merge import is_newer, merge_by_key, newer_rows
 from txrisk.plans.gold import summarise
+from txrisk.plans.tables import refresh_view
 from txrisk.session import pin_utc
 
 Mode = Literal["replace", "recompute"]
 
 KEY = "customer_id"
+COMMENT = "Customer activity, kept by increments"
 
 
 def customer_activity(silver: DataFrame) -> DataFrame:
@@ -94,42 +94,18 @@ def apply_increment(
     clean_table: str,
     target: str,
     mode: Mode = "replace",
-    format: str = "parquet",
     root: str | None = None,
-    keep: int = 2,
+    format: str = "parquet",
     buckets: int | None = None,
 ) -> str:
-    """Bring ``target`` up to date and return the table now behind it.
-
-    A plain table cannot be replaced by a query that reads it, so ``target`` is a
-    view over tables numbered by the clock: the next one is written in full, then
-    the view is pointed at it. Readers see the old state or the new one, and a run
-    that fails on the way leaves the old one in place. The newest ``keep`` tables
-    stay, so that readers which began on the one before can finish. Runs on one
-    target must not overlap. Files go under ``root`` if given; a dropped table's
-    files there are left to the caller. With ``buckets`` the tables are bucketed
-    and sorted by customer, and later runs need not shuffle the target.
+    """Bring ``target`` up to date with the clean table; returns the table behind it.
+
+    The target's next state is written in full beside the one it is made from, as
+    :func:`refresh_view` does for any result. With ``buckets`` it is bucketed and
+    sorted by customer, and later runs need not shuffle it.
     """
     silver = pin_utc(spark).read.table(clean_table)
     current = spark.read.table(target) if spark.catalog.tableExists(target) else None
-    table = f"{target}__{time.time_ns() // 1_000_000}"
-    writer = increment(silver, current, mode).write.format(format)
-    if root:
-        writer = writer.option("path", f"{root}/{table.rpartition('.')[2]}")
-    if buckets:
-        writer = writer.bucketBy(buckets, KEY).sortBy(KEY)
-    writer.saveAsTable(table)
-    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {table}")
-    for old in _numbered_tables(spark, target)[:-keep]:
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
-    return table
-
-
-def _numbered_tables(spark: SparkSession, target: str) -> list[str]:
-    """The tables written for ``target``, oldest first (names only, from the catalog)."""
-    schema, _, name = target.rpartition(".")
-    where = f" IN {schema}" if schema else ""
-    listed = spark.sql(f"SHOW TABLES{where} LIKE '{name}__*'").collect()
-    numbered = re.compile(rf"{re.escape(name)}__\d+", re.IGNORECASE)
-    names = sorted(row.tableName for row in listed if numbered.fullmatch(row.tableName))
-    return [f"{schema}.{n}" if schema else n for n in names]
+    bucketed = (buckets, KEY) if buckets else None
+    state = increment(silver, current, mode)
+    return refresh_view(state, target, COMMENT, root, format, bucketed=bucketed)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Literal
@@ -46,25 +48,58 @@ TABLES = {
 }
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def describe(spark: SparkSession, table: str, comment: str) -> None:
-    quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
+    spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")
 
 
 def refresh_view(
-    df: DataFrame, table: str, comment: str = "", path: str | None = None, format: str = "parquet"
-) -> None:
-    """Replace the table with the query's full result.
-
-    ``df`` must not read the table itself; :mod:`txrisk.plans.incremental` is for
-    results built on their own last state.
+    df: DataFrame,
+    target: str,
+    comment: str = "",
+    root: str | None = None,
+    format: str = "parquet",
+    keep: int = 2,
+    bucketed: tuple[int, str] | None = None,
+) -> str:
+    """Make ``target`` the query's full result; returns the table now behind it.
+
+    ``target`` is a view over tables numbered by the clock: the next one is written
+    in full, then the view is pointed at it. Readers see the old result or the new
+    one, a run that fails on the way leaves the old one in place, and ``df`` may
+    read ``target`` itself. The newest ``keep`` tables stay, so that readers which
+    began on the one before can finish. Runs on one target must not overlap.
+
+    Files go under ``root`` if given; a dropped table's files there are left to the
+    caller. ``bucketed`` is a number of buckets and the column that decides.
     """
-    writer = df.write.format(format).mode("overwrite")
-    if path:
-        writer = writer.option("path", path)
+    spark = df.sparkSession
+    table = f"{target}__{time.time_ns() // 1_000_000}"
+    writer = df.write.format(format)
+    if root:
+        writer = writer.option("path", f"{root}/{table.rpartition('.')[2]}")
+    if bucketed:
+        writer = writer.bucketBy(*bucketed).sortBy(bucketed[1])
     writer.saveAsTable(table)
-    if comment:
-        describe(df.sparkSession, table, comment)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {target} COMMENT {_quoted(comment)} AS SELECT * FROM {table}"
+    )
+    for old in _numbered_tables(spark, target)[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return table
+
+
+def _numbered_tables(spark: SparkSession, target: str) -> list[str]:
+    """The tables written for ``target``, oldest first (names only, from the catalog)."""
+    schema, _, name = target.rpartition(".")
+    where = f" IN {schema}" if schema else ""
+    listed = spark.sql(f"SHOW TABLES{where} LIKE '{name}__*'").collect()
+    numbered = re.compile(rf"{re.escape(name)}__\d+", re.IGNORECASE)
+    names = sorted(row.tableName for row in listed if numbered.fullmatch(row.tableName))
+    return [f"{schema}.{n}" if schema else n for n in names]
 
 
 def refresh_views(
@@ -81,6 +116,5 @@ def refresh_views(
     called = {name: name for name in tables} | (names or {})
     for name, spec in tables.items():
         if spec.kind == "view":
-            path = f"{root}/{name}" if root else None
             source = spark.read.table(called[spec.reads])
-            refresh_view(spec.query(source), called[name], spec.comment, path)
+            refresh_view(spec.query(source), called[name], spec.comment, root)

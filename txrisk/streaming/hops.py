@@ -27,7 +27,8 @@ def ingest(
     **sink: object,
 ) -> StreamingQuery:
     """Message envelopes to the raw table."""
-    return write_stream_table(to_bronze(messages, source_system), table, checkpoint, interval, **sink)
+    raw = to_bronze(messages, source_system)
+    return write_stream_table(raw, table, checkpoint, interval, **sink)
 
 
 def refine(
@@ -40,10 +41,14 @@ def refine(
     sink: dict[str, object] | None = None,
     **cleaning: object,
 ) -> StreamingQuery:
-    """Raw table to clean table; ``cleaning`` goes to :func:`clean`."""
+    """Raw table to clean table; ``cleaning`` goes to :func:`clean`.
+
+    Sets the session to keep the state of streams on disk.
+    """
     use_disk_backed_state(pin_utc(spark))
     raw = read_stream_table(spark, raw_table, **source or {})
-    return write_stream_table(clean(raw, **cleaning), clean_table, checkpoint, interval, **sink or {})
+    rows = clean(raw, **cleaning)
+    return write_stream_table(rows, clean_table, checkpoint, interval, **sink or {})
 
 
 def export(
