@@ -170,7 +170,8 @@ newer AS (
 )
 """
 _RECOMPUTED = f"""WITH {_TARGET},
-changes AS ({_activity("(SELECT * FROM silver WHERE customer_id IN (SELECT customer_id FROM newer))")})
+history AS (SELECT * FROM silver WHERE customer_id IN (SELECT customer_id FROM newer)),
+changes AS ({_activity("history")})
 SELECT * FROM target WHERE customer_id NOT IN (SELECT customer_id FROM changes)
 UNION ALL SELECT * FROM changes"""
 

@@ -137,6 +137,11 @@ def test_thinning_state_is_evicted_behind_the_watermark(spark, play):
     assert thinning["numRowsTotal"] <= 2
 
 
+def test_unknown_retention(spark):
+    with pytest.raises(ValueError, match="retention"):
+        first_arrivals_stream(minutes(spark, LATE[0]), retention="a while")
+
+
 def test_play_is_ordered(spark, play):
     out, progress = play([minutes(spark, [("a", 1.0, float(i))]) for i in range(3)], lambda s: s)
     assert [p["numInputRows"] for p in progress if p["numInputRows"]] == [1, 1, 1]

@@ -55,12 +55,13 @@ def first_arrivals_stream(
     the others. The extra state is forgotten behind the watermark. Changing the
     setting needs a new checkpoint.
     """
+    if retention not in ("forever", "within_watermark"):
+        raise ValueError(f"retention must be forever or within_watermark, not {retention!r}")
     rows = df.withWatermark(event_time, delay)
     if thin_copies:
         share = {_TASK: F.spark_partition_id(), _BATCH: F.current_timestamp()}
-        rows = (
-            rows.withColumns(share).dropDuplicatesWithinWatermark([key, *share]).drop(*share)
-        )
+        marked = rows.withColumns(share)
+        rows = marked.dropDuplicatesWithinWatermark([key, *share]).drop(*share)
     if retention == "within_watermark":
         return rows.dropDuplicatesWithinWatermark([key])
     return rows.dropDuplicates([key])
