@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import quality_rules
+from txrisk.llm import language_id, quality_gam, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents, weights)
 
 
+def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return quality_gam.score(documents, quality_gam.fit(documents, _table(spark, sf_dir, "labels")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held_out = language_id.held_out()
+    found = language_id.identify(documents, language_id.fit(documents, ~held_out))
+    return found.withColumn("held_out", held_out)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.grade(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_quality_gam": op3_quality_gam,
+    "op6_language_id": op6_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}

@@ -17,10 +17,14 @@ import pyarrow.compute as pc
 
 BLOCK = 1 << 18  # bytes hashed at once
 BATCH_BYTES = 1 << 22  # bytes of texts handed on at once
+BATCH_TEXTS = 1 << 9  # texts handed on at once
 
 _U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Between letters: every ASCII character but A-Z and a-z.
+APART = np.zeros(256, bool)
+APART[:128] = [not chr(k).isalpha() for k in range(128)]
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -54,7 +58,8 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.nda
 def pieces(
     batches: Iterator[pa.RecordBatch], name: str = "text"
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Batches cut to about ``BATCH_BYTES`` of text each, with their texts."""
+    """Batches cut to about ``BATCH_BYTES`` of text (one longer text at least) and
+    ``BATCH_TEXTS`` texts each, with their texts."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -62,17 +67,20 @@ def pieces(
         at = 0
         while at < batch.num_rows:
             to = int(np.searchsorted(offsets, offsets[at] + BATCH_BYTES, "right")) - 1
-            to = min(max(to, at + 1), batch.num_rows)
+            to = min(max(to, at + 1), at + BATCH_TEXTS, batch.num_rows)
             low, high = int(offsets[at]), int(offsets[to])
             yield batch.slice(at, to - at), raw[low:high], offsets[at : to + 1] - low
             at = to
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word begins and ends; no word runs over the end of its text."""
+def words(
+    raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends; no word runs over the end of its text.
+    ``apart``: which bytes are between words."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~SPACE[raw]
+    solid = ~apart[raw]
     cut = np.zeros(len(raw) + 1, bool)
     cut[offsets] = True
     begins = solid.copy()
@@ -154,9 +162,8 @@ def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def byte_grams(raw: np.ndarray, offsets: np.ndarray, size: int, bits: int):
     """Hashed buckets of every run of ``size`` bytes within a text, and whose it is,
     block by block."""
-    step = BLOCK
-    for low in range(0, max(len(raw) - size + 1, 0), step):
-        high = min(low + step, len(raw) - size + 1)
+    for low in range(0, max(len(raw) - size + 1, 0), BLOCK):
+        high = min(low + BLOCK, len(raw) - size + 1)
         part = raw[low : high + size - 1].astype(np.uint32)
         value = np.zeros(high - low, np.uint32)
         for k in range(size):
@@ -164,6 +171,9 @@ def byte_grams(raw: np.ndarray, offsets: np.ndarray, size: int, bits: int):
         value = value * np.uint32(0x9E3779B1)
         value ^= value >> np.uint32(15)
         value = (value * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
-        text = np.searchsorted(offsets, np.arange(low, high), "right") - 1
-        inside = np.arange(low, high) + size <= offsets[text + 1]
-        yield value[inside].astype(np.int64), text[inside]
+        one = int(np.searchsorted(offsets, low, "right")) - 1
+        last = int(np.searchsorted(offsets, high + size - 2, "right")) - 1
+        edges = np.clip(offsets[one : last + 2], low, high + size - 1)
+        text = np.repeat(np.arange(one, last + 1), np.diff(edges))
+        inside = text[: high - low] == text[size - 1 :]
+        yield value[inside].astype(np.int64), text[: high - low][inside]
