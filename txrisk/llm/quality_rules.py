@@ -61,7 +61,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> np.ndarray:
     """
     trusted = labels.filter(F.col("quality") == 1).select("doc_id").distinct()
     raw = run_counts(documents)
-    target = run_counts(documents.select("doc_id", "text").join(trusted, "doc_id", "left_semi"))
+    texts = documents.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
+    target = run_counts(texts)
     if not target.sum():
         return np.zeros(1 << BITS)
     share = lambda c: (c + SMOOTHING) / (c.sum() + SMOOTHING * len(c))
