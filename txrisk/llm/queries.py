@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import language_id, quality_gam, quality_rules, toxicity
+from txrisk.llm import (
+    language_id,
+    quality_gam,
+    quality_rules,
+    token_counts,
+    toxicity,
+    url_rules,
+)
+from txrisk.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +34,11 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(documents, quality_gam.fit(documents, _table(spark, sf_dir, "labels")))
 
 
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_rules.judge(pages, url_rules.mine(pages, _table(spark, sf_dir, "labels")))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = language_id.held_out()
@@ -33,6 +46,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache, work = scratch_path(spark, "token-cache"), scratch_path(spark, "token-run")
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), cache, work)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return toxicity.grade(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
@@ -41,7 +59,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_quality_gam": op3_quality_gam,
+    "op5_url_rules": op5_url_rules,
     "op6_language_id": op6_language_id,
+    "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
