@@ -109,9 +109,14 @@ def fit(documents: DataFrame, usable: Column) -> Model:
     df = np.array([found.get(k, 0) for k in range(_SIZE)])
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
 
+    # Rows of low hash, four times as many as are needed, are ranked; ranking all of
+    # a language would bring its lowest from every task to one.
     rank = F.xxhash64("doc_id")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
-    ids = rows.select("doc_id", "lang").distinct().withColumn("nth", nth)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    low = F.pmod(rank, F.lit(1 << 30)) * F.col("n") < (1 << 30) * 4 * MAX_PER_LANGUAGE
+    ids = rows.select("doc_id", "lang").join(sizes, "lang").filter(low).select("doc_id", "lang")
+    ids = ids.distinct().withColumn("nth", nth)
     ids = ids.filter(F.col("nth") <= MAX_PER_LANGUAGE).drop("nth").orderBy(rank).limit(MAX_SAMPLE)
     texts = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     vectors = texts.mapInArrow(_sampled, "doc_id long, lang string, counts binary")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import (
+    decontaminate,
     language_id,
+    mixing,
     quality_gam,
     quality_rules,
     token_counts,
@@ -46,6 +48,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return decontaminate.judge(_table(spark, sf_dir, "documents"), benchmark)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache, work = scratch_path(spark, "token-cache"), scratch_path(spark, "token-run")
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), cache, work)
@@ -61,7 +72,9 @@ QUERIES: dict[str, Query] = {
     "op3_quality_gam": op3_quality_gam,
     "op5_url_rules": op5_url_rules,
     "op6_language_id": op6_language_id,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
