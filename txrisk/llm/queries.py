@@ -10,8 +10,10 @@ from txrisk.llm import (
     decontaminate,
     language_id,
     mixing,
+    near_dedup,
     quality_gam,
     quality_rules,
+    suffix_dedup,
     token_counts,
     toxicity,
     url_rules,
@@ -31,11 +33,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents, weights)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.label(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return quality_gam.score(documents, quality_gam.fit(documents, _table(spark, sf_dir, "labels")))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.judge(_table(spark, sf_dir, "documents"))
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return url_rules.judge(pages, url_rules.mine(pages, _table(spark, sf_dir, "labels")))
@@ -69,7 +79,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_near_dedup": op2_near_dedup,
     "op3_quality_gam": op3_quality_gam,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_url_rules": op5_url_rules,
     "op6_language_id": op6_language_id,
     "op7_decontaminate": op7_decontaminate,
