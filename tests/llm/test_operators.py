@@ -1,0 +1,477 @@
+"""Each operator against a plain version or held-out labels, and its odd cases."""
+
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import plain  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from txrisk.llm import (  # noqa: E402
+    decontaminate,
+    language_id,
+    mixing,
+    near_dedup,
+    quality_gam,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_rules,
+)
+from txrisk.llm import text as tx  # noqa: E402
+from txrisk.llm.graph import components  # noqa: E402
+from txrisk.llm.queries import QUERIES  # noqa: E402
+from txrisk.session import scratch_path  # noqa: E402
+
+SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, rank int, size int"
+LONG = " ".join(f"word{k} and word{k % 7}" for k in range(60_000))
+ODD = [
+    (1, None, None, None, None, 1, 1),
+    (2, "", "en", "a", 0, 1, 1),
+    (3, " \t\n\x0b\x0c\r ", "en", "a", 7, 1, 1),
+    (None, "no id here", "en", None, 10, 1, 1),
+    (None, None, None, None, None, None, None),
+    (4, "ä🙂 %% || <x>\nä🙂 %% || <x>\n\n\n", "de", "é", 30, 1, 1),
+    (5, LONG, "en", "a", len(LONG), 1, 1),
+    (5, LONG, "en", "a", len(LONG), 1, 1),
+    (6, LONG + " more", "en", "b", len(LONG) + 5, 1, 1),
+    (7, "x", "fr", "b", 1, 1, 1),
+    (8, "123 456 !!", "fr", "b", 10, 1, 1),
+]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return lambda name, sf=SMALL: spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(table):
+    return [tuple(r) for r in table("documents").select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, DOCUMENTS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    given = [(2, 0, 0), (3, 1, 1), (5, 1, 0), (5, 0, 1), (6, None, None), (None, 1, 1), (7, 1, 1)]
+    return spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCUMENTS)
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+# --- Texts ---------------------------------------------------------------------
+
+
+def test_long_stretches_hash_alike_wherever_they_stand():
+    body = np.random.default_rng(1).integers(97, 122, tx.BLOCK + 5000).astype(np.uint8)
+    raw = np.concatenate([body, [32], body, [32], body[:-1]]).astype(np.uint8)
+    starts, ends = tx.words(raw, np.array([0, len(raw)]))
+    h = tx.hashes(raw, starts, ends)
+    assert len(h) == 3 and h[0] == h[1] != h[2]
+
+
+def test_words_end_with_their_text():
+    raw = np.frombuffer(b"ab cdef", np.uint8)
+    starts, ends = tx.words(raw, np.array([0, 4, 4, 7]))
+    assert starts.tolist() == [0, 3, 4] and ends.tolist() == [2, 4, 7]
+
+
+# --- Quality rules -------------------------------------------------------------
+
+
+def test_quality_rules(table, rows):
+    documents, labels = table("documents"), table("labels")
+    weights = quality_rules.fit(documents, labels)
+    got = by_id(quality_rules.judge(documents, weights))
+    for i, text in rows:
+        r = got[i]
+        counts = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert counts == plain.base_counts(text)
+        assert r.base_failed == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+        assert r.kept == (not r.base_failed and r.score >= quality_rules.MIN_RATIO)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    told = [(quality[i], got[i].kept) for i in quality if not got[i].base_failed]
+    assert np.mean([q == k for q, k in told]) > 0.95
+    kept = quality_rules.keep_good(documents, labels)
+    assert {r.doc_id for r in kept.collect()} == {i for i in got if got[i].kept}
+    assert kept.columns == documents.columns
+
+
+def test_ratio_is_that_of_the_shares(table):
+    documents, labels = table("documents"), table("labels")
+    weights = quality_rules.fit(documents, labels)
+    trusted = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    counts = [np.ones(1 << quality_rules.BITS) for _ in range(2)]
+    for i, text in documents.select("doc_id", "text").collect():
+        raw = np.frombuffer(text.encode(), np.uint8)
+        for bucket, _ in tx.byte_grams(raw, np.array([0, len(raw)]), 4, quality_rules.BITS):
+            np.add.at(counts[0], bucket, 1)
+            if i in trusted:
+                np.add.at(counts[1], bucket, 1)
+    raw, target = (c / c.sum() for c in counts)
+    assert np.allclose(weights, np.log(target / raw))
+
+
+def test_quality_rules_odd(odd, labels, none):
+    weights = quality_rules.fit(odd, labels)
+    got = quality_rules.judge(odd, weights).collect()
+    assert len(got) == len(ODD)
+    assert all(r.base_failed and not r.kept for r in got if r.n_words < 50)
+    assert quality_rules.keep_good(odd, labels).count() <= 3
+    assert quality_rules.judge(none, quality_rules.fit(none, labels)).count() == 0
+    assert not quality_rules.fit(odd, labels.limit(0)).any()
+
+
+# --- Near duplicates -----------------------------------------------------------
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_near_dedup(table, rows, size, percent):
+    got = by_id(near_dedup.label(table("documents"), size, percent))
+    want = plain.near_components(rows, size, percent)
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert all(r.n_shingles == len(plain.shingles(t, size)) for (i, t) in rows for r in [got[i]])
+    assert all(r.kept == (i == r.component_id) for i, r in got.items())
+
+
+def test_near_dedup_chains_and_groups(spark):
+    """A chain whose ends are far apart, one large group of near copies, and texts
+    that share half of their words and are not to be linked."""
+    base = [f"w{k}" for k in range(100)]
+    chain = [(k, " ".join([f"new{j}" for j in range(k * 2)] + base[k * 2 :])) for k in range(8)]
+    group = [(100 + k, " ".join([*base[::-1], f"tail{k}"])) for k in range(150)]
+    halves = [(400 + k, " ".join([f"p{j}" for j in range(60)] + [f"q{k}x{j}" for j in range(60)])) for k in range(120)]
+    rows = chain + group + halves
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {i: r.component_id for i, r in by_id(near_dedup.label(df)).items()}
+    assert got == plain.near_components(rows, 3, 85)
+    assert len({got[i] for i, _ in group}) == 1 and len({got[i] for i, _ in halves}) == 120
+
+
+def test_crossing_pairs_split_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    bands = [(b, k) for k in range(12) for b in (1, 2, 100 + k // 3)]
+    rows = spark.createDataFrame(bands, "key long, id long")
+    no_labels = spark.createDataFrame([], "id long, component long")
+    pairs = near_dedup._crossing(rows, rows, no_labels).distinct().collect()
+    assert {(r.a, r.b) for r in pairs} == {(a, b) for a in range(12) for b in range(a + 1, 12)}
+
+
+def test_estimates_are_near_the_truth():
+    rng = np.random.default_rng(3)
+    for j in (0.3, 0.6, 0.85, 1.0):
+        both = rng.integers(0, 1 << 63, int(1000 * j), np.uint64)
+        rest = (1000 - len(both)) // 2
+        own = [rng.integers(0, 1 << 63, rest, np.uint64) for _ in range(2)]
+        a, b = (near_dedup._registers(np.sort(np.concatenate([both, x])), np.array([0, len(both) + rest])) for x in own)
+        n = np.array([float(len(both) + rest)])
+        assert abs(near_dedup.estimate(a, b, n, n)[0] - j) < 0.1
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(90, 91)], "a long, b long")
+    got = {r.id: r.component for r in components(edges).collect()}
+    assert got == {k: 0 for k in range(41)} | {90: 90, 91: 90}
+
+
+def test_near_dedup_odd(odd, none):
+    got = near_dedup.label(odd).collect()
+    assert len(got) == len(ODD)
+    assert all(r.kept and r.component_id is None for r in got if r.doc_id is None)
+    assert all(r.component_id == r.doc_id for r in got if r.doc_id in (1, 2, 3, 7))
+    assert {r.component_id for r in got if r.doc_id in (5, 6)} == {5}
+    assert near_dedup.keep_one(odd).count() == len(ODD) - 1
+    assert near_dedup.label(none).count() == 0
+
+
+# --- Repeated strings ----------------------------------------------------------
+
+
+def test_suffix_dedup(table, rows):
+    got = by_id(suffix_dedup.judge(table("documents").repartition(4)))
+    want = plain.suffix_spans(rows)
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
+
+
+def test_suffix_dedup_inside_and_across(spark, monkeypatch):
+    """Repeats inside a text, overlapping ones, of exactly 100 and of 99 bytes, over
+    steps and flushes of small size."""
+    monkeypatch.setattr(suffix_dedup, "STEP", 64)
+    monkeypatch.setattr(suffix_dedup, "HELD", 10)
+    rng = np.random.default_rng(5)
+    fresh = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    a, b = fresh(300), fresh(150)
+    rows = [
+        (1, "ab" * 150),
+        (2, a + fresh(50) + a[:100]),
+        (3, fresh(40) + a[:99] + fresh(40) + a[200:300] + fresh(9)),
+        (4, b + b[20:] + fresh(30) + a[150:280]),
+        (5, "é" * 80 + b),
+        (6, b[10:120]),
+        (7, a[:50]),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = by_id(suffix_dedup.judge(df))
+    want = plain.suffix_spans(rows)
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
+
+
+def test_suffix_dedup_odd(odd, none):
+    got = suffix_dedup.judge(odd).collect()
+    assert len(got) == len(ODD)
+    assert all(r.n_removed == 0 for r in got if r.doc_id is None)
+    assert len({tuple(r) for r in got if r.doc_id == 5}) == 1
+    left = suffix_dedup.remove(odd)
+    assert left.columns == odd.columns
+    assert {r.doc_id for r in left.collect()} >= {1, 2, 3, 4, 5, 7, 8}
+    assert suffix_dedup.judge(none).count() == 0
+
+
+# --- Benchmark -----------------------------------------------------------------
+
+
+def test_decontaminate(table):
+    documents, benchmark = table("documents", LARGER), table("benchmark", LARGER)
+    found = {r.doc_id for r in decontaminate.judge(documents, benchmark).filter("contaminated").collect()}
+    texts = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    assert found == plain.leaks(texts, [r.text for r in benchmark.collect()]) != set()
+    left = decontaminate.keep_clean(documents, benchmark)
+    assert left.count() == len(texts) - len(found) and left.columns == documents.columns
+
+
+def test_slots_must_agree(spark, odd, none):
+    ask = "then {0} has {1} apples and buys {2} more apples at the market for {1} dollars each how many"
+    items = [(1, ask.format("Alice", 3, 5)), (2, None), (3, "short"), (None, "x " * 20)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [
+        (1, "say " + ask.format("Bob", 7, 9)),
+        (2, "say " + ask.format("Bob", 7, 7)),
+        (3, "so it has 7 dogs and buys 9 more cats at a market for 1 euro each"),
+        (4, None),
+        (None, ask.format("Bob", 7, 9)),
+        (5, ""),
+    ]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.judge(df, benchmark).collect()}
+    assert [i for i, r in got.items() if r.contaminated] == [1]
+    assert got[1].item_id == 1
+    assert decontaminate.judge(odd, benchmark).count() == len(ODD)
+    assert decontaminate.judge(none, benchmark).count() == 0
+    assert decontaminate.judge(df, benchmark.limit(0)).filter("contaminated").count() == 0
+
+
+# --- Mixing --------------------------------------------------------------------
+
+
+def _mixed_by_sql(path: str, documents: str):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS {documents.format(path=path)}")
+    return con.execute(mixing.ORACLE)
+
+
+def test_mixing_matches_sql(table):
+    got = mixing.mix(table("documents"))
+    want = _mixed_by_sql(f"{SMALL}/documents.parquet", "SELECT * FROM '{path}'")
+    names = [c[0] for c in want.description]
+    assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want.fetchall())
+
+
+def test_mixing_odd(spark, odd, none):
+    got = mixing.mix(odd).collect()
+    assert len(got) == len(ODD)
+    assert all(r.taken <= 2 * r["size"] for r in got)
+    again = mixing.mix(odd.repartition(7)).collect()
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    assert mixing.mix(none).count() == 0
+
+
+def test_targets_stop_and_refill(spark):
+    sizes = [("a", 10), ("b", 1000), ("c", 500), (None, 90)]
+    blocks = spark.createDataFrame([(s or "none", s, "00", n) for s, n in sizes], "source_key string, source string, block string, words long")
+    got = {r.source_key: r.target for r in mixing.targets(blocks).collect()}
+    assert sum(got.values()) == pytest.approx(1.5 * 1600)
+    assert got["a"] == 20 and got["none"] == 180 and got["c"] == 1000
+    assert got["b"] == pytest.approx(1200)
+
+
+def test_every_shard_gets_its_share(table):
+    rows = mixing.mix(table("documents", LARGER)).filter("copies > 0").collect()
+    assert all(len(r.shards.split(",")) == r.copies for r in rows)
+    per = np.bincount([int(x) for r in rows for x in r.shards.split(",")], minlength=16)
+    assert len(per) == 16 and per.min() > 0.6 * per.mean()
+
+
+def test_written_shards(spark, table, tmp_path):
+    mixing.write_shards(table("documents"), str(tmp_path / "mix"))
+    got = spark.read.parquet(str(tmp_path / "mix"))
+    want = mixing.mix(table("documents")).agg({"copies": "sum"}).collect()[0][0]
+    assert got.count() == want
+
+
+# --- Classifiers ---------------------------------------------------------------
+
+
+def test_quality_gam(spark, table):
+    documents, labels = table("documents", LARGER), table("labels", LARGER)
+    got = quality_gam.score(documents, quality_gam.fit(documents, labels))
+    held = got.filter("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.9
+    assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_quality_gam_uses_pairs():
+    rng = np.random.default_rng(2)
+    x = rng.random((4000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)  # no feature tells alone
+    model = quality_gam.boost(x, y)
+    assert (0, 1) in model.pairs
+    assert np.mean((quality_gam.predict(model, x) > 0.5) == y) > 0.95
+
+
+def test_language_id(table):
+    documents, held = table("documents", LARGER), language_id.held_out()
+    found = language_id.identify(documents, language_id.fit(documents, ~held))
+    rows = found.join(documents.select("doc_id", "lang"), "doc_id").filter(held).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.95
+
+
+def test_toxicity(table):
+    documents, labels = table("documents", "/root/testdata/sf0.1"), table("labels", "/root/testdata/sf0.1")
+    model = toxicity.fit(documents, labels.filter("doc_id % 5 <> 0"))
+    held = labels.filter("doc_id % 5 = 0").withColumnRenamed("toxic", "told")
+    rows = toxicity.grade(documents, model).join(held, "doc_id").collect()
+    assert np.mean([not r.toxic for r in rows if not r.told]) > 0.98
+    assert np.mean([r.toxic for r in rows if r.told]) > 0.8
+    assert all((r.severity > 0) == r.toxic for r in rows)
+
+
+def test_one_weight_serves_all_thresholds():
+    rng = np.random.default_rng(4)
+    grade = rng.integers(0, 3, 600)
+    row = np.repeat(np.arange(600), grade)  # as many marks as the grade
+    weights, thresholds = toxicity._regress(np.append(row, 0), np.append(np.zeros(len(row), int), 1), grade, 2)
+    assert weights[0] > 1 and 0 < thresholds[0] < weights[0] < thresholds[1] < 2 * weights[0]
+
+
+def test_classifiers_odd(odd, labels, none):
+    for model in (quality_gam.fit(odd, labels), quality_gam.fit(none, labels)):
+        got = quality_gam.score(odd, model).collect()
+        assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
+    for usable in (language_id.held_out(), ~language_id.held_out()):
+        got = language_id.identify(odd, language_id.fit(odd, usable)).collect()
+        assert len(got) == len(ODD)
+        assert all(r.lang_pred == "und" for r in got if r.doc_id in (1, 2, 3, 8))
+    empty = language_id.identify(odd, language_id.fit(none, ~language_id.held_out()))
+    assert {r.lang_pred for r in empty.collect()} == {"und"}
+    for model in (toxicity.fit(odd, labels), toxicity.fit(none, labels)):
+        got = toxicity.grade(odd, model).collect()
+        assert len(got) == len(ODD) and not any(r.toxic for r in got if r.doc_id in (1, 2, 3))
+
+
+# --- Token counts --------------------------------------------------------------
+
+
+def test_token_counts(spark, table, rows):
+    from tokenizers import Tokenizer
+
+    plain_tokenizer = Tokenizer.from_file(token_counts.installed())
+    cache = scratch_path(spark, "cache")
+    got = by_id(token_counts.count_tokens(table("documents"), cache, scratch_path(spark, "run")))
+    for i, text in rows:
+        n = len(plain_tokenizer.encode(text, add_special_tokens=False).ids)
+        assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len(text.encode()), n, n > 512)
+    first = spark.read.parquet(cache)
+    assert first.count() == len({t for _, t in rows})
+    more = spark.createDataFrame([(1, rows[0][1]), (2, "a<|endoftext|>b")], "doc_id long, text string")
+    again = by_id(token_counts.count_tokens(more, cache, scratch_path(spark, "run")))
+    assert again[1].n_tokens == got[rows[0][0]].n_tokens and again[2].n_tokens == 3
+    assert spark.read.parquet(cache).count() == len({t for _, t in rows}) + 1
+
+
+def test_token_counts_odd(spark, odd, none):
+    for frame, n in ((odd, len(ODD)), (none, 0)):
+        got = token_counts.count_tokens(frame, scratch_path(spark, "cache"), scratch_path(spark, "run"))
+        assert len(out := got.collect()) == n
+        assert all(r.n_tokens == r.n_bytes == 0 for r in out if r.doc_id in (1, 2))
+
+
+# --- URLs ----------------------------------------------------------------------
+
+
+def test_url_rules(spark, labels):
+    given = [
+        (1, "http://A.Example.org/es/x?q", "a.example.org", "/es/x", "example.org/es/", "block"),
+        (2, "http://example.org/en/12#z", "example.org", "/en/12", "example.org/en/1", "block"),
+        (3, "https://x.org/", "x.org", "/", "org/", "allow"),
+        (4, "https://x.com/de/", "x.com", "/de/", "com/de/", "block"),
+        (5, "https://x.com/fr/1", "x.com", "/fr/1", "com/fr/", "allow"),
+        (6, "https://badexample.org/es/", "badexample.org", "/es/", "org/", "allow"),
+        (7, "x.com/de/", "", "", None, "allow"),
+        (8, None, "", "", None, "allow"),
+        (None, "ftp://q.net?x", "q.net", "", None, "allow"),
+        (9, "https://org", "org", "", None, "allow"),
+    ]
+    pages = spark.createDataFrame([(*r[:2], "t") for r in given], "page_id long, url string, tokens string")
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_rules.judge(pages, []).collect()}
+    assert got == {(r[0], *r[2:]) for r in given}
+    assert url_rules.mine(pages.limit(0), labels) == []
+    assert url_rules.judge(pages.limit(0), []).count() == 0
+
+
+def test_rules_are_mined_and_matched(spark):
+    pages = [(k, f"https://{'spam' if k % 4 == 0 else 'news'}.net/{'win' if k % 8 == 0 else 'a'}/{k}") for k in range(400)]
+    labels = [(k, int(k % 8 != 0), 0) for k in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    mined = url_rules.mine(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), min_support=0.05)
+    assert ("path=win",) in mined and ("host=news",) not in mined
+    got = {r.page_id: r.verdict for r in url_rules.judge(df, mined).collect()}
+    assert got == {k: "block" if k % 8 == 0 else "allow" for k in range(400)}
+
+
+# --- Pipeline and registration -------------------------------------------------
+
+
+def test_pipeline_stages(spark, table):
+    docs = table("documents")
+    for name, stage in corpus_pipeline.STAGES:
+        path = scratch_path(spark, name)
+        before = {r.doc_id for r in docs.select("doc_id").collect()}
+        stage(spark, docs, SMALL).write.parquet(path)
+        after = spark.read.parquet(path)
+        assert {r.doc_id for r in after.select("doc_id").collect()} <= before
+        if name != "mixing":
+            assert after.columns == docs.columns
+        if name == "near_dedup":
+            texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+            want = plain.near_components(texts, 5, 80)
+            assert {r.doc_id for r in after.collect()} == set(want.values())
+        docs = after
+    assert docs.count() > 0
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_queries_return_a_row_per_row(spark, name):
+    kind = "pages" if name == "op5_url_rules" else "documents"
+    got = QUERIES[name](spark, SMALL)
+    assert got.count() == spark.read.parquet(f"{SMALL}/{kind}.parquet").count()
