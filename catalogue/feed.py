@@ -43,34 +43,27 @@ CHANNELS = {
     "purchase": "ecommerce",
 }
 FIRST, REDELIVERED, CORRECTED, BROKEN = 0, 1, 2, 3
-OFFSET_STEP = 1_000_000_000
+PARTITIONS = 4
+OFFSET_STEP = 1_000_000_000  # a later copy has the smaller offset, in another partition
+LATER = "1 minute"  # of each further copy at the broker
+ENVELOPE = ["copy", "partition", "offset", "sent_at", "step"]
+SECOND_HALF = "2024-01-16"
+STEPS = 4
+FRESH = "20 days"
 BROKEN_TEXT = '{"event_id": bad'
 # ------------------------------------------------------------------------------
 
 
-def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
-
-
-def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Give every core a share where the scan has fewer splits than there are cores.
-
-    Writing and reading JSON takes far longer than moving the few columns it is
-    made from. A table of any size has splits enough and is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
-
-
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = _scan(spark, sf_dir)
-    return _spread(scan, scan)
+    """Events dealt by id, as a broker deals keyed messages over its partitions."""
+    events = pin_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
+    return events.repartition("event_id")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     reader = pin_utc(spark).readStream.schema(EVENTS_DDL)
-    stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return _spread(stream, _scan(spark, sf_dir))
+    events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return events.repartition("event_id")
 
 
 def _sql_list(values: Iterable[object]) -> str:
@@ -104,7 +97,12 @@ _TRANSACTION = f"""
     '10.0.0.1' AS ip_address;
     CAST(ts AS TIMESTAMP) AS event_ts;
     copy;
-    event_id + CAST(copy AS BIGINT) * {OFFSET_STEP} AS offset
+    CAST((event_id + copy) % {PARTITIONS} AS INT) AS partition;
+    event_id DIV {PARTITIONS} + CAST({BROKEN} - copy AS BIGINT) * {OFFSET_STEP} AS offset;
+    CAST(ts AS TIMESTAMP) + copy * INTERVAL {LATER} AS sent_at;
+    CAST(if(ts < '{SECOND_HALF}', 0, 1)
+      + CASE copy WHEN {REDELIVERED} THEN 1 WHEN {CORRECTED} THEN 1 + event_id % 2 ELSE 0 END
+      AS INT) AS step
 """
 
 
@@ -117,7 +115,7 @@ def transactions(events: DataFrame) -> DataFrame:
 
 
 def payload(events: DataFrame) -> DataFrame:
-    """The transactions with every payload field, plus ``copy`` and ``offset``."""
+    """The transactions with every payload field, plus those of :data:`ENVELOPE`."""
     return score(transactions(events)).withColumns(
         {"producer_app": F.lit("fixture"), "schema_version": F.lit("1.0")}
     )
@@ -125,15 +123,29 @@ def payload(events: DataFrame) -> DataFrame:
 
 def messages(events: DataFrame) -> DataFrame:
     """Message envelopes as a broker source would deliver them."""
+    return _envelopes(payload(events)).drop("step")
+
+
+def messages_in_steps(events: DataFrame) -> DataFrame:
+    """The envelopes and in which of :data:`STEPS` deliveries each comes: events by
+    half of the month, and their copies one or two deliveries later. Some
+    redelivered ones bear a later event time, and so come in time."""
     sent = payload(events)
-    document = as_json(*[c for c in sent.columns if c not in ("copy", "offset")])
+    fresh = (F.col("copy") == REDELIVERED) & (F.col("event_id").cast("bigint") % 100 == 0)
+    later = F.when(fresh, F.expr(f"event_ts + INTERVAL {FRESH}")).otherwise(F.col("event_ts"))
+    return _envelopes(sent.withColumn("event_ts", later))
+
+
+def _envelopes(sent: DataFrame) -> DataFrame:
+    document = as_json(*[c for c in sent.columns if c not in ENVELOPE])
     text = F.when(F.col("copy") == BROKEN, BROKEN_TEXT).otherwise(document)
     return sent.select(
         F.col("transaction_id").cast("binary").alias("key"),
         text.cast("binary").alias("value"),
         F.lit("transactions").alias("topic"),
-        F.lit(0).alias("partition"),
+        "partition",
         "offset",
-        F.col("event_ts").alias("timestamp"),
+        F.col("sent_at").alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        "step",
     )

@@ -38,7 +38,11 @@ fields AS (
     CASE WHEN event_type IN ('click', 'purchase') THEN '10.0.0.1' END AS ip_address,
     ts AS event_ts,
     copy,
-    event_id + CAST(copy AS BIGINT) * 1000000000 AS kafka_offset
+    CAST((event_id + copy) % 4 AS INTEGER) AS kafka_partition,
+    event_id // 4 + CAST(3 - copy AS BIGINT) * 1000000000 AS kafka_offset,
+    ts + to_minutes(copy) AS kafka_timestamp,
+    CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END
+      + CASE copy WHEN 1 THEN 1 WHEN 2 THEN 1 + event_id % 2 ELSE 0 END AS step
   FROM sent
 ),
 signals AS (
@@ -107,7 +111,7 @@ _PARSED = f"""{_SENT},
 parsed AS (
   SELECT
     {_parsed_fields},
-    kafka_offset, event_ts AS kafka_timestamp
+    kafka_partition, kafka_offset, kafka_timestamp, step
   FROM payload
 ),
 flagged AS (
@@ -117,7 +121,10 @@ flagged AS (
 )
 """
 _VALID = "event_id IS NOT NULL AND transaction_id IS NOT NULL AND amount > 0"
-_FIRST = "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset) = 1"
+_FIRST = (
+    "QUALIFY row_number() OVER (PARTITION BY event_id "
+    "ORDER BY kafka_timestamp, kafka_partition, kafka_offset) = 1"
+)
 _SILVER = f"""{_PARSED},
 silver AS (SELECT * FROM flagged WHERE {_VALID} {_FIRST})
 """
@@ -125,7 +132,7 @@ silver AS (SELECT * FROM flagged WHERE {_VALID} {_FIRST})
 _FULL = f"""{_RAW},
 flagged AS (
   SELECT {", ".join(f"CASE WHEN copy <> 3 THEN {n} END AS {n}" for n in _PAYLOAD_FIELDS)},
-    0 AS kafka_partition, kafka_offset, event_ts AS kafka_timestamp,
+    kafka_partition, kafka_offset, kafka_timestamp, step,
     sha256(concat_ws('||', kafka_key, raw_json)) AS bronze_record_hash,
     copy <> 3 AND amount >= 1000 AS is_high_amount_txn,
     copy <> 3 AND country <> 'US' AS is_cross_border
@@ -181,6 +188,26 @@ _DEDUP_AFTER = f"""WITH {_FULL},
 firsts AS (SELECT * FROM flagged {_FIRST})
 SELECT {_CLEAN_COLUMNS} FROM firsts WHERE {_VALID}"""
 
+
+# Valid rows, and whether they are above the watermark of the deliveries before.
+_IN_TIME = f"""
+valid AS (SELECT * FROM flagged WHERE {_VALID}),
+marks AS (SELECT step, max(event_ts) AS newest FROM valid GROUP BY step),
+timed AS (
+  SELECT *, coalesce(event_ts > watermark, TRUE) AS in_time FROM (
+    SELECT *, (SELECT max(newest) FROM marks WHERE marks.step < valid.step)
+      - INTERVAL 10 MINUTE AS watermark
+    FROM valid)
+)"""
+
+
+_WITH_FRESH = (
+    "ts AS event_ts,",
+    "ts + CASE WHEN copy = 1 AND event_id % 100 = 0 THEN INTERVAL 20 DAY ELSE INTERVAL 0 DAY END"
+    " AS event_ts,",
+)
+_IN_STEPS = "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY step) = 1"
+
 _CUSTOMER = f"""WITH {_SILVER}
 SELECT customer_id, count(*) AS transaction_count, {_TOTAL} AS total_amount,
   {_MEAN} AS avg_amount, round(max(amount), 2) AS max_amount,
@@ -206,8 +233,8 @@ FROM days"""
 
 ORACLE: dict[str, str] = {
     "bronze_envelope": f"""WITH {_RAW}
-SELECT kafka_key, raw_json, 'transactions' AS kafka_topic, 0 AS kafka_partition, kafka_offset,
-  event_ts AS kafka_timestamp, 0 AS kafka_timestamp_type,
+SELECT kafka_key, raw_json, 'transactions' AS kafka_topic, kafka_partition, kafka_offset,
+  kafka_timestamp, 0 AS kafka_timestamp_type,
   'azure_event_hubs_kafka' AS source_system
 FROM raw""",
     "bronze_record_hash": f"""WITH {_RAW}
@@ -233,6 +260,16 @@ UNION ALL SELECT 'valid_amount', count(*) FILTER (c), count(*) FILTER (NOT c) FR
     "silver_stream": _DEDUP_BEFORE,
     "silver_stream_after": _DEDUP_AFTER,
     "silver_stream_within_watermark": _DEDUP_BEFORE,
+    "silver_stream_batches": f"""WITH {_FULL.replace(*_WITH_FRESH)}, {_IN_TIME}
+SELECT {_CLEAN_COLUMNS} FROM timed WHERE in_time {_IN_STEPS}""",
+    "silver_stream_batches_within": f"""WITH {_FULL.replace(*_WITH_FRESH)}, {_IN_TIME}
+SELECT {_CLEAN_COLUMNS} FROM timed WHERE in_time QUALIFY coalesce(
+  lag(event_ts) OVER (PARTITION BY event_id ORDER BY step) + INTERVAL 10 MINUTE <= watermark, TRUE)
+""",
+    "late_rows_dropped": f"""WITH {_PARSED.replace(*_WITH_FRESH)}, {_IN_TIME}
+SELECT CAST(range AS INTEGER) AS step, count(event_id) AS late_rows
+FROM range(4) LEFT JOIN (SELECT * FROM timed WHERE NOT in_time) ON step = range
+GROUP BY 1""",
     "customer_risk_summary": _CUSTOMER,
     "merchant_risk_summary": f"""WITH {_SILVER}
 SELECT merchant_id, merchant_name, merchant_category, count(*) AS transaction_count,
@@ -244,6 +281,7 @@ SELECT merchant_id, merchant_name, merchant_category, count(*) AS transaction_co
 FROM silver GROUP BY merchant_id, merchant_name, merchant_category""",
     "daily_kpis": _DAILY,
     "customer_risk_distinct": f"WITH {_SILVER} {_activity('silver')}",
+    "incremental_fold": f"WITH {_SILVER} {_activity('silver')}",
     "suspicious_null_semantics": f"""WITH {_SILVER},
 hinted AS (
   SELECT customer_id, CASE WHEN customer_id % 10 <> 0 THEN is_suspicious_hint END AS hint

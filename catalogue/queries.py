@@ -16,12 +16,19 @@ from pyspark.sql import functions as F
 from catalogue import feed
 from txrisk.functions import measures as m
 from txrisk.functions.risk import is_suspicious, risk_score, risk_signals, signal_columns
+from txrisk.functions.scalars import is_cross_border, is_high_amount
 from txrisk.operators.bronze import to_bronze
 from txrisk.operators.merge import newer_rows
-from txrisk.operators.parse import parse_payload, to_typed
+from txrisk.operators.parse import fields, parse_payload, to_typed
 from txrisk.operators.rules import expect_or_drop, rule_counts
 from txrisk.plans import gold
-from txrisk.plans.incremental import apply_increment, customer_activity, increment
+from txrisk.plans.incremental import (
+    activity_of,
+    apply_fold,
+    apply_increment,
+    customer_activity,
+    increment,
+)
 from txrisk.plans.silver import clean
 from txrisk.plans.tables import TABLES, refresh_view
 from txrisk.session import scratch_path
@@ -79,19 +86,24 @@ def silver_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = to_typed(_bronze(spark, sf_dir))
-    return typed.select(
-        "kafka_offset", "amount", "country", "is_high_amount_txn", "is_cross_border"
-    )
+    parsed = parse_payload(_bronze(spark, sf_dir), fields("amount", "country"), ["kafka_offset"])
+    flags = {"is_high_amount_txn": is_high_amount(), "is_cross_border": is_cross_border()}
+    return parsed.withColumns(flags).select("kafka_offset", "amount", "country", *flags)
+
+
+def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields that the rules are about."""
+    ddl = fields("event_id", "transaction_id", "amount")
+    return parse_payload(_bronze(spark, sf_dir), ddl, ["kafka_offset"])
 
 
 def silver_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = expect_or_drop(to_typed(_bronze(spark, sf_dir)))
+    valid = expect_or_drop(_ruled(spark, sf_dir))
     return valid.select("kafka_offset", "event_id", "transaction_id", "amount")
 
 
 def rule_violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rule_counts(to_typed(_bronze(spark, sf_dir)))
+    return rule_counts(_ruled(spark, sf_dir))
 
 
 def silver_dedup_before(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +183,7 @@ def channel_nulling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sent = feed.payload(feed.read_events(spark, sf_dir)).drop("copy", "offset")
+    sent = feed.payload(feed.read_events(spark, sf_dir)).drop(*feed.ENVELOPE)
     text = encode_messages(sent).select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("string").alias("raw_json"),
@@ -224,6 +236,18 @@ def incremental_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, target))
 
 
+def incremental_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three increments, each with rows of all times, folded into kept cells."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, state = _table_name("arriving"), _table_name("cells")
+    path, root = scratch_path(spark, "arriving"), scratch_path(spark, "cells")
+    for step in range(3):
+        part = silver.filter(F.col("event_id").cast("bigint") % 3 == step)
+        _append(part.withColumn("silver_processed_ts", F.current_timestamp()), source, path)
+        apply_fold(spark, source, state, root)
+    return comparable(activity_of(read_table(spark, state)))
+
+
 def high_water_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = read_table(spark, _silver_table(spark, sf_dir))
     newer = newer_rows(silver, _before_split(silver))
@@ -277,6 +301,42 @@ def silver_stream_within_watermark(spark: SparkSession, sf_dir: str) -> DataFram
     return comparable(read_table(spark, table))
 
 
+def _refined_in_steps(
+    spark: SparkSession, sf_dir: str, **cleaning: object
+) -> tuple[str, list[int]]:
+    """The raw table grows delivery by delivery, and the clean stream is started on
+    its checkpoint again after each: the clean table's name, and how many rows each
+    delivery lost for being late."""
+    raw, out = _table_name("raw"), _table_name("clean")
+    raw_path, clean_path = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    checkpoint, late = scratch_path(spark, "refine-checkpoint"), []
+    sent = feed.messages_in_steps(feed.read_events(spark, sf_dir))
+    for step in range(feed.STEPS):
+        _append(to_bronze(sent.filter(F.col("step") == step).drop("step")), raw, raw_path)
+        query = refine(
+            spark, raw, out, checkpoint, interval=None, sink={"path": clean_path}, **cleaning
+        )
+        query.awaitTermination()
+        operators = [x for p in query.recentProgress for x in p["stateOperators"]]
+        late.append(sum(x["numRowsDroppedByWatermark"] for x in operators))
+    return out, late
+
+
+def silver_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(read_table(spark, _refined_in_steps(spark, sf_dir)[0]))
+
+
+def silver_stream_batches_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, _ = _refined_in_steps(spark, sf_dir, retention="within_watermark")
+    return comparable(read_table(spark, table))
+
+
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per delivery: rows of the clean stream lost for being late."""
+    _, late = _refined_in_steps(spark, sf_dir)
+    return spark.createDataFrame(list(enumerate(late)), "step int, late_rows bigint")
+
+
 def export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out = _silver_table(spark, sf_dir), scratch_path(spark, "export")
     export(
@@ -309,6 +369,9 @@ QUERIES: dict[str, Query] = {
     "silver_stream": silver_stream,
     "silver_stream_after": silver_stream_after,
     "silver_stream_within_watermark": silver_stream_within_watermark,
+    "silver_stream_batches": silver_stream_batches,
+    "silver_stream_batches_within": silver_stream_batches_within,
+    "late_rows_dropped": late_rows_dropped,
     "customer_risk_summary": customer_risk_summary,
     "merchant_risk_summary": merchant_risk_summary,
     "daily_kpis": daily_kpis,
@@ -322,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "incremental_replace": incremental_replace,
     "incremental_recompute": incremental_recompute,
     "incremental_apply": incremental_apply,
+    "incremental_fold": incremental_fold,
     "high_water_filter": high_water_filter,
     "export_batches": export_batches,
     "view_refresh": view_refresh,

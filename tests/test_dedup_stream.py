@@ -49,19 +49,17 @@ RETENTION = [
 ]
 
 
-@pytest.mark.parametrize("thin", [True, False])
-def test_late_rows_are_dropped_by_the_previous_watermark(spark, play, thin):
+def test_late_rows_are_dropped_by_the_previous_watermark(spark, play):
     out, _ = play(
-        [minutes(spark, b) for b in LATE], lambda s: first_arrivals_stream(s, thin_copies=thin)
+        [minutes(spark, b) for b in LATE], lambda s: first_arrivals_stream(s)
     )
     assert emitted(out) == [("a", 60), ("b", 61), ("d", 62), ("edge2", 51), ("edge3", 50.5)]
 
 
-@pytest.mark.parametrize("thin", [True, False])
-def test_rules_before_keep_the_valid_copy(spark, play, thin):
+def test_rules_before_keep_the_valid_copy(spark, play):
     out, progress = play(
         [minutes(spark, b) for b in RETENTION],
-        lambda s: first_arrivals_stream(expect_or_drop(s, RULES), thin_copies=thin),
+        lambda s: first_arrivals_stream(expect_or_drop(s, RULES)),
     )
     assert emitted(out) == [
         ("a", 2), ("b", 1), ("c", 61), ("late", 5), ("late2", 150), ("nullts", None),
@@ -69,23 +67,19 @@ def test_rules_before_keep_the_valid_copy(spark, play, thin):
     assert state(progress) == (6, 0)
 
 
-@pytest.mark.parametrize("thin", [True, False])
-def test_rules_after_lose_the_event_whose_first_copy_is_invalid(spark, play, thin):
+def test_rules_after_lose_the_event_whose_first_copy_is_invalid(spark, play):
     out, progress = play(
         [minutes(spark, b) for b in RETENTION],
-        lambda s: expect_or_drop(first_arrivals_stream(s, thin_copies=thin), RULES),
+        lambda s: expect_or_drop(first_arrivals_stream(s), RULES),
     )
     assert emitted(out) == [("b", 1), ("c", 61), ("late", 5), ("late2", 150), ("nullts", None)]
     assert state(progress) == (7, 0)
 
 
-@pytest.mark.parametrize("thin", [True, False])
-def test_within_watermark_forgets_ids(spark, play, thin):
+def test_within_watermark_forgets_ids(spark, play):
     out, progress = play(
         [minutes(spark, b) for b in RETENTION],
-        lambda s: first_arrivals_stream(
-            expect_or_drop(s, RULES), retention="within_watermark", thin_copies=thin
-        ),
+        lambda s: first_arrivals_stream(expect_or_drop(s, RULES), retention="within_watermark"),
     )
     assert emitted(out) == [
         ("a", 2), ("a", 200), ("b", 1), ("b", 201), ("c", 61), ("late", 5), ("late2", 150),
@@ -95,8 +89,7 @@ def test_within_watermark_forgets_ids(spark, play, thin):
 
 
 @pytest.mark.parametrize("retention", ["forever", "within_watermark"])
-def test_copies_are_thinned_before_the_owning_reducer(spark, play, retention):
-    """A flood of one id: the owner sees one row per input task and micro-batch."""
+def test_a_flood_of_one_id_adds_no_state(spark, play, retention):
     batch = [("hot", 1.0, 1.0)] * 500 + [(f"id{i}", 1.0, 2.0) for i in range(20)]
     later = [("hot", 1.0, 1.0)] * 500 + [("z", 1.0, 30.0)]
     out, progress = play(
@@ -104,18 +97,31 @@ def test_copies_are_thinned_before_the_owning_reducer(spark, play, retention):
         lambda s: first_arrivals_stream(s, retention=retention),
     )
     assert len(emitted(out)) == 22
-    owner, thinning = progress[0]["stateOperators"]
+    (owner,) = progress[0]["stateOperators"]
     assert owner["numRowsTotal"] == 21
-    assert thinning["customMetrics"]["numDroppedDuplicateRows"] == 499
-    assert owner["customMetrics"]["numDroppedDuplicateRows"] == 0
 
 
-@pytest.mark.parametrize("thin", [True, False])
-def test_of_differing_copies_in_one_batch_the_first_wins(spark, play, thin):
+@pytest.mark.parametrize("retention", ["forever", "within_watermark"])
+def test_a_batch_costs_what_it_brings(spark, play, retention):
+    """Twelve batches within one delay: one stateful operator, and its time for
+    removals does not grow with what it holds."""
+    batches = [[(f"id{k}-{i}", 1.0, k / 10) for i in range(2000)] for k in range(12)]
+    out, progress = play(
+        [minutes(spark, b) for b in batches],
+        lambda s: first_arrivals_stream(s, retention=retention),
+    )
+    assert out.count() == 24_000
+    operators = [p["stateOperators"] for p in progress if p["numInputRows"]]
+    assert len(operators) == 12 and {len(x) for x in operators} == {1}
+    removals = [x[0]["allRemovalsTimeMs"] for x in operators]
+    assert max(removals[6:]) <= max(removals[:6]) + 50
+
+
+def test_of_differing_copies_in_one_batch_the_first_wins(spark, play):
     """Also when they differ in event time, and so would hash apart."""
     first = [(f"id{i}", 1.0, 10.0 + i) for i in range(200)]
     second = [(f"id{i}", 2.0, 5.0 + i / 7) for i in range(200)]
-    out, _ = play([minutes(spark, first + second)], lambda s: first_arrivals_stream(s, thin_copies=thin))
+    out, _ = play([minutes(spark, first + second)], lambda s: first_arrivals_stream(s))
     assert [r[0] for r in out.select("amount").collect()] == [1.0] * 200
 
 
@@ -129,14 +135,6 @@ def test_a_late_copy_does_not_take_the_place_of_one_in_time(spark, play):
         assert emitted(out) == [("a", 100), ("x", 100), ("y", 101)]
 
 
-def test_thinning_state_is_evicted_behind_the_watermark(spark, play):
-    batches = [[(f"id{i}", 1.0, float(30 * i))] for i in range(6)]
-    _, progress = play([minutes(spark, b) for b in batches], first_arrivals_stream)
-    owner, thinning = progress[-1]["stateOperators"]
-    assert owner["numRowsTotal"] == 6
-    assert thinning["numRowsTotal"] <= 2
-
-
 def test_unknown_retention(spark):
     with pytest.raises(ValueError, match="retention"):
         first_arrivals_stream(minutes(spark, LATE[0]), retention="a while")

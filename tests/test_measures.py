@@ -49,10 +49,38 @@ def test_nan_and_infinity_spread(spark):
     assert money(spark, [1.0, math.inf]) == (math.inf, math.inf, math.inf)
 
 
-def test_sums_beyond_a_long_fall_back_on_doubles(spark):
+def test_large_amounts(spark):
     total, mean, peak = money(spark, [9e14, 9e14, 9e14])
     assert (total, mean, peak) == (2.7e15, 9e14, 9e14)
-    assert money(spark, [1e300, 1.0])[0] == 1e300
+    assert money(spark, [3e20, 1.0, 3e20])[:2] == (6e20, 2e20)
+    assert money(spark, [1e300, 1.0])[0] == math.inf  # no amount of money
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.one_of(
+            st.floats(-1e6, 1e6),
+            st.floats(-1e25, 1e25),
+            st.integers(-(10**8), 10**8).map(lambda x: x / 100),
+            st.sampled_from([math.inf, math.nan, 1e200, 0.33333]),
+        ),
+        min_size=1,
+        max_size=40,
+    ),
+    st.randoms(use_true_random=False),
+)
+def test_one_result_whatever_the_order_and_the_partitions(spark, amounts, random):
+    first = money(spark, amounts, 1)
+    random.shuffle(amounts)
+    again = money(spark, amounts, 7)
+    assert repr(first) == repr(again)
+
+
+def test_means_are_rounded_once(spark):
+    assert money(spark, [0.0149999999, 0.0])[1] == 0.01
+    assert money(spark, [0.01] * 2 + [0.0])[1] == 0.01
+    assert money(spark, [-0.01, 0.0])[1] == -0.01
 
 
 def test_nulls(spark):

@@ -146,3 +146,11 @@ def test_scratch_paths_are_shared_and_fresh(spark):
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two
     assert one.startswith(shared)
+
+
+def test_a_dropped_version_takes_its_files_along(spark, table, tmp_path):
+    root = tmp_path / "root"
+    for k in range(4):
+        refresh_view(spark.range(k + 1), table, root=str(root))
+    assert len([p for p in root.iterdir() if p.is_dir()]) == 2
+    assert spark.read.table(table).count() == 4

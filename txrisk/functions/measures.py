@@ -1,11 +1,11 @@
 """Aggregate measures of the summaries.
 
 Money arrives as doubles, and a sum of doubles depends on the order in which
-tasks finish. Amounts with at most four decimals are therefore added as whole
-ten-thousandths in a long, which is exact in any order, needs only fixed-width
-hash-aggregate buffers, and rounds ties the same way on every run. A group that
-holds anything else (NaN, infinity, more decimals, a sum near the long limit)
-falls back on the plain double sum.
+tasks finish. One rule holds for every amount, whatever else its group holds: it
+is added as a decimal, to ten places below 10**17 and as a whole number below
+10**26, which is exact in any order and rounds ties the same way on every run.
+NaN, infinities and larger numbers (which count as infinite) make the sum what
+they are.
 """
 
 from __future__ import annotations
@@ -13,55 +13,65 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS = 10_000  # per whole currency unit
-_SAFE = 4 * 10**18  # twice this still fits a long
+_FINE_BELOW, _WHOLE_BELOW = 1e17, 1e26
+MONEY = ["fine_sum", "whole_sum", "odd_sum", "amounts"]
 
 
-def units(amount: str) -> Column:
-    """Ten-thousandths as a long; null where the double has no such value."""
-    return F.rint(F.col(amount) * UNITS).try_cast("bigint")
+def money_parts(amount: str) -> dict[str, Column]:
+    """Aggregates, named as in :data:`MONEY`, that add up over parts of a group."""
+    value, size = F.col(amount), F.abs(F.col(amount))
+    fine, whole = size < _FINE_BELOW, (size >= _FINE_BELOW) & (size < _WHOLE_BELOW)
+    huge = F.when(F.isnan(value), value).otherwise(F.signum(value) * F.lit(float("inf")))
+    return {
+        "fine_sum": F.sum(F.when(fine, value).cast("decimal(28,10)")),
+        "whole_sum": F.sum(F.when(whole, value).cast("decimal(28,0)")),
+        "odd_sum": F.sum(F.when(size >= _WHOLE_BELOW, huge)),
+        "amounts": F.count(value),
+    }
 
 
-def exact_money(amount: str) -> Column:
-    """Aggregate: whether every amount given is a whole number of units."""
-    given_back = units(amount) / F.lit(float(UNITS)) == F.col(amount)
-    return F.bool_and(F.col(amount).isNull() | F.coalesce(given_back, F.lit(False)))
+def add_parts() -> dict[str, Column]:
+    """The same aggregates from rows that hold parts."""
+    kinds = {"fine_sum": "decimal(28,10)", "whole_sum": "decimal(28,0)"}
+    return {name: F.sum(F.col(name).cast(kinds[name]) if name in kinds else name) for name in MONEY}
 
 
-def _halves_up(numerator: Column, denominator: Column) -> Column:
-    """Quotient of two longs as a whole number, ties away from zero."""
-    size = F.call_function("div", 2 * F.abs(numerator) + denominator, 2 * denominator)
-    return F.when(numerator < 0, -size).otherwise(size)
+def _parts(parts: dict[str, Column] | None) -> list[Column]:
+    return [(parts or {name: F.col(name) for name in MONEY})[name] for name in MONEY]
 
 
-def _in_range(unit_sum: Column, exact: Column) -> Column:
-    return exact & unit_sum.between(-_SAFE, _SAFE)
+def money_total(parts: dict[str, Column] | None = None) -> Column:
+    """Sum to two decimals, from columns named as the parts or from aggregates."""
+    fine, whole, odd, _ = _parts(parts)
+    cents = F.round(fine, 2).cast("double")
+    large = F.coalesce(cents, F.lit(0.0)) + whole.cast("double")
+    return F.coalesce(odd, large, cents)
 
 
-def money_total(unit_sum: Column, exact: Column, plain_sum: Column) -> Column:
-    cents = _halves_up(unit_sum, F.lit(UNITS // 100).cast("bigint"))
-    return F.when(_in_range(unit_sum, exact), cents / F.lit(100.0)).otherwise(
-        F.round(plain_sum, 2)
-    )
-
-
-def money_mean(unit_sum: Column, exact: Column, plain_sum: Column, given: Column) -> Column:
-    cents = _halves_up(unit_sum, given * (UNITS // 100))
-    return F.when(_in_range(unit_sum, exact), cents / F.lit(100.0)).otherwise(
-        F.round(plain_sum / F.nullif(given, F.lit(0)), 2)
-    )
+def money_mean(parts: dict[str, Column] | None = None) -> Column:
+    """Average to two decimals, ties away from zero."""
+    fine, whole, odd, n = _parts(parts)
+    hundredfold, count = (F.abs(fine) * 100).cast("decimal(38,8)"), n.cast("decimal(15,0)")
+    # The quotient of decimals is rounded at its sixth place, which may lift it to
+    # the next whole number; the remainder, exact, tells.
+    guess = F.floor(hundredfold / F.nullif(count, F.lit(0))).cast("decimal(22,0)")
+    rest = hundredfold - guess * count
+    step = F.when(rest < 0, -1).when(2 * rest >= count, 1).otherwise(0)
+    again = F.when(rest < 0, F.when(2 * (rest + count) >= count, 0).otherwise(-1)).otherwise(step)
+    cents = (guess + again) * F.when(fine < 0, -1).otherwise(1)
+    exact = cents.cast("double") / 100
+    large = F.round((F.coalesce(fine.cast("double"), F.lit(0.0)) + whole.cast("double")) / n, 2)
+    return F.coalesce(odd / F.nullif(n, F.lit(0)), large, exact)
 
 
 def total(amount: str) -> Column:
     """Sum to two decimals; null when no amount is given."""
-    return money_total(F.try_sum(units(amount)), exact_money(amount), F.sum(amount))
+    return money_total(money_parts(amount))
 
 
 def mean(amount: str) -> Column:
     """Average to two decimals; null when no amount is given."""
-    return money_mean(
-        F.try_sum(units(amount)), exact_money(amount), F.sum(amount), F.count(amount)
-    )
+    return money_mean(money_parts(amount))
 
 
 def peak(amount: str) -> Column:

@@ -11,16 +11,17 @@ from txrisk.schema import WATERMARK_DELAY
 
 Retention = Literal["forever", "within_watermark"]
 
-_TASK, _BATCH = "_task", "_batch"
-
 
 def first_arrivals(
     df: DataFrame,
     key: str = "event_id",
-    arrival: tuple[str, ...] = ("kafka_offset", "kafka_partition"),
+    arrival: tuple[str, ...] = ("kafka_timestamp", "kafka_partition", "kafka_offset"),
 ) -> DataFrame:
     """Batch form. A null key is a key like any other.
 
+    Offsets count within a partition, so that across partitions only the broker's
+    time tells which copy came first.
+
     Spark turns "row_number = 1" into a per-task limit ahead of the shuffle, so
     a task passes on at most one row per key: an id that holds a third of the
     table reaches its reducer as one row per map task.
@@ -39,7 +40,6 @@ def first_arrivals_stream(
     event_time: str = "event_ts",
     delay: str = WATERMARK_DELAY,
     retention: Retention = "forever",
-    thin_copies: bool = True,
 ) -> DataFrame:
     """Stream form, under an event-time watermark.
 
@@ -47,21 +47,12 @@ def first_arrivals_stream(
     newer than the watermark are dropped. ``within_watermark``: an id is
     forgotten one delay after its event time, and may then pass again.
 
-    With ``thin_copies`` each input task's rows of one id in one micro-batch are
-    first reduced to the first that is not late. A flood of copies of one id is
-    thereby spread over as many reducers as there were input tasks, and one row
-    per task goes on to the reducer that owns the id. Results stay the same: the
-    owner would have met the row kept first, in the same micro-batch, and dropped
-    the others. The extra state is forgotten behind the watermark. Changing the
-    setting needs a new checkpoint.
+    Every copy goes to the reducer that owns its id and costs one look-up there; a
+    flood of copies of one id is that one reducer's work, and adds no state.
     """
     if retention not in ("forever", "within_watermark"):
         raise ValueError(f"retention must be forever or within_watermark, not {retention!r}")
     rows = df.withWatermark(event_time, delay)
-    if thin_copies:
-        share = {_TASK: F.spark_partition_id(), _BATCH: F.current_timestamp()}
-        marked = rows.withColumns(share)
-        rows = marked.dropDuplicatesWithinWatermark([key, *share]).drop(*share)
     if retention == "within_watermark":
         return rows.dropDuplicatesWithinWatermark([key])
     return rows.dropDuplicates([key])

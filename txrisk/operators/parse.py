@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.scalars import is_cross_border, is_high_amount, iso_timestamp
 from txrisk.schema import CARRIED, PAYLOAD_DDL
 
+_TOP_LEVEL_COMMA = re.compile(r",\s*(?![^<]*>)")
+
+
+def fields(*names: str) -> str:
+    """DDL of some payload fields: the parser passes over the others."""
+    kinds = dict(x.split(maxsplit=1) for x in _TOP_LEVEL_COMMA.split(PAYLOAD_DDL.strip()))
+    return ", ".join(f"{name} {kinds[name]}" for name in names)
+
 
 def parse_payload(
     bronze: DataFrame, ddl: str = PAYLOAD_DDL, carried: list[str] = CARRIED

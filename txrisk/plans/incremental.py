@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions import measures as m
@@ -19,38 +19,47 @@ KEY = "customer_id"
 COMMENT = "Customer activity, kept by increments"
 
 
-def customer_activity(silver: DataFrame) -> DataFrame:
-    """Per customer: totals, and how many different countries and categories.
+CELL = [KEY, "country", "merchant_category"]
+ARRIVAL = "silver_processed_ts"
 
-    Two steps. First one row per customer, country and category, combined inside
-    each task before the shuffle; then those rows per customer. Asking for both
-    distinct counts directly would make Spark write every transaction three times
-    over before it can combine anything.
-    """
-    cells = summarise(
+
+def activity_cells(silver: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """One row per customer, country and category, of figures that add up: combined
+    inside each task before the shuffle."""
+    return summarise(
         silver,
-        [KEY, "country", "merchant_category"],
+        CELL,
         {
             "transactions": m.rows(),
             "suspicious": m.flagged("is_suspicious_hint"),
-            "unit_sum": F.try_sum(m.units("amount")),
-            "exact": m.exact_money("amount"),
-            "plain_sum": F.sum("amount"),
-            "amounts": m.given("amount"),
+            **m.money_parts("amount"),
             "largest": F.max("amount"),
             "newest": m.latest("event_ts"),
+            **(more or {}),
         },
     )
-    # A unit sum can also be null because it overflowed; that is not exact.
-    summed = F.col("unit_sum").isNotNull() | (F.col("amounts") == 0)
-    money = F.try_sum("unit_sum"), F.bool_and(F.col("exact") & summed), F.sum("plain_sum")
+
+
+def customer_activity(silver: DataFrame) -> DataFrame:
+    """Per customer: totals, and how many different countries and categories.
+
+    Two steps: cells, then the cells of each customer. Asking for both distinct
+    counts directly would make Spark write every transaction three times over
+    before it can combine anything.
+    """
+    return activity_of(activity_cells(silver))
+
+
+def activity_of(cells: DataFrame) -> DataFrame:
+    """Per customer, from the cells of :func:`activity_cells`."""
+    money = m.add_parts()
     return summarise(
         cells,
         [KEY],
         {
             "transaction_count": F.sum("transactions"),
-            "total_amount": m.money_total(*money),
-            "avg_amount": m.money_mean(*money, F.sum("amounts")),
+            "total_amount": m.money_total(money),
+            "avg_amount": m.money_mean(money),
             "max_amount": m.peak("largest"),
             "suspicious_transaction_count": F.sum("suspicious"),
             "countries_used": m.distinct("country"),
@@ -66,8 +75,8 @@ def increment(silver: DataFrame, target: DataFrame | None, mode: Mode = "replace
     ``replace`` summarises only rows newer than the target's newest, and puts
     that in place of what the customer had: cheap, but a customer's figures then
     cover the last increment only, and rows without a customer pile up.
-    ``recompute`` gives those customers the figures of their whole history. It
-    needs no join back to the transactions: a customer has newer rows exactly
+    ``recompute`` gives those customers the figures of their whole history, and
+    reads all of it; :func:`fold` does not. It needs no join back to the transactions: a customer has newer rows exactly
     when their newest row is newer, which the summary itself tells. Rows without
     a customer are always recomputed. Either way late rows of other customers
     wait until the customer's next newer row.
@@ -85,6 +94,47 @@ def increment(silver: DataFrame, target: DataFrame | None, mode: Mode = "replace
     return merge_by_key(target, _stamped(changes), KEY)
 
 
+def fold(silver: DataFrame, state: DataFrame | None) -> DataFrame:
+    """The next state: cells with ``arrived``, the newest arrival in each.
+
+    Only rows that reached the clean table after everything in the state are read,
+    by a bound on their arrival that the scan is given; their cells are added to
+    those kept. Late rows and rows of tied or no event time count like any others.
+    The cost follows the increment and the number of cells, not the history.
+    """
+    newer = newer_rows(silver, state, ARRIVAL, "arrived")
+    cells = activity_cells(newer, {"arrived": m.latest(ARRIVAL)})
+    if state is None:
+        return cells
+    added = {
+        "transactions": F.sum("transactions"),
+        "suspicious": F.sum("suspicious"),
+        **m.add_parts(),
+        "largest": F.max("largest"),
+        "newest": F.max("newest"),
+        "arrived": F.max("arrived"),
+    }
+    return summarise(state.unionByName(cells), CELL, added).select(*state.columns)
+
+
+def apply_fold(
+    spark: SparkSession,
+    clean_table: str,
+    state: str,
+    root: str | None = None,
+    format: str = "parquet",
+    buckets: int | None = None,
+) -> str:
+    """Bring the cells behind ``state`` up to date; ``activity_of`` reads them.
+
+    Each call takes what the clean table holds now and the state does not.
+    """
+    silver = pin_utc(spark).read.table(clean_table)
+    current = spark.read.table(state) if spark.catalog.tableExists(state) else None
+    bucketed = (buckets, KEY) if buckets else None
+    return refresh_view(fold(silver, current), state, COMMENT, root, format, bucketed=bucketed)
+
+
 def _stamped(activity: DataFrame) -> DataFrame:
     return activity.withColumn("dbt_processed_ts", F.current_timestamp())
 

@@ -14,10 +14,10 @@ from txrisk.schema import WATERMARK_DELAY
 Placement = Literal["before_dedup", "after_dedup"]
 
 
-def _one_per_event(df: DataFrame, delay: str, retention: Retention, thin_copies: bool) -> DataFrame:
+def _one_per_event(df: DataFrame, delay: str, retention: Retention) -> DataFrame:
     if not df.isStreaming:
         return first_arrivals(df)
-    return first_arrivals_stream(df, delay=delay, retention=retention, thin_copies=thin_copies)
+    return first_arrivals_stream(df, delay=delay, retention=retention)
 
 
 def clean(
@@ -26,7 +26,6 @@ def clean(
     delay: str = WATERMARK_DELAY,
     retention: Retention = "forever",
     rules: dict[str, str] = SILVER_RULES,
-    thin_copies: bool = True,
     watch: str | None = None,
 ) -> DataFrame:
     """Raw rows, batch or stream, to typed, flagged, valid, unique transactions.
@@ -44,7 +43,7 @@ def clean(
         return expect_or_drop(watch_rules(df, watch, rules) if watch else df, rules)
 
     def unique(df: DataFrame) -> DataFrame:
-        return _one_per_event(df, delay, retention, thin_copies)
+        return _one_per_event(df, delay, retention)
 
     typed = to_typed(bronze)
     if rules_at == "before_dedup":

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from txrisk.operators.bronze import to_bronze
 from txrisk.plans.gold import customer_risk_summary, daily_kpis, merchant_risk_summary
 from txrisk.plans.silver import clean
-from txrisk.session import pin_utc
+from txrisk.session import delete_folder, pin_utc
 
 
 @dataclass(frozen=True)
@@ -73,14 +73,14 @@ def refresh_view(
     read ``target`` itself. The newest ``keep`` tables stay, so that readers which
     began on the one before can finish. Runs on one target must not overlap.
 
-    Files go under ``root`` if given; a dropped table's files there are left to the
-    caller. ``bucketed`` is a number of buckets and the column that decides.
+    Files go under ``root`` if given, and there a dropped table's folder goes with it.
+    ``bucketed`` is a number of buckets and the column that decides.
     """
     spark = df.sparkSession
     table = f"{target}__{time.time_ns() // 1_000_000}"
     writer = df.write.format(format)
     if root:
-        writer = writer.option("path", f"{root}/{table.rpartition('.')[2]}")
+        writer = writer.option("path", _folder(root, table))
     if bucketed:
         writer = writer.bucketBy(*bucketed).sortBy(bucketed[1])
     writer.saveAsTable(table)
@@ -89,9 +89,15 @@ def refresh_view(
     )
     for old in _numbered_tables(spark, target)[:-keep]:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
+        if root:
+            delete_folder(spark, _folder(root, old))
     return table
 
 
+def _folder(root: str, table: str) -> str:
+    return f"{root}/{table.rpartition('.')[2]}"
+
+
 def _numbered_tables(spark: SparkSession, target: str) -> list[str]:
     """The tables written for ``target``, oldest first (names only, from the catalog)."""
     schema, _, name = target.rpartition(".")

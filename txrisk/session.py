@@ -54,3 +54,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/txrisk/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that its path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
