@@ -168,13 +168,20 @@ def test_near_dedup_chains_and_groups(spark):
     assert len({got[i] for i, _ in group}) == 1 and len({got[i] for i, _ in halves}) == 120
 
 
-def test_crossing_pairs_split_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SMALL", 4)
-    bands = [(b, k) for k in range(12) for b in (1, 2, 100 + k // 3)]
-    rows = spark.createDataFrame(bands, "key long, id long")
-    no_labels = spark.createDataFrame([], "id long, component long")
-    pairs = near_dedup._crossing(rows, rows, no_labels).distinct().collect()
-    assert {(r.a, r.b) for r in pairs} == {(a, b) for a in range(12) for b in range(a + 1, 12)}
+def test_near_dedup_of_a_family_around_no_centre(spark, monkeypatch):
+    """Copies with edits of their own, about as similar to each other as the limit."""
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
+    rng = np.random.default_rng(9)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.choice(120, 3, replace=False):
+            words[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {i: r.component_id for i, r in by_id(near_dedup.label(df)).items()}
+    assert got == plain.near_components(rows, 3, 85)
 
 
 def test_estimates_are_near_the_truth():

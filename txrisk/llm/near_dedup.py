@@ -7,8 +7,9 @@ candidates; the likelihood of all registers jointly gives an estimate that weeds
 them; the rest is compared shingle by shingle.
 
 In a bucket every class is first compared with the smallest only. What is linked
-is then one component, and further comparisons are made only between members of
-different components, after splitting large buckets by their other bands.
+is then one component; in some rounds, what is outside a bucket's main component is
+compared with one member of it after another. At last all pairs of one bucket and
+different components are compared, in blocks.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ from pyspark.sql import functions as F
 
 from txrisk.llm import text as tx
 from txrisk.llm.graph import components
-from txrisk.llm.tables import written
+from txrisk.llm.tables import packed, unpacked, written
 
 SHINGLE = 3  # words
 PERCENT = 85  # of the union that the intersection must be
 BANDS, ROWS = 36, 8  # at 85 %, all bands miss a pair once in 90,000
 BASE, RATE, TOP = 1.1, 20.0, 255  # scale of the registers: a byte each
-MARGIN = 0.15  # below the limit, for estimates: seven standard deviations
-SMALL, DEPTH = 64, 3  # buckets beyond so many members are split, so often
+MARGIN = 0.10  # below the limit, for estimates: nearly five standard deviations
+ROUNDS = 2  # of comparing what is outside a bucket's main component with one of it
+BLOCK = 128  # members of a bucket compared with as many at once
 
 _M = BANDS * ROWS
 _FACTORS = np.random.default_rng(20240101).integers(1, 1 << 63, _M, np.uint64) * np.uint64(2)
@@ -125,72 +127,176 @@ def _compare(size: int, percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, None
         for batch in batches:
-            good = []
-            texts = [batch.column("text_a"), batch.column("text_b")]
+            good, ids = [], batch.column("a").to_numpy()
             for k in range(batch.num_rows):
-                pair = []
-                for column in texts:
-                    raw = np.frombuffer(column[k].as_py().encode(), np.uint8)
-                    if column is texts[0] and last is not None and np.array_equal(raw, last):
-                        pair.append(known)
+                sets = []
+                for c in "ab":
+                    if c == "a" and ids[k] == last:
+                        sets.append(known)
                         continue
-                    found, _ = _sets(raw, np.array([0, len(raw)]), size)
-                    if column is texts[0]:
-                        last, known = raw, found
-                    pair.append(found)
-                both = len(np.intersect1d(*pair, assume_unique=True))
-                good.append(100 * both >= percent * (len(pair[0]) + len(pair[1]) - both))
+                    row = batch.column(f"packed_{c}")[k].as_py()
+                    raw = unpacked(row, batch.column(f"size_{c}")[k].as_py())
+                    sets.append(_sets(raw, np.array([0, len(raw)]), size)[0])
+                last, known = ids[k], sets[0]
+                both = len(np.intersect1d(*sets, assume_unique=True))
+                good.append(100 * both >= percent * (len(sets[0]) + len(sets[1]) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return compare
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, size: int, percent: int):
+def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int):
     """Those of the pairs ``a < b`` of class ids that are linked."""
     pairs = written(pairs.distinct(), "near-pairs")
     side = lambda c: reps.select(
-        F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"registers_{c}")
+        F.col("id").alias(c),
+        F.col("n_shingles").alias(f"n_{c}"),
+        F.col("registers").alias(f"registers_{c}"),
     )
     told = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
-    sized = told.filter(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    )
+    sized = told.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     likely = sized.mapInArrow(_likely(percent / 100 - MARGIN), "a long, b long")
     likely = written(likely.distinct(), "near-likely")
     ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    texts = documents.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
-    texts = written(texts, "near-texts")
-    text = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    # The pairs of one smallest class come together: its text is read once in a task.
+    used = written(texts.join(ids.hint("merge"), "doc_id", "left_semi"), "near-used")
+    text = lambda c: used.select(
+        F.col("doc_id").alias(c), F.col("packed").alias(f"packed_{c}"), F.col("size").alias(f"size_{c}")
+    )
+    # Pairs of one id come together: its set is made once in a task.
     both = likely.join(text("b").hint("merge"), "b").join(text("a").hint("merge"), "a")
     return written(both.mapInArrow(_compare(size, percent), "a long, b long").distinct(), "near-links")
 
 
-def _crossing(rows: DataFrame, reps_bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of one bucket and different components, from ``key, id`` rows."""
-    found = None
-    for depth in range(DEPTH + 1):
-        part = rows.join(labels, "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        part = written(part, "near-members")
-        sizes = part.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, band, id, component, main, n, n_out`` of the buckets of several
+    components: ``main`` is the one of most members, ``n_out`` how many of all ``n``
+    are outside it."""
+    part = rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    part = written(part.select("key", "band", "id", "component"), "near-members")
+    sizes = part.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+    most = F.max(F.struct("n", "component"))
+    told = sizes.agg(F.sum("n").alias("n"), most.alias("most"), F.count(F.lit(1)).alias("several"))
+    told = told.filter("several > 1").select(
+        "key", F.col("most.component").alias("main"), "n", (F.col("n") - F.col("most.n")).alias("n_out")
+    )
+    return written(part.join(written(told, "near-mixed"), "key"), "near-unresolved")
+
+
+def _again(members: DataFrame, round_: int) -> DataFrame:
+    """Pairs ``a < b`` of members outside a bucket's main component with one member
+    of it, another one in every round and bucket."""
+    main = members.filter("component = main").groupBy("key")
+    lead = main.agg(F.min_by("id", F.xxhash64("id", "key", F.lit(round_))).alias("lead"))
+    lead = written(lead, "near-leads")
+    pairs = members.filter("component <> main").join(lead, "key")
+    return pairs.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
+
+
+def _blocks(rows: DataFrame, count: str, side: str, columns: list[str]) -> DataFrame:
+    """A bucket's rows in blocks of about ``BLOCK``, dealt by hash."""
+    dealt = F.pmod(F.xxhash64("id"), F.ceil(F.col(count) / BLOCK))
+    packed_rows = F.collect_list(F.struct(*columns)).alias(side)
+    return rows.groupBy("key", "band", "main", dealt.alias("block")).agg(packed_rows).drop("block")
+
+
+def _opposed(members: DataFrame, columns: list[str]) -> DataFrame:
+    """``key, band, main, x, y``: blocks of what is outside a bucket's main component
+    beside blocks of all of it."""
+    out = _blocks(members.filter("component <> main"), "n_out", "x", columns)
+    every = _blocks(members, "n", "y", columns).drop("band", "main")
+    return out.join(every.hint("merge"), "key")
+
+
+class _Block:
+    def __init__(self, rows: pa.Array):
+        self.rows = rows
+        take = lambda c: rows.field(rows.type.get_field_index(c))
+        self.id, self.component, self.n = (
+            take(c).to_numpy(zero_copy_only=False) for c in ("id", "component", "n_shingles")
         )
-        mixed = written(sizes.filter("low < high").select("key", "n"), "near-mixed")
-        members = written(part.join(mixed, "key"), "near-unresolved")
-        last = depth == DEPTH
-        small = members if last else members.filter(F.col("n") <= SMALL)
-        a, b = (small.select("key", F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-        pairs = a.join(b, "key").filter("ca <> cb AND a < b").select("a", "b")
-        found = pairs if found is None else found.unionByName(pairs)
-        large = members.filter(F.col("n") > SMALL).select("key", "id")
-        if last or large.isEmpty():
-            return found
-        deeper = large.join(reps_bands.withColumnRenamed("key", "other"), "id")
-        rows = deeper.filter("key <> other").select(
-            F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id"
-        ).distinct()
+        data = b"".join(take("registers").to_pylist())
+        self.registers = np.frombuffer(data, np.uint8).reshape(-1, _M)
+
+
+def _likely_across(x: _Block, y: _Block, main: int, band: int, percent: int):
+    """Places in both blocks of the pairs to compare: of different components, of
+    sizes and registers that allow it, in the first band that they share."""
+    open_ = x.component[:, None] != y.component[None, :]
+    open_ &= (y.component == main)[None, :] | (x.id[:, None] < y.id[None, :])
+    n_x, n_y = x.n[:, None], y.n[None, :]
+    open_ &= 100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)
+    i, j = np.nonzero(open_)
+    if not len(i):
+        return i, j
+    same = x.registers[i] == y.registers[j]
+    near = same.mean(1) >= percent / 100 - 2 * MARGIN
+    i, j, same = i[near], j[near], same[near]
+    first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+    i, j = i[first], j[first]
+    likely = estimate(x.registers[i], y.registers[j], x.n[i].astype(float), y.n[j].astype(float))
+    good = likely >= percent / 100 - MARGIN
+    return i[good], j[good]
+
+
+def _each_opposed(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            x, y = (_Block(batch.column(c)[k].values) for c in "xy")
+            yield x, y, batch.column("main")[k].as_py(), batch.column("band")[k].as_py(), batch.column("key")[k].as_py()
+
+
+def _ids_across(percent: int):
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y, main, band, key in _each_opposed(batches):
+            i, j = _likely_across(x, y, main, band, percent)
+            if len(i):
+                found = np.unique(np.concatenate([x.id[i], y.id[j]]))
+                columns = [pa.array(np.full(len(found), key)), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "id"])
+
+    return ids
+
+
+def _links_across(size: int, percent: int):
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y, main, band, _ in _each_opposed(batches):
+            i, j = _likely_across(x, y, main, band, percent)
+            sets: dict[int, np.ndarray] = {}
+            for block, places in ((x, i), (y, j)):
+                for k in np.unique(places):
+                    if int(block.id[k]) not in sets:
+                        row = block.rows[int(k)]
+                        raw = unpacked(row["packed"].as_py(), row["size"].as_py())
+                        sets[int(block.id[k])] = _sets(raw, np.array([0, len(raw)]), size)[0]
+            pairs = []
+            for a, b in zip(x.id[i].tolist(), y.id[j].tolist(), strict=True):
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    pairs.append((min(a, b), max(a, b)))
+            if pairs:
+                low, high = zip(*pairs, strict=True)
+                columns = [pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return links
+
+
+def _across(members: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int):
+    """The links ``a < b`` between different components of one bucket.
+
+    What is outside a bucket's main component meets the whole bucket, block by block
+    and inside a task: no pair is written. By registers first, which leaves few ids
+    whose texts are then brought and compared.
+    """
+    told = members.join(reps.hint("merge"), "id")
+    columns = ["id", "component", "n_shingles", "registers"]
+    needed = _opposed(told, columns).mapInArrow(_ids_across(percent), "key long, id long")
+    needed = written(needed.distinct(), "near-needed")
+    few = told.join(needed.hint("merge"), ["key", "id"])
+    few = few.join(texts.withColumnRenamed("doc_id", "id").hint("merge"), "id")
+    opposed = _opposed(few, [*columns, "packed", "size"])
+    found = opposed.mapInArrow(_links_across(size, percent), "a long, b long").distinct()
+    return written(found, "near-across")
 
 
 def label(
@@ -215,12 +321,16 @@ def label(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("registers", i * ROWS + 1, F.lit(ROWS))),
     )
-    bands = reps.select("id", F.explode(keys).alias("key")).distinct()
+    bands = reps.select("id", F.posexplode(keys).alias("band", "key")).distinct()
     leads = bands.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
     leads = written(leads.filter("n > 1").select("key", "a"), "near-leads")
     shared = written(bands.join(leads.hint("merge"), "key"), "near-buckets")
+    members = shared.select("key", "band", "id")
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    texts = packed(documents.filter("doc_id IS NOT NULL")).join(ids.hint("merge"), "doc_id", "left_semi")
+    texts = written(texts, "near-texts")
     stars = shared.filter("a < id").select("a", F.col("id").alias("b"))
-    links = _verified(stars, reps, documents, size, percent)
+    links = _verified(stars, reps, texts, size, percent)
 
     # Rows of one id with different texts: their classes are linked by the id.
     several = usable.select("doc_id", "d1", "d2").distinct().groupBy("doc_id")
@@ -229,8 +339,14 @@ def label(
     links = links.union(same.filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
 
     labels = components(links)
-    members = shared.select("key", "id")
-    more = _verified(_crossing(members, members, labels), reps, documents, size, percent)
+    for round_ in range(ROUNDS):
+        unresolved = _mixed(members, labels)
+        more = _verified(_again(unresolved, round_), reps, texts, size, percent)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labels = components(links)
+    more = _across(_mixed(members, labels), reps, texts, size, percent)
     if not more.isEmpty():
         labels = components(links.union(more))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import text as tx
-from txrisk.llm.tables import written
+from txrisk.llm.tables import packed, unpacked, written
 
 LENGTH = 100  # bytes of a string that counts
 GRAM = 32  # bytes hashed at a position
@@ -51,7 +51,6 @@ _SPAN = np.int64((1 << 7) - 1)
 SINGLE, REPEAT, OPEN, SEVERAL = 0, 1, 2, 3
 NAMES_DDL = "name long, wide long, doc_id long, low long, kind int"
 FOUND_DDL = "doc_id long, low long, high long, open boolean"
-PACKED_DDL = "doc_id long, packed binary, size long"
 
 
 def _sums(part: np.ndarray, which: int) -> np.ndarray:
@@ -217,25 +216,6 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(FOUND_DDL, [np.concatenate(x) for x in zip(*columns, strict=True)])
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, raw, offsets in tx.pieces(batches):
-        data = raw.tobytes()
-        rows = [
-            pa.compress(data[a:b], codec="zstd", asbytes=True) if b > a else b""
-            for a, b in zip(offsets, offsets[1:], strict=False)
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(rows, pa.binary()), pa.array(np.diff(offsets))],
-            names=["doc_id", "packed", "size"],
-        )
-
-
-def _unpacked(row: bytes, size: int) -> np.ndarray:
-    if not size:
-        return np.zeros(0, np.uint8)
-    return np.frombuffer(pa.decompress(row, size, codec="zstd", asbytes=True), np.uint8)
-
-
 def _pairs(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The low and high values of a row's list of ranges."""
     if not column[k].is_valid:
@@ -254,7 +234,7 @@ def _open_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ids = batch.column("doc_id").to_numpy()
         packed, sizes = batch.column("packed"), batch.column("size").to_numpy()
         for k in range(batch.num_rows):
-            raw = _unpacked(packed[k].as_py(), int(sizes[k]))
+            raw = unpacked(packed[k].as_py(), int(sizes[k]))
             low, high = _pairs(batch.column("ranges"), k)
             wanted = np.zeros(len(raw) + 1, np.int8)
             np.add.at(wanted, np.minimum(low, len(raw)), 1)
@@ -313,11 +293,6 @@ def _ranges(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
 
 
-def packed(documents: DataFrame) -> DataFrame:
-    """``doc_id, packed, size``: texts compressed, to be moved."""
-    return documents.select("doc_id", "text").mapInArrow(_packed, PACKED_DDL)
-
-
 def find(documents: DataFrame) -> DataFrame:
     """``doc_id, ranges`` of bytes to remove (low and high, overlapping ones too)."""
     texts = documents.filter("doc_id IS NOT NULL").select("doc_id", "text")
@@ -347,7 +322,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, removed, runs, digests = batch.column("size").to_numpy(), [], [], []
         for k in range(batch.num_rows):
-            raw = _unpacked(batch.column("packed")[k].as_py(), int(sizes[k]))
+            raw = unpacked(batch.column("packed")[k].as_py(), int(sizes[k]))
             left, gone, n = _left(raw, *_pairs(batch.column("ranges"), k))
             removed.append(gone)
             runs.append(n)
