@@ -315,6 +315,8 @@ UNION ALL SELECT * FROM changes""",
     "high_water_filter": f"""WITH {_TARGET}
 SELECT event_id, customer_id, amount, event_ts FROM newer""",
     "export_batches": _DEDUP_BEFORE,
+    "export_appended": _DEDUP_BEFORE,
+    "gold_kept_fresh": _DAILY,
     "view_refresh": _CUSTOMER,
     "gold_catch_up": _DAILY,
 }

@@ -34,8 +34,8 @@ from txrisk.plans.tables import TABLES, refresh_view
 from txrisk.session import scratch_path
 from txrisk.sources.messages import encode_messages
 from txrisk.sources.tables import read_table
-from txrisk.streaming.hops import catch_up, export, ingest, refine
-from txrisk.streaming.sinks import replace_batch_in
+from txrisk.streaming.hops import catch_up, export, ingest, keep_fresh, refine
+from txrisk.streaming.sinks import append_to, replace_batch_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -349,6 +349,32 @@ def export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.parquet(out).drop("batch_id"))
 
 
+def export_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three micro-batches through a connector, one of them without rows."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, path = _table_name("exported"), scratch_path(spark, "exported")
+    out, checkpoint = scratch_path(spark, "export"), scratch_path(spark, "export-checkpoint")
+    early = F.col("event_ts") < SPLIT
+    for part in (silver.filter(early), silver.limit(0), silver.filter(~early)):
+        _append(part, source, path)
+        writer = append_to("parquet", path=out)
+        export(spark, source, writer, checkpoint, interval=None).awaitTermination()
+    return comparable(spark.read.parquet(out))
+
+
+def gold_kept_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily figures, refreshed by a stream after each growth of the clean table."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, path = _table_name("growing"), scratch_path(spark, "growing")
+    names = {name: _table_name(name) for name in TABLES}
+    checkpoint, root = scratch_path(spark, "fresh-checkpoint"), scratch_path(spark, "fresh")
+    early = F.col("event_ts") < SPLIT
+    for part in (silver.filter(early), silver.filter(~early)):
+        _append(part, source, path)
+        keep_fresh(spark, source, checkpoint, names, root, interval=None).awaitTermination()
+    return comparable(read_table(spark, names["daily_kpis"]))
+
+
 def gold_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared tables in one go; the daily figures at the end of it."""
     names = {name: _table_name(name) for name in TABLES}
@@ -388,6 +414,8 @@ QUERIES: dict[str, Query] = {
     "incremental_fold": incremental_fold,
     "high_water_filter": high_water_filter,
     "export_batches": export_batches,
+    "export_appended": export_appended,
+    "gold_kept_fresh": gold_kept_fresh,
     "view_refresh": view_refresh,
     "gold_catch_up": gold_catch_up,
 }

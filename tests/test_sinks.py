@@ -154,3 +154,19 @@ def test_a_dropped_version_takes_its_files_along(spark, table, tmp_path):
         refresh_view(spark.range(k + 1), table, root=str(root))
     assert len([p for p in root.iterdir() if p.is_dir()]) == 2
     assert spark.read.table(table).count() == 4
+
+
+def test_an_interval_runs_until_it_is_stopped(spark, table, tmp_path):
+    spark.range(5).write.saveAsTable(f"{table}_src")
+    source = read_stream_table(spark, f"{table}_src")
+    query = write_stream_table(source, table, str(tmp_path / "cp"), interval="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and spark.read.table(table).count() == 5
+        spark.range(3).write.mode("append").saveAsTable(f"{table}_src")
+        query.processAllAvailable()
+        spark.catalog.refreshTable(table)
+        assert spark.read.table(table).count() == 8
+    finally:
+        query.stop()
+    assert not query.isActive

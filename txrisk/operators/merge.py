@@ -24,6 +24,14 @@ def newer_rows(
     return df if target is None else df.filter(is_newer(ts, target, target_ts))
 
 
+def merge_into(changes: DataFrame, target: str, key: str) -> None:
+    """The same, in place, for a table format with row-level changes: only what
+    holds changed keys is written again. Null keys match nothing and are added."""
+    matches = F.col(f"{target}.{key}") == F.col(f"new.{key}")
+    merge = changes.alias("new").mergeInto(target, matches)
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def merge_by_key(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target rows with a changed key give way to the changed row.
 

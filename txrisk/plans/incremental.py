@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions import measures as m
-from txrisk.operators.merge import is_newer, merge_by_key, newer_rows
+from txrisk.operators.merge import is_newer, merge_by_key, merge_into, newer_rows
 from txrisk.plans.gold import summarise
 from txrisk.plans.tables import refresh_view
 from txrisk.session import pin_utc
@@ -117,6 +117,13 @@ def fold(silver: DataFrame, state: DataFrame | None) -> DataFrame:
     return summarise(state.unionByName(cells), CELL, added).select(*state.columns)
 
 
+def merge_increment(spark: SparkSession, clean_table: str, target: str) -> None:
+    """``replace`` on a target whose format can merge: no row of another customer is
+    written again. (Not run here: Spark's own formats cannot.)"""
+    silver, current = pin_utc(spark).read.table(clean_table), spark.read.table(target)
+    merge_into(_stamped(customer_activity(newer_rows(silver, current))), target, KEY)
+
+
 def apply_fold(
     spark: SparkSession,
     clean_table: str,

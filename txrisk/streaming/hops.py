@@ -65,6 +65,22 @@ def export(
     )
 
 
+def keep_fresh(
+    spark: SparkSession,
+    clean_table: str,
+    checkpoint: str,
+    names: dict[str, str] | None = None,
+    root: str | None = None,
+    interval: str | None = EXPORT_INTERVAL,
+) -> StreamingQuery:
+    """Refresh every declared view whenever the clean table has grown."""
+
+    def refresh(_rows: DataFrame, _batch_id: int) -> None:
+        refresh_views(spark, {**(names or {}), "transactions_clean": clean_table}, root)
+
+    return export(spark, clean_table, refresh, checkpoint, interval)
+
+
 def catch_up(
     spark: SparkSession,
     messages: DataFrame,

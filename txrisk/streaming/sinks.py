@@ -51,7 +51,9 @@ def export_stream(
     """Call ``write_batch(rows, batch_id)`` for every micro-batch that has rows.
 
     A batch whose call failed half-way is handed over again under the same id,
-    so delivery is at least once unless the writer uses the id to replace.
+    so delivery is at least once unless the writer uses the id to replace. The rows
+    are planned twice, to see whether there are any and to write them: hand over a
+    table's rows, not those of a stateful query, whose state would be run twice.
     """
 
     def hand_over(rows: DataFrame, batch_id: int) -> None:
