@@ -99,7 +99,8 @@ def fit(documents: DataFrame, usable: Column) -> Model:
     """A model from the rows where ``usable`` holds and ``lang`` is given.
 
     The sample takes the documents of lowest hash: ``MAX_PER_LANGUAGE`` of each
-    language, ``MAX_SAMPLE`` in all. Without any row, the model has no language.
+    language, ``MAX_SAMPLE`` in all, from the ``MAX_SAMPLE`` most frequent languages.
+    Without any row, the model has no language.
     """
     rows = documents.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & usable)
     counted = rows.select("text").mapInArrow(_frequencies, "bucket int, n long")
@@ -114,6 +115,7 @@ def fit(documents: DataFrame, usable: Column) -> Model:
     rank = F.xxhash64("doc_id")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(MAX_SAMPLE))
     low = F.pmod(rank, F.lit(1 << 30)) * F.col("n") < (1 << 30) * 4 * MAX_PER_LANGUAGE
     ids = rows.select("doc_id", "lang").join(sizes, "lang").filter(low).select("doc_id", "lang")
     ids = ids.distinct().withColumn("nth", nth)
