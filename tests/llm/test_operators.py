@@ -168,9 +168,8 @@ def test_near_dedup_chains_and_groups(spark):
     assert len({got[i] for i, _ in group}) == 1 and len({got[i] for i, _ in halves}) == 120
 
 
-def test_near_dedup_of_a_family_around_no_centre(spark, monkeypatch):
+def test_near_dedup_of_a_family_around_no_centre(spark):
     """Copies with edits of their own, about as similar to each other as the limit."""
-    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
     rng = np.random.default_rng(9)
     base = [f"w{k}" for k in range(120)]
     rows = []

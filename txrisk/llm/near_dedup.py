@@ -6,10 +6,9 @@ scale, cut to whole steps. Classes that agree in a band of registers are
 candidates; the likelihood of all registers jointly gives an estimate that weeds
 them; the rest is compared shingle by shingle.
 
-In a bucket every class is first compared with the smallest only. What is linked
-is then one component; in some rounds, what is outside a bucket's main component is
-compared with one member of it after another. At last all pairs of one bucket and
-different components are compared, in blocks.
+In a bucket every class is first compared with the smallest only; buckets of many
+bands have many smallest, and what is linked is mostly one component then. All pairs
+of one bucket and different components are compared after that, in blocks.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ PERCENT = 85  # of the union that the intersection must be
 BANDS, ROWS = 36, 8  # at 85 %, all bands miss a pair once in 90,000
 BASE, RATE, TOP = 1.1, 20.0, 255  # scale of the registers: a byte each
 MARGIN = 0.10  # below the limit, for estimates: nearly five standard deviations
-ROUNDS = 2  # of comparing what is outside a bucket's main component with one of it
 BLOCK = 128  # members of a bucket compared with as many at once
 
 _M = BANDS * ROWS
@@ -182,16 +180,6 @@ def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return written(part.join(written(told, "near-mixed"), "key"), "near-unresolved")
 
 
-def _again(members: DataFrame, round_: int) -> DataFrame:
-    """Pairs ``a < b`` of members outside a bucket's main component with one member
-    of it, another one in every round and bucket."""
-    main = members.filter("component = main").groupBy("key")
-    lead = main.agg(F.min_by("id", F.xxhash64("id", "key", F.lit(round_))).alias("lead"))
-    lead = written(lead, "near-leads")
-    pairs = members.filter("component <> main").join(lead, "key")
-    return pairs.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
-
-
 def _blocks(rows: DataFrame, count: str, side: str, columns: list[str]) -> DataFrame:
     """A bucket's rows in blocks of about ``BLOCK``, dealt by hash."""
     dealt = F.pmod(F.xxhash64("id"), F.ceil(F.col(count) / BLOCK))
@@ -204,7 +192,9 @@ def _opposed(members: DataFrame, columns: list[str]) -> DataFrame:
     beside blocks of all of it."""
     out = _blocks(members.filter("component <> main"), "n_out", "x", columns)
     every = _blocks(members, "n", "y", columns).drop("band", "main")
-    return out.join(every.hint("merge"), "key")
+    pairs = out.join(every.hint("merge"), "key")
+    # A few rows take long: they are spread over all tasks, not packed by their size.
+    return pairs.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 class _Block:
@@ -339,13 +329,6 @@ def label(
     links = links.union(same.filter("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
 
     labels = components(links)
-    for round_ in range(ROUNDS):
-        unresolved = _mixed(members, labels)
-        more = _verified(_again(unresolved, round_), reps, texts, size, percent)
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        labels = components(links)
     more = _across(_mixed(members, labels), reps, texts, size, percent)
     if not more.isEmpty():
         labels = components(links.union(more))
