@@ -168,6 +168,10 @@ def test_near_dedup_chains_and_groups(spark):
     assert len({got[i] for i, _ in group}) == 1 and len({got[i] for i, _ in halves}) == 120
 
 
+def test_bands_find_pairs_at_the_limit():
+    assert near_dedup.banding(85) == (36, 8) and near_dedup.banding(80) == (41, 7)
+
+
 def test_near_dedup_of_a_family_around_no_centre(spark):
     """Copies with edits of their own, about as similar to each other as the limit."""
     rng = np.random.default_rng(9)

@@ -26,17 +26,26 @@ from txrisk.llm.tables import packed, unpacked, written
 
 SHINGLE = 3  # words
 PERCENT = 85  # of the union that the intersection must be
-BANDS, ROWS = 36, 8  # at 85 %, all bands miss a pair once in 90,000
+_M = 288  # registers
+MISSED = 1e-4  # chance that no band has a pair at the limit, at most
 BASE, RATE, TOP = 1.1, 20.0, 255  # scale of the registers: a byte each
 MARGIN = 0.10  # below the limit, for estimates: nearly five standard deviations
 BLOCK = 128  # members of a bucket compared with as many at once
 
-_M = BANDS * ROWS
 _FACTORS = np.random.default_rng(20240101).integers(1, 1 << 63, _M, np.uint64) * np.uint64(2)
 _FACTORS += np.uint64(1)
 SKETCH_DDL = "doc_id long, n_shingles long, d1 long, d2 long, registers binary"
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands, and registers in each: as many as ``MISSED`` allows. Registers of sets
+    of equal size at the limit agree with chance log(1 + limit * (base - 1)), to the
+    base of the scale."""
+    agree = np.log1p(percent / 100 * (BASE - 1)) / np.log(BASE)
+    rows = max(r for r in range(1, _M) if r == 1 or (1 - agree**r) ** (_M // r) <= MISSED)
+    return _M // rows, rows
+
+
 def _sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Different shingles of each text, sorted, and where each text's begin."""
     low = tx.LOWER[raw]
@@ -221,7 +230,8 @@ def _likely_across(x: _Block, y: _Block, main: int, band: int, percent: int):
     same = x.registers[i] == y.registers[j]
     near = same.mean(1) >= percent / 100 - 2 * MARGIN
     i, j, same = i[near], j[near], same[near]
-    first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+    bands, rows = banding(percent)
+    first = same[:, : bands * rows].reshape(-1, bands, rows).all(2).argmax(1) == band
     i, j = i[first], j[first]
     likely = estimate(x.registers[i], y.registers[j], x.n[i].astype(float), y.n[j].astype(float))
     good = likely >= percent / 100 - MARGIN
@@ -307,9 +317,10 @@ def label(
     reps = usable.join(classes.hint("merge"), ["d1", "d2"]).filter("doc_id = id")
     reps = written(reps.select("id", "n_shingles", "registers").distinct(), "near-reps")
 
+    n_bands, in_band = banding(percent)
     keys = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring("registers", i * ROWS + 1, F.lit(ROWS))),
+        F.sequence(F.lit(0), F.lit(n_bands - 1)),
+        lambda i: F.xxhash64(i, F.substring("registers", i * in_band + 1, F.lit(in_band))),
     )
     bands = reps.select("id", F.posexplode(keys).alias("band", "key")).distinct()
     leads = bands.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
