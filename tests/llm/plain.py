@@ -50,7 +50,8 @@ def near_components(rows: list[tuple[int, str | None]], size: int, percent: int)
     return {i: root(i) for i in sets}
 
 
-def suffix_spans(rows: list[tuple[int, str | None]], length: int = 100) -> dict[int, tuple]:
+def suffix_left(rows: list[tuple[int, str | None]], length: int = 100) -> dict[int, tuple]:
+    """Bytes of each text, marks of those to remove, and the remaining bytes."""
     seen, out = set(), {}
     for i, text in sorted(rows):
         data = (text or "").encode()
@@ -61,11 +62,17 @@ def suffix_spans(rows: list[tuple[int, str | None]], length: int = 100) -> dict[
                 gone[k : k + length] = b"\x01" * length
             seen.add(piece)
         left = bytes(c for c, g in zip(data, gone, strict=True) if not g)
-        spans = len(re.findall(b"\x01+", bytes(gone)))
-        out[i] = (len(data), sum(gone), spans, hashlib.sha256(left).hexdigest())
+        out[i] = (data, bytes(gone), left)
     return out
 
 
+def suffix_spans(rows: list[tuple[int, str | None]], length: int = 100) -> dict[int, tuple]:
+    return {
+        i: (len(data), sum(gone), len(re.findall(b"\x01+", gone)), hashlib.sha256(left).hexdigest())
+        for i, (data, gone, left) in suffix_left(rows, length).items()
+    }
+
+
 def leaks(documents: list[tuple[int, str | None]], items: list[str], window: int = 8) -> set[int]:
     def tokens(text: str) -> list[str]:
         found = (re.sub(r"^\W+|\W+$", "", w) for w in WORD.findall(text.lower()))

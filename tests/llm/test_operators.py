@@ -8,6 +8,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -339,6 +340,16 @@ def test_written_shards(spark, table, tmp_path):
     assert got.count() == want
 
 
+def test_written_shards_odd(spark, odd, tmp_path):
+    more = odd.withColumns({"shard": F.lit(7), "shards": F.lit("x"), "row": F.lit(1), "n": F.lit(2)})
+    mixing.write_shards(more, str(tmp_path / "mix"))
+    got = spark.read.parquet(str(tmp_path / "mix"))
+    assert set(got.columns) == {*more.columns, "shard_"}
+    want = mixing.mix(odd).groupBy("doc_id").agg({"copies": "sum"}).collect()
+    count = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
+    assert count == {r[0]: r[1] for r in want if r[1]}
+
+
 # --- Classifiers ---------------------------------------------------------------
 
 
@@ -462,22 +473,72 @@ def test_rules_are_mined_and_matched(spark):
 # --- Pipeline and registration -------------------------------------------------
 
 
+def _well_written(docs, texts, labels):
+    """Plain form of the first stage, but for the weights, which have their own test."""
+    weights, out = quality_rules.fit(docs, labels), {}
+    for i, text in texts:
+        n, _, _, _, repeated = plain.base_counts(text)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        grams = list(tx.byte_grams(raw, np.array([0, len(raw)]), quality_rules.GRAM, quality_rules.BITS))
+        score = np.concatenate([weights[b] for b, _ in grams]).mean() if grams else 0
+        if n >= 50 and 2 * repeated <= n and score >= quality_rules.MIN_RATIO:
+            out[i] = text
+    return out
+
+
 def test_pipeline_stages(spark, table):
-    docs = table("documents")
+    """Every stage against its plain form on what the stage before it left."""
+    docs, path = table("documents"), f"{SMALL}/documents.parquet"
     for name, stage in corpus_pipeline.STAGES:
+        texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        before, source = dict(texts), path
         path = scratch_path(spark, name)
-        before = {r.doc_id for r in docs.select("doc_id").collect()}
         stage(spark, docs, SMALL).write.parquet(path)
         after = spark.read.parquet(path)
-        assert {r.doc_id for r in after.select("doc_id").collect()} <= before
-        if name != "mixing":
-            assert after.columns == docs.columns
-        if name == "near_dedup":
-            texts = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-            want = plain.near_components(texts, 5, 80)
-            assert {r.doc_id for r in after.collect()} == set(want.values())
+        if name == "mixing":
+            want = _mixed_by_sql(f"{source}/*.parquet", "SELECT * FROM '{path}'")
+            columns = [c[0] for c in want.description]
+            assert sorted(map(tuple, after.select(*columns).collect())) == sorted(want.fetchall())
+            assert after.count() == len(texts)
+            continue
+        if name == "quality_rules":
+            want = _well_written(docs, texts, table("labels"))
+        elif name == "near_dedup":
+            want = {i: before[i] for i in plain.near_components(texts, 5, 80).values()}
+        elif name == "suffix_dedup":
+            left = {i: (sum(g), b.decode("utf-8", "ignore")) for i, (_, g, b) in plain.suffix_left(texts).items()}
+            want = {i: t for i, (gone, t) in left.items() if not gone or t.strip()}
+        else:
+            leaks = plain.leaks(texts, [r.text for r in table("benchmark").collect()])
+            want = {i: t for i, t in texts if i not in leaks}
+        assert dict(tuple(r) for r in after.select("doc_id", "text").collect()) == want, name
+        assert after.columns == docs.columns
         docs = after
-    assert docs.count() > 0
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_odd(spark, odd, none, labels, tmp_path, empty):
+    """Nulls, repeated rows, long texts and columns of names used inside, in every stage."""
+    items = [(1, "one two three four five six seven eight nine"), (2, None), (None, "x")]
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = (none if empty else odd).withColumns(
+        {c: F.lit(None).cast("string") for c in ("ranges", "ranges_", "packed", "id", "component", "kept", "shards", "words", "tokens", "item_id", "score")}
+    )
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        rows = got.count()
+        assert rows <= docs.count() and (empty or rows)
+        if name != "mixing":
+            assert got.columns == docs.columns
+        if name in ("suffix_dedup", "decontaminate", "mixing"):
+            assert rows == docs.count()
+
+
+def test_classifiers_ignore_other_columns(odd, labels):
+    docs = odd.withColumns({c: F.lit("other") for c in ("label", "quality", "toxic", "words", "counts")})
+    assert quality_gam.score(docs, quality_gam.fit(docs, labels)).count() == len(ODD)
+    assert toxicity.grade(docs, toxicity.fit(docs, labels)).count() == len(ODD)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txrisk.llm.tables import spare_name
+
 # --- Fixed values of the mix ---
 WEIGHTS = (3, 1, 2)  # of sources in order, repeating
 SHARE = 1.5  # of all words
@@ -37,15 +39,20 @@ def _source_key() -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
 
 
-def _measured(documents: DataFrame) -> DataFrame:
-    """Each document's size and place in its source's order; texts go no further."""
+def _rank() -> Column:
+    """Digest of a document's id and text: its place in its source's order."""
     content = F.concat(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
         F.lit("\n"),
         F.coalesce(F.col("text"), F.lit("")),
     )
+    return F.md5(content.cast("binary"))
+
+
+def _measured(documents: DataFrame) -> DataFrame:
+    """Each document's size and place in its source's order; texts go no further."""
     return documents.select(
-        "doc_id", "source", word_count().alias("size"), F.md5(content.cast("binary")).alias("rank")
+        "doc_id", "source", word_count().alias("size"), _rank().alias("rank")
     ).withColumns(
         {"source_key": _source_key(), "block": F.substring("rank", 1, BLOCK_DIGITS)}
     )
@@ -123,15 +130,9 @@ def plan_blocks(measured: DataFrame) -> DataFrame:
     return planned.join(_dealt(planned), ["source_key", "block"], "left")
 
 
-def mix(documents: DataFrame) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, copies, shards``, a row per row.
-
-    ``taken`` is ``copies`` times ``size``, with at most two copies; ``shards``
-    names the shard of each copy, comma-separated. Sources go by code point, null
-    last, and a null source is a source. Null ids and texts count like any others;
-    equal rows are interchangeable. Reruns agree, whatever the partitions. Other
-    columns are left behind.
-    """
+def _drawn(documents: DataFrame) -> DataFrame:
+    """Each document's ``source_key`` and ``rank``, and the columns of :func:`mix`,
+    ``shards`` as a list."""
     measured = _measured(documents)
     rows = measured.join(plan_blocks(measured), ["source_key", "block"])
     order = Window.partitionBy("source_key", "block").orderBy("rank", "doc_id")
@@ -142,27 +143,54 @@ def mix(documents: DataFrame) -> DataFrame:
     more = (F.col("earlier") < F.col("need")) & nearer
     copies = F.col("passes") + F.when(more, 1).otherwise(0)
     return rows.withColumn("copies", copies).select(
+        "source_key",
+        "rank",
         "doc_id",
         "size",
         "source_size",
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
         "copies",
-        F.concat_ws(
-            ",", F.slice("shards", F.lit(1), F.col("copies")).cast("array<string>")
-        ).alias("shards"),
+        F.slice("shards", F.lit(1), F.col("copies")).alias("shards"),
     )
 
 
+def mix(documents: DataFrame) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, copies, shards``, a row per row.
+
+    ``taken`` is ``copies`` times ``size``, with at most two copies; ``shards``
+    names the shard of each copy, comma-separated. Sources go by code point, null
+    last, and a null source is a source. Null ids and texts count like any others;
+    equal rows are interchangeable. Reruns agree, whatever the partitions. Other
+    columns are left behind.
+    """
+    shards = F.concat_ws(",", F.col("shards").cast("array<string>")).alias("shards")
+    given = ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    return _drawn(documents).select(*given, shards)
+
+
 def write_shards(documents: DataFrame, path: str) -> None:
     """Write the mix, a folder per shard, every document as often as it is taken and
-    in a seeded order within each file."""
-    drawn = mix(documents).filter("copies > 0").select("doc_id", "shards").distinct()
-    shard = F.explode(F.split("shards", ",")).alias("shard")
-    rows = documents.join(drawn, "doc_id").select(*documents.columns, shard)
-    order = F.md5(F.concat_ws(":", "shard", F.col("doc_id").cast("string")).cast("binary"))
-    parts = rows.repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
-    parts.sortWithinPartitions("shard", order).write.partitionBy("shard").parquet(path)
+    in a seeded order within each file.
+
+    All columns are kept; of rows alike in id, text and source, any stands for all.
+    Rows without id are written, too. The folders' column is ``shard``, with ``_``
+    added while documents have a column of that name.
+    """
+    key = ["source_key", "rank"]
+    drawn = _drawn(documents).filter("copies > 0").select(*key, F.explode("shards").alias("shard"))
+    drawn = drawn.groupBy(*key, "shard").agg(F.count(F.lit(1)).alias("n"))
+    row = F.struct(*[documents[c] for c in documents.columns])
+    rows = documents.select(_source_key().alias("source_key"), _rank().alias("rank"), row.alias("row"))
+    one = rows.groupBy(*key).agg(F.first("row").alias("row"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
+    taken = one.join(drawn.hint("merge"), key).select("row", *key, "shard", copies)
+    draw = F.md5(F.concat_ws(":", "shard", "copy", *key).cast("binary"))
+    parts = taken.withColumn("draw", draw).repartition("shard", F.substring("draw", 1, 2))
+    parts = parts.sortWithinPartitions("shard", "draw")
+    name = spare_name("shard", documents.columns)
+    named = parts.select("row.*", F.col("shard").alias(name))
+    named.write.partitionBy(name).parquet(path)
 
 
 def _tree_sql() -> str:

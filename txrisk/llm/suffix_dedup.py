@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import text as tx
-from txrisk.llm.tables import packed, unpacked, written
+from txrisk.llm.tables import packed, spare_name, unpacked, written
 
 LENGTH = 100  # bytes of a string that counts
 GRAM = 32  # bytes hashed at a position
@@ -353,11 +353,12 @@ def remove(documents: DataFrame) -> DataFrame:
     ``n_chars``, if there is one, follows the text. A document of which nothing but
     space is left goes."""
     names, changed = documents.columns, "n_chars" in documents.columns
+    extra = spare_name("ranges", names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            ranges = batch.column("ranges__")
+            ranges = batch.column(extra)
             for k in range(batch.num_rows):
                 if ranges[k].is_valid and texts[k]:
                     raw = np.frombuffer(texts[k].encode(), np.uint8)
@@ -370,6 +371,6 @@ def remove(documents: DataFrame) -> DataFrame:
             kept = [not r or bool(t and t.strip()) for r, t in zip(ranges.is_valid().to_pylist(), texts, strict=True)]
             yield out.filter(pa.array(kept, pa.bool_()))
 
-    found = find(documents).withColumnRenamed("ranges", "ranges__")
-    rows = documents.join(found.hint("merge"), "doc_id", "left").select(*names, "ranges__")
+    found = find(documents).withColumnRenamed("ranges", extra)
+    rows = documents.join(found.hint("merge"), "doc_id", "left").select(*names, extra)
     return rows.mapInArrow(cut, documents.schema)

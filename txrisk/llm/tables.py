@@ -14,6 +14,13 @@ from txrisk.session import scratch_path
 PACKED_DDL = "doc_id long, packed binary, size long"
 
 
+def spare_name(name: str, columns: list[str]) -> str:
+    """The name, with ``_`` added while one of the columns has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again: computed once, and
     there for later steps even if executors are lost."""
