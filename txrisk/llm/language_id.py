@@ -116,7 +116,7 @@ def fit(documents: DataFrame, usable: Column) -> Model:
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     sizes = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(MAX_SAMPLE))
-    low = F.pmod(rank, F.lit(1 << 30)) * F.col("n") < (1 << 30) * 4 * MAX_PER_LANGUAGE
+    low = F.pmod(rank, F.lit(1 << 30)) < F.lit(float(1 << 32) * MAX_PER_LANGUAGE) / F.col("n")
     ids = rows.select("doc_id", "lang").join(sizes, "lang").filter(low).select("doc_id", "lang")
     ids = ids.distinct().withColumn("nth", nth)
     ids = ids.filter(F.col("nth") <= MAX_PER_LANGUAGE).drop("nth").orderBy(rank).limit(MAX_SAMPLE)
