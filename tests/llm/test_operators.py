@@ -291,6 +291,22 @@ def test_slots_must_agree(spark, odd, none):
     assert decontaminate.judge(df, benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def test_only_slots_of_found_windows_must_agree(spark):
+    ask = "then {0} has {1} apples and buys {2} more apples at the market for {3} dollars each how many"
+    benchmark = spark.createDataFrame([(1, ask.format("Alice", 3, 5, 3))], "item_id long, text string")
+    asked = ask.format("Bob", 7, 9, 7)
+    texts = [
+        (1, asked.split(" dollars")[0] + " euros"),
+        (2, " ".join(asked.split()[:13]) + " where rain fell and fell all day"),  # an excerpt
+        (3, asked.replace("the market", "the old market")),  # one word more
+        (4, asked.replace("at the market", "at market")),  # one word less
+        (5, ask.format("Bob", 7, 7, 7)),
+    ]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontaminate.judge(df, benchmark).filter("contaminated").collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 3, 4]
+
+
 # --- Mixing --------------------------------------------------------------------
 
 

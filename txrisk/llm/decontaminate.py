@@ -131,7 +131,8 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     and template with enough windows in line; ``shift`` is how far the document's
     place is behind the template's.
 
-    A window with slots counts only if all aligned slots agree in which are equal.
+    Windows with slots count only if the slots inside the windows hit agree in which
+    are equal; what the document has at the item's other places is no matter.
     """
     rows = templates(benchmark)
     # The few windows of a benchmark, counted first, go to where the texts are.
@@ -148,6 +149,7 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.count_if(~F.col("with_slots")).alias("n_hits"),
         F.count_if("with_slots").alias("n_slot_hits"),
         F.first("needed").alias("needed"),
+        F.collect_set("at").alias("hit_at"),
     )
     enough = hits.filter(F.col("n_hits") + F.col("n_slot_hits") >= F.col("needed"))
     enough = written(enough, "decontaminate-hits")
@@ -159,17 +161,19 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _checked(found: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Adds whether the slots of the document agree with those of the template."""
+    """Adds whether the slots of the document agree with those of the template, in
+    the windows hit."""
     told = found.join(rows.select("item_id", "slots", "slot_values"), "item_id")
     told = told.join(texts.hint("shuffle_merge"), "doc_id").withColumn("words", cores())
-    theirs = F.transform(
-        "slots", lambda i: F.when(
-            i + F.col("shift") >= 0, F.lower(F.get("words", i + F.col("shift"))["core"])
-        )
+    inside = F.filter(
+        F.arrays_zip(F.col("slots").alias("at"), F.col("slot_values").alias("ours")),
+        lambda p: F.exists("hit_at", lambda w: p["at"].between(w, w + (WINDOW - 1))),
     )
-    pairs = F.filter(
-        F.arrays_zip(theirs.alias("theirs"), F.col("slot_values").alias("ours")),
-        lambda p: p["theirs"].isNotNull(),
+    pairs = F.transform(
+        inside,
+        lambda p: F.struct(
+            F.lower(F.get("words", p["at"] + F.col("shift"))["core"]).alias("theirs"), p["ours"].alias("ours")
+        ),
     )
     told = told.withColumn("pairs", pairs)
     return told.withColumn(
