@@ -307,6 +307,33 @@ def test_only_slots_of_found_windows_must_agree(spark):
     assert sorted(r.doc_id for r in found) == [1, 2, 3, 4]
 
 
+def test_short_dense_and_named_items(spark):
+    items = [
+        (1, "what is 17 plus 25"),
+        (2, "Mix 3 kg flour, 5 l water, 7 g salt and 9 g yeast."),
+        (3, "3 5 8 13 21 34 55 89 144"),
+        (4, "2 4 8 16 32 64 128 256 512"),
+        (5, "Alice has 3 apples. Bob has 5 pears. Carol takes 2 of them. Who has more?"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    told = [
+        (1, "Tell me, what is 17 plus 25?", 1),
+        (2, "Tell me, what is 31 plus 44?", 1),
+        (3, "Tell me, what is 31 plus 31?", None),
+        (4, "So mix 4 kg flour, 6 l water, 8 g salt and 2 g yeast.", 2),
+        (5, "It goes 3 5 8 13 21 34 55 89 144 and on", 3),
+        (6, "It goes 2 4 8 16 32 64 128 256 512 and on", 4),
+        (7, "It goes 1 9 7 15 33 60 120 250 500 and on", None),
+        (8, "Dora has 4 apples. Emil has 6 pears. Frank takes 1 of them. Who has more?", 5),
+        (9, "Dora has 4 apples. Dora has 6 pears. Dora takes 1 of them.", None),
+        (10, "what is", None),
+    ]
+    df = spark.createDataFrame([t[:2] for t in told], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.judge(df, benchmark).collect()}
+    assert {i: r.item_id for i, r in got.items()} == {t[0]: t[2] for t in told}
+    assert all(r.contaminated == (r.item_id is not None) for r in got.values())
+
+
 # --- Mixing --------------------------------------------------------------------
 
 

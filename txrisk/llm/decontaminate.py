@@ -5,7 +5,9 @@ typed placeholders, everything else is in lower case. Windows of a template meet
 windows of documents by hash. What stood in the placeholders is then compared:
 where a question's slots were equal the document's must be, and where they
 differed they must differ. So a question asked again with other numbers is found,
-and other talk in the same words is not.
+and other talk in the same words is not. An item shorter than a window is one window
+of its own size. A capital at the start of a sentence is searched for both as a word
+and as a name.
 
 DataFrame functions only.
 """
@@ -18,11 +20,13 @@ from pyspark.sql import functions as F
 from txrisk.llm.tables import written
 
 WINDOW = 8  # tokens
-MIN_LITERAL = 5  # tokens of a window that are no placeholders, at least
+MIN_LITERAL = 5  # words of the windows found that are the item's own, at least
+MIN_SHORT = 3  # the same (all, of items with fewer) for items shorter than a window
 MIN_HITS = 3  # windows in line (all, of items with fewer)
 MAX_BROADCAST = 2_000_000  # windows of the benchmark; beyond, windows are shuffled
 
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
+FIRST = "<first>"  # a capital that may be a name or not
 # --- Fixed values: units of measure, as written after a number ---
 UNITS = (
     "mm cm m km in ft mi yd g kg mg lb lbs oz ton tons l ml gal s sec second seconds min minute "
@@ -50,8 +54,9 @@ def cores(text: str = "text") -> Column:
 
 
 def typed(words: Column) -> Column:
-    """Canonical token of each of :func:`cores`, which must be a column by now: as an
-    expression it would be worked out again for every token."""
+    """``word, token, named`` of each of :func:`cores`, which must be a column by now: as
+    an expression it would be worked out again for every token. ``token`` is the canonical
+    one; ``named`` is that of a capital at the start of a text or sentence taken for a name."""
     units = F.array(*[F.lit(u) for u in UNITS.split()])
 
     def numeric(core: Column) -> Column:
@@ -60,70 +65,129 @@ def typed(words: Column) -> Column:
     def token(x: Column, i: Column) -> Column:
         core, last = x["core"], F.get(words, i - 1)
         capital = ((core < "[") | (core > "~")) & core.rlike(r"^\p{Lu}\p{Ll}")
-        name = capital & ~F.coalesce(last["ends"], F.lit(True))
         unit = F.coalesce(numeric(last["core"]), F.lit(False))
         return (
             F.when(numeric(core), NUMBER)
-            .when(name, NAME)
+            .when(capital & ~F.coalesce(last["ends"], F.lit(True)), NAME)
             .when(unit & F.array_contains(units, F.lower(core)), UNIT)
+            .when(capital, FIRST)
             .otherwise(F.lower(core))
         )
 
-    return F.transform(words, token)
-
+    def forms(x: Column, kind: Column) -> Column:
+        low = F.lower(x["core"])
+        return F.struct(
+            low.alias("word"),
+            F.when(kind == FIRST, low).otherwise(kind).alias("token"),
+            F.when(kind == FIRST, NAME).otherwise(kind).alias("named"),
+        )
 
-def _windows(tokens: Column) -> Column:
-    """(pos, hash) of every window, from 0."""
-    starts = F.sequence(F.lit(0), F.size(tokens) - WINDOW)
-    found = F.transform(
-        starts,
-        lambda i: F.struct(
-            i.alias("pos"), F.xxhash64(F.slice(tokens, i + 1, F.lit(WINDOW))).alias("hash")
-        ),
-    )
-    return F.when(F.size(tokens) >= WINDOW, found).otherwise(F.array().cast(
-        "array<struct<pos:int,hash:bigint>>"
-    ))
+    return F.zip_with(words, F.transform(words, token), forms)
 
 
 def _is_slot(token: Column) -> Column:
     return token.isin(NUMBER, NAME, UNIT)
 
 
+def _key(form: Column, words: Column) -> Column:
+    """Hash of a window. One of slots only says nothing by their kinds: there the words count."""
+    only_slots = _is_slot(F.get(form, F.lit(0))) & ~F.exists(form, lambda t: ~_is_slot(t))
+    return F.when(only_slots, F.xxhash64(words)).otherwise(F.xxhash64(form))
+
+
+def _windows(sizes: list[int]) -> Column:
+    """``pos, hash, named`` of every window, from 0: its hashes in both forms. ``token``,
+    ``named`` and ``word`` are columns by now, not taken out of pairs for every window."""
+
+    def windows(size: int) -> Column:
+        def window(i: Column) -> Column:
+            form, named, words = (
+                F.slice(c, i + 1, F.lit(size)) for c in ("token", "named", "word")
+            )
+            return F.struct(
+                i.alias("pos"), _key(form, words).alias("hash"), _key(named, words).alias("named")
+            )
+
+        starts = F.sequence(F.lit(0), F.size("token") - size)
+        return F.when(F.size("token") >= size, F.transform(starts, window)).otherwise(none)
+
+    none = F.array().cast("array<struct<pos:int,hash:bigint,named:bigint>>")
+    return F.concat(*map(windows, sizes))
+
+
 def _pattern(values: Column) -> Column:
     """For each value the place of the first equal one."""
     return F.transform(values, lambda v: F.array_position(values, v))
 
 
+def _literals(form: Column) -> Column:
+    return F.size(F.filter(form, lambda t: ~_is_slot(t)))
+
+
 def templates(benchmark: DataFrame) -> DataFrame:
-    """``item_id, tokens, slots, slot_values``: one row, of the lowest id, for items
-    alike in template and in which slots are equal."""
-    words = benchmark.filter("item_id IS NOT NULL").select("item_id", cores().alias("words"))
-    rows = words.withColumn("tokens", typed(F.col("words")))
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: _is_slot(F.get("tokens", i))
+    """``item_id, tokens, words, slots, firsts, span``: one row, of the lowest id, for items
+    alike in template and in which slots are equal; also in words, if the item is
+    short or has a window of few literal words, whose slots' values count.
+
+    ``firsts`` are the places of words that may be names or not.
+    """
+    cut = benchmark.filter("item_id IS NOT NULL").select("item_id", cores().alias("words"))
+    told = cut.select("item_id", typed(F.col("words")).alias("typed")).filter(F.size("typed") > 0)
+    size = F.size("typed")
+    rows = told.select(
+        "item_id",
+        *[F.col(f"typed.{c}").alias(n) for c, n in (("token", "tokens"), ("named", "named"), ("word", "words"))],
+        F.least(size, F.lit(WINDOW)).alias("span"),
     )
-    rows = rows.filter(F.size("tokens") >= WINDOW).withColumn("slots", places)
-    values = F.transform("slots", lambda i: F.lower(F.get("words", i)["core"]))
-    rows = rows.withColumn("slot_values", values)
-    return rows.groupBy("tokens", _pattern(F.col("slot_values")).alias("pattern")).agg(
-        F.min("item_id").alias("item_id"),
-        F.first("slots").alias("slots"),
-        F.min_by("slot_values", "item_id").alias("slot_values"),
+    places = F.sequence(F.lit(0), F.size("tokens") - 1)
+    rows = rows.withColumn("slots", F.filter(places, lambda i: _is_slot(F.get("tokens", i))))
+    rows = rows.withColumn("firsts", F.filter(places, lambda i: F.get("tokens", i) != F.get("named", i)))
+    starts = F.sequence(F.lit(0), F.size("tokens") - F.col("span"))
+    few = F.exists(starts, lambda i: _literals(F.slice("tokens", i + 1, F.col("span"))) < MIN_LITERAL)
+    values = F.transform("slots", lambda i: F.get("words", i))
+    own = F.when(few | (F.size("tokens") < WINDOW), F.col("words"))
+    columns = ["words", "slots", "firsts", "span"]
+    found = rows.groupBy("tokens", _pattern(values).alias("pattern"), own.alias("own")).agg(
+        F.min("item_id").alias("item_id"), F.min_by(F.struct(*columns), "item_id").alias("of")
     )
+    return found.select("item_id", "tokens", "of.*")
 
 
 def _template_windows(rows: DataFrame) -> DataFrame:
-    """``hash, item_id, at, with_slots, needed`` of windows with enough literal words."""
-    windows = rows.select("item_id", "tokens", F.inline(_windows(F.col("tokens"))))
-    window = F.slice("tokens", F.col("pos") + 1, F.lit(WINDOW))
-    n_slots = F.size(F.filter(window, _is_slot))
-    told = windows.withColumn("n_slots", n_slots).filter(WINDOW - F.col("n_slots") >= MIN_LITERAL)
-    kept = told.select(
-        "hash", "item_id", F.col("pos").alias("at"), (F.col("n_slots") > 0).alias("with_slots")
+    """``hash, item_id, at, with_slots, as_typed, needed`` of all windows, in every form: each
+    of a window's first words as a name and not."""
+
+    def bit(j: Column) -> Column:
+        return F.pow(F.lit(2.0), j).cast("int")
+
+    starts = F.sequence(F.lit(0), F.size("tokens") - F.col("span"))
+    windows = rows.withColumn("at", F.explode(starts)).withColumn(
+        "may",
+        F.aggregate(
+            F.filter("firsts", lambda p: p.between(F.col("at"), F.col("at") + F.col("span") - 1)),
+            F.lit(0),
+            lambda sum_, p: sum_ + bit(p - F.col("at")),
+        ),
+    )
+    masks = F.filter(F.sequence(F.lit(0), F.col("may")), lambda m: m.bitwiseAND(F.col("may")) == m)
+    windows = windows.withColumn("mask", F.explode(masks))
+    form = F.transform(
+        F.slice("tokens", F.col("at") + 1, F.col("span")),
+        lambda t, j: F.when(F.col("mask").bitwiseAND(bit(j)) != 0, NAME).otherwise(t),
     )
-    need = kept.groupBy("item_id").agg(F.least(F.count(F.lit(1)), F.lit(MIN_HITS)).alias("needed"))
-    return kept.join(need, "item_id")
+    windows = windows.withColumn("form", form).withColumn("literals", _literals(F.col("form")))
+    words = F.slice("words", F.col("at") + 1, F.col("span"))
+    kept = windows.select(
+        _key(F.col("form"), words).alias("hash"),
+        "item_id",
+        "at",
+        (F.col("literals") < F.col("span")).alias("with_slots"),
+        (F.col("mask") == 0).alias("as_typed"),
+        "literals",
+    )
+    rich = F.count_if(F.col("as_typed") & (F.col("literals") >= MIN_LITERAL))
+    need = F.least(F.when(rich > 0, rich).otherwise(F.count_if("as_typed")), F.lit(MIN_HITS))
+    return kept.drop("literals").join(kept.groupBy("item_id").agg(need.alias("needed")), "item_id")
 
 
 def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -132,54 +196,79 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     place is behind the template's.
 
     Windows with slots count only if the slots inside the windows hit agree in which
-    are equal; what the document has at the item's other places is no matter.
+    are equal, and enough of the words there are the same; what the document has at
+    the item's other places is no matter.
     """
     rows = templates(benchmark)
     # The few windows of a benchmark, counted first, go to where the texts are.
     windows = _template_windows(rows)
     few = windows.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     sent = F.broadcast(windows) if few else windows
+    sizes = sorted({WINDOW, *(r["span"] for r in rows.select("span").distinct().collect())})
     texts = documents.filter("doc_id IS NOT NULL").select("doc_id", "text")
     words = texts.select("doc_id", cores().alias("words"))
     tokens = words.select("doc_id", typed(F.col("words")).alias("tokens"))
     # Of an inner generator Spark would first ask, by another run, what it gives.
-    seen = tokens.select("doc_id", F.inline_outer(_windows(F.col("tokens"))))
+    apart = tokens.select("doc_id", "tokens.token", "tokens.named", "tokens.word")
+    seen = apart.select("doc_id", F.inline_outer(_windows(sizes)))
+    plain = F.struct("hash", F.lit(True).alias("plain"))
+    other = F.struct(F.col("named").alias("hash"), F.lit(False).alias("plain"))
+    seen = seen.select("doc_id", "pos", F.inline(F.array(plain, other)), (F.col("named") == F.col("hash")).alias("same"))
+    seen = seen.filter("plain OR NOT same").select("doc_id", "pos", "hash", "plain")
     place = ["doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")]
     hits = seen.join(sent, "hash").groupBy(*place).agg(
-        F.count_if(~F.col("with_slots")).alias("n_hits"),
-        F.count_if("with_slots").alias("n_slot_hits"),
-        F.first("needed").alias("needed"),
+        F.collect_set(F.when(~F.col("with_slots"), F.col("at"))).alias("literal_at"),
+        F.collect_set(F.when(F.col("plain") & F.col("as_typed"), F.col("at"))).alias("typed_at"),
         F.collect_set("at").alias("hit_at"),
+        F.first("needed").alias("needed"),
     )
-    enough = hits.filter(F.col("n_hits") + F.col("n_slot_hits") >= F.col("needed"))
+    enough = hits.filter(F.size("hit_at") >= F.col("needed"))
     enough = written(enough, "decontaminate-hits")
-    literal = F.col("n_hits") >= F.col("needed")
-    sure = enough.filter(literal).withColumn("consistent", F.lit(None).cast("boolean"))
+    literal = F.size("literal_at") >= F.col("needed")
+    sure = enough.filter(literal).withColumns(
+        {"n_found": F.size("typed_at"), "consistent": F.lit(None).cast("boolean")}
+    )
     unsure = _checked(enough.filter(~literal), texts, rows).filter("consistent")
-    out = ["doc_id", "item_id", "shift", "n_hits", "n_slot_hits", "consistent"]
+    out = [
+        "doc_id",
+        "item_id",
+        "shift",
+        F.size("literal_at").alias("n_hits"),
+        (F.col("n_found") - F.size("literal_at")).alias("n_slot_hits"),
+        "consistent",
+    ]
     return sure.select(*out).unionByName(unsure.select(*out))
 
 
 def _checked(found: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Adds whether the slots of the document agree with those of the template, in
-    the windows hit."""
-    told = found.join(rows.select("item_id", "slots", "slot_values"), "item_id")
-    told = told.join(texts.hint("shuffle_merge"), "doc_id").withColumn("words", cores())
-    inside = F.filter(
-        F.arrays_zip(F.col("slots").alias("at"), F.col("slot_values").alias("ours")),
-        lambda p: F.exists("hit_at", lambda w: p["at"].between(w, w + (WINDOW - 1))),
-    )
-    pairs = F.transform(
-        inside,
-        lambda p: F.struct(
-            F.lower(F.get("words", p["at"] + F.col("shift"))["core"]).alias("theirs"), p["ours"].alias("ours")
-        ),
-    )
-    told = told.withColumn("pairs", pairs)
+    """Adds whether the slots of the document agree with those of the template in
+    the windows hit, and how many windows these are. First words count as names
+    in one trial, and as what they are in the other."""
+    items = rows.select("item_id", "slots", "firsts", "span", F.col("words").alias("ours"))
+    told = found.join(items, "item_id").join(texts.hint("shuffle_merge"), "doc_id")
+    told = told.withColumn("theirs", F.transform(cores(), lambda x: F.lower(x["core"])))
+    n = F.size("ours")
+    least = F.when(n < WINDOW, F.least(n, F.lit(MIN_SHORT))).otherwise(F.lit(MIN_LITERAL))
+
+    def agree(hit: str, slots: Column) -> Column:
+        def inside(p: Column) -> Column:
+            return F.exists(hit, lambda w: p.between(w, w + F.col("span") - 1))
+
+        def word(p: Column) -> Column:
+            return F.get("theirs", p + F.col("shift"))
+
+        same = F.filter(
+            F.sequence(F.lit(0), n - 1), lambda p: (word(p) == F.get("ours", p)) & inside(p)
+        )
+        at = F.filter(slots, inside)
+        patterns = [_pattern(F.transform(at, f)) for f in (word, lambda p: F.get("ours", p))]
+        return (F.size(hit) >= F.col("needed")) & (F.size(same) >= least) & (patterns[0] == patterns[1])
+
+    by_name = agree("hit_at", F.concat("slots", "firsts"))
+    as_typed = agree("typed_at", F.col("slots"))
     return told.withColumn(
-        "consistent",
-        _pattern(F.col("pairs.theirs")) == _pattern(F.col("pairs.ours")),
-    )
+        "n_found", F.when(by_name, F.size("hit_at")).when(as_typed, F.size("typed_at"))
+    ).withColumn("consistent", F.col("n_found").isNotNull())
 
 
 def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -187,9 +276,8 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``item_id`` is the template with most windows found (lowest id of equals) and
     ``n_hits`` their number. Rows of one id are judged together; a row without id,
-    with null or empty text, or with fewer than ``WINDOW`` tokens is clean. Items
-    without id, of fewer tokens, or without a window of enough literal words are
-    not searched for. Other columns are left behind.
+    with null or empty text is clean. Items without id or without any word are not
+    searched for. Other columns are left behind.
     """
     found = find(documents, benchmark).withColumn("n", F.col("n_hits") + F.col("n_slot_hits"))
     best = F.struct(F.col("n"), (-F.col("item_id")).alias("id"))
