@@ -513,6 +513,20 @@ def test_rules_are_mined_and_matched(spark):
     assert got == {k: "block" if k % 8 == 0 else "allow" for k in range(400)}
 
 
+def test_no_rule_is_lost_to_longer_ones(spark):
+    form = "/".join(f"w{k}" for k in range(13))
+    pages = [(k, f"https://spam.net/{form}/{k}") for k in range(60)]
+    pages += [(k, f"https://mid.net/{k}") for k in range(60, 110)]
+    pages += [(k, f"https://news.net/{k}") for k in range(110, 300)] + [(None, "https://mid.net/x"), (301, None)]
+    labels = [(k, int(k >= 100), 0) for k in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    mined = url_rules.mine(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), min_support=0.05)
+    assert set(mined) == {("host=mid",), ("host=spam",), *((f"path=w{k}",) for k in range(13))}
+    got = url_rules.judge(df, mined)
+    assert {r.page_id for r in got.filter("verdict = 'block'").collect()} == {*range(110), None}
+    assert sorted(map(str, got.collect())) == sorted(map(str, url_rules.judge(df, mined, max_sent=1).collect()))
+
+
 # --- Pipeline and registration -------------------------------------------------
 
 

@@ -26,7 +26,7 @@ GIVEN = [
 
 MIN_SUPPORT = 0.002  # share of labelled pages that hold a rule's tokens and its label
 MIN_CONFIDENCE = 0.6
-MAX_RULES = 5_000  # of highest confidence, then support: bounds what tasks are sent
+MAX_RULES = 5_000  # rules that tasks are sent; more are joined
 BLOCK = "label=block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,9 +64,9 @@ def mine(
     labels: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    max_rules: int = MAX_RULES,
 ) -> list[tuple[str, ...]]:
-    """The token sets of the kept rules. A page's labels are those of its id, and it
+    """The token sets of all rules that hold no other rule's: what holds one decides no
+    page that the other does not. A page's labels are those of its id, and it
     counts as blocked if any gives quality 0. Without labelled pages: none."""
     rated = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     rated = rated.groupBy(F.col("doc_id").alias("page_id")).agg(F.min("quality").alias("quality"))
@@ -76,9 +76,15 @@ def mine(
     baskets = urls.join(rated.hint("merge"), "page_id").select(basket)
     found = FPGrowth(minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = found.associationRules.filter(F.array_contains("consequent", BLOCK))
-    kept = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    rows = kept.orderBy(F.desc("confidence"), F.desc("support"), "tokens").limit(max_rules).collect()
-    return [tuple(r["tokens"]) for r in rows]
+    rows = rules.select(F.array_sort("antecedent").alias("tokens")).orderBy(F.size("tokens"), "tokens")
+    kept: list[tuple[str, ...]] = []
+    filed: dict[str, list[frozenset[str]]] = {}  # by the first token
+    for row in rows.toLocalIterator():
+        have = frozenset(row["tokens"])
+        if not any(r <= have for t in have for r in filed.get(t, ())):
+            kept.append(tuple(row["tokens"]))
+            filed.setdefault(kept[-1][0], []).append(have)
+    return kept
 
 
 def _matcher(rules: list[tuple[str, ...]]):
@@ -93,23 +99,41 @@ def _matcher(rules: list[tuple[str, ...]]):
     return index
 
 
+def _joined(rows: DataFrame, mined: list[tuple[str, ...]]) -> DataFrame:
+    """The verdicts of :func:`judge` by a join of the URLs' tokens with the rules' rarest."""
+    filed = [(t, sorted(r)) for t, rules in _matcher(mined).items() for r in rules]
+    rules = rows.sparkSession.createDataFrame(filed, "token string, needs array<string>")
+    urls = rows.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token"))
+    fitting = urls.join(rules.hint("merge"), "token").filter(F.size(F.array_except("needs", "tokens")) == 0)
+    best = fitting.groupBy("tokens").agg(F.min(F.array_join("needs", " ")).alias("mined_rule"))
+    verdict = F.coalesce("given", F.when(F.col("mined_rule").isNotNull(), "block").otherwise("allow"))
+    return rows.join(best.hint("merge"), "tokens", "left").select(
+        "page_id", "host", "path", "rule", verdict.alias("verdict"), "mined_rule"
+    )
+
+
 def judge(
     pages: DataFrame,
     mined: list[tuple[str, ...]],
     given: list[tuple[str, str, str]] = GIVEN,
+    max_sent: int = MAX_RULES,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, mined_rule``, a row per row.
 
     A given rule decides where one fits. Otherwise a mined rule blocks, and what
     none fits is allowed, such as a null url. Repeated rows are judged alike; null
-    ids are carried through; other columns are left behind.
+    ids are carried through; other columns are left behind. Tasks are sent up to
+    ``max_sent`` rules; more are joined.
     """
-    sent = pages.sparkSession.sparkContext.broadcast(_matcher(mined))
     name, verdict = given_rule(given)
     rows = with_parts(pages.select("page_id", "url")).select(
         "page_id", "host", "path", name.alias("rule"), verdict.alias("given"), tokens().alias("tokens")
     )
 
+    if len(mined) > max_sent:
+        return _joined(rows, mined)
+    sent = pages.sparkSession.sparkContext.broadcast(_matcher(mined))
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for batch in batches:
