@@ -430,6 +430,19 @@ def test_toxicity(table):
     assert all((r.severity > 0) == r.toxic for r in rows)
 
 
+@pytest.mark.parametrize("in_all", [8, 3])
+def test_every_language_keeps_rows(spark, monkeypatch, in_all):
+    monkeypatch.setattr(language_id, "MAX_PER_LANGUAGE", 2)
+    monkeypatch.setattr(language_id, "MAX_SAMPLE", in_all)
+    words = {"a": "banana", "b": "sister", "c": "hobbling", "d": "cupful", "e": "wyrm", "rare": "zoology"}
+    rows = [(k * 10 + n, f"{words[lang]} " * 20, lang) for n, lang in enumerate(list(words)[:5]) for k in range(40)]
+    rows += [(1001 + k, "zoology " * 20 if k else None, "rare") for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df, F.lit(True))
+    assert set(model.languages) == set(words)
+    assert all(r.lang_pred == r.lang for r in language_id.identify(df, model).join(df, "doc_id").filter("text IS NOT NULL").collect())
+
+
 def test_one_weight_serves_all_thresholds():
     rng = np.random.default_rng(4)
     grade = rng.integers(0, 3, 600)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm import text as tx
 from txrisk.llm.samples import remainder
+from txrisk.llm.tables import written
 
 GRAM, BITS = 3, 11
 MAX_PER_LANGUAGE, MAX_SAMPLE = 250, 4000  # documents that centroids are made from
@@ -98,9 +99,9 @@ def _clusters(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(documents: DataFrame, usable: Column) -> Model:
     """A model from the rows where ``usable`` holds and ``lang`` is given.
 
-    The sample takes the documents of lowest hash: ``MAX_PER_LANGUAGE`` of each
-    language, ``MAX_SAMPLE`` in all, from the ``MAX_SAMPLE`` most frequent languages.
-    Without any row, the model has no language.
+    The sample takes the documents with letters of lowest hash: ``MAX_PER_LANGUAGE`` of
+    each language, ``MAX_SAMPLE`` in all, every language's first before any's second;
+    of more languages than that, one of each. Without any row, the model has no language.
     """
     rows = documents.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & usable)
     counted = rows.select("text").mapInArrow(_frequencies, "bucket int, n long")
@@ -113,13 +114,15 @@ def fit(documents: DataFrame, usable: Column) -> Model:
     # Rows of low hash, four times as many as are needed, are ranked; ranking all of
     # a language would bring its lowest from every task to one.
     rank = F.xxhash64("doc_id")
+    rows = rows.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    sizes = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(MAX_SAMPLE))
+    sizes = written(sizes, "language-sizes")
+    in_all = max(MAX_SAMPLE, sizes.count())
     low = F.pmod(rank, F.lit(1 << 30)) < F.lit(float(1 << 32) * MAX_PER_LANGUAGE) / F.col("n")
-    ids = rows.select("doc_id", "lang").join(sizes, "lang").filter(low).select("doc_id", "lang")
+    ids = rows.select("doc_id", "lang").join(F.broadcast(sizes), "lang").filter(low).select("doc_id", "lang")
     ids = ids.distinct().withColumn("nth", nth)
-    ids = ids.filter(F.col("nth") <= MAX_PER_LANGUAGE).drop("nth").orderBy(rank).limit(MAX_SAMPLE)
+    ids = ids.filter(F.col("nth") <= MAX_PER_LANGUAGE).orderBy("nth", rank, "lang").limit(in_all).drop("nth")
     texts = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     vectors = texts.mapInArrow(_sampled, "doc_id long, lang string, counts binary")
     sample = vectors.dropDuplicates(["doc_id", "lang"]).toPandas()
