@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,3 +89,126 @@ def leaks(documents: list[tuple[int, str | None]], items: list[str], window: int
         for i, text in documents
         if known & set(zip(*[(t := tokens(text or ""))[k:] for k in range(window)], strict=False))
     }
+
+
+def _turns(rows: list[tuple]) -> dict[int, list[tuple]]:
+    """Rows ``conv_id, turn, role, text`` by conversation, in order of turn, nulls first."""
+    convs = collections.defaultdict(list)
+    for row in rows:
+        convs[row[0]].append(row)
+    first = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    return {c: sorted(of, key=first) for c, of in convs.items()}
+
+
+def rebuilt_conversations(rows: list[tuple]) -> dict[int, list[tuple[str, str]]]:
+    own = {c: [(r[2] or "", r[3] or "") for r in of] for c, of in _turns(rows).items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - int(math.fmod(c, 100))  # as SQL does for ids below 0
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def trie_nodes(convs: dict[int, list[tuple]]) -> list[tuple]:
+    """``conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256``."""
+    members = collections.defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = collections.defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved, out = {}, {}, []
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in children[node]) or 1
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        saved[node] = own + sum(saved[k] for k in children[node])
+    for node, of in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c in of if len(convs[c]) == len(node)))
+        out.append(
+            (min(of), len(node), min(members[node[:-1]]) if node else None, len(of), len(children[node]),
+             leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest())
+        )
+    return out
+
+
+def damaged_conversations(rows: list[tuple]) -> dict[int, list[tuple]]:
+    out: dict[int, list[tuple]] = {r[0]: [] for r in rows}
+    for c, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = ":".join(" " if x is None else str(x) for x in (c, turn))
+        hurt = zlib.crc32(key.encode()) % 20
+        if hurt == 0:
+            continue
+        text = "" if hurt == 1 else re.sub("[.!?]", "", text) if hurt == 2 else text
+        row = (c, turn, "user" if hurt == 4 else role, text)
+        out[c] += [row] * (2 if hurt == 3 else 1)
+    first = lambda r: (r[1] is not None, r[1] or 0, r[2], r[3])
+    return {c: sorted(of, key=first) for c, of in out.items()}
+
+
+def row_faults(rows: list[tuple[str, str]]) -> list[str]:
+    out, seen = [], set()
+    for role, text in rows:
+        if not WORD.search(text):
+            out.append("blank")
+        elif (role, text) in seen:
+            out.append("duplicate")
+        else:
+            out.append("" if WORD.findall(text)[-1][-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def repaired_conversation(rows: list[tuple[str, str]]) -> tuple[int, str, list[tuple[str, str]]]:
+    """Cost, least letters and result, by trying every state forwards and keeping the best way."""
+    faults = row_faults(rows)
+    best = {"": (0, "", ())}  # by the last role's initial, s only at the start
+
+    def better(ways: dict, state: str, way: tuple) -> None:
+        if state not in ways or way[:2] < ways[state][:2]:
+            ways[state] = way
+
+    def filled(ways: dict) -> dict:
+        for _ in range(4):
+            for state, (cost, letters, out) in list(ways.items()):
+                to = "a" if state == "u" else "u"
+                better(ways, to, (cost + 3, letters + "I", (*out, ({"u": "user", "a": "assistant"}[to], ""))))
+        return ways
+
+    for (role, text), wrong in zip(rows, faults, strict=True):
+        ways: dict = {}
+        for state, (cost, letters, out) in filled(best).items():
+            better(ways, state, (cost + 4, letters + "D", out))
+            if wrong in ("blank", "duplicate"):
+                continue
+            more = 3 * (wrong == "truncated")
+            if role and state + role[:1] in ("s", "u", "su", "ua", "au"):
+                better(ways, role[:1], (cost + more, letters + "K", (*out, (role, text))))
+            to = "a" if state == "u" else "u"
+            named = {"u": "user", "a": "assistant"}[to]
+            better(ways, to, (cost + more + 3, letters + "R", (*out, (named, text))))
+        best = ways
+    best = filled(best)
+    cost, letters, out = min(best[s] for s in ("", "a") if s in best)
+    return cost, letters, list(out)
+
+
+def conversation_reports(rows: list[tuple]) -> dict[int, tuple]:
+    """``gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256`` by id."""
+    out = {}
+    for c, of in damaged_conversations(rows).items():
+        turns = {r[1] for r in of} - {None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        said = [(r[2], r[3]) for r in of]
+        faults = row_faults(said)
+        pairs = [a[:1] + b[:1] for (a, _), (b, _) in zip(said, said[1:], strict=False)]
+        cost, audit, left = repaired_conversation(said)
+        text = "\n".join(f"{role}:{text}" for role, text in left)
+        out[c] = (
+            gaps, *(faults.count(x) for x in ("blank", "duplicate", "truncated")),
+            sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, hashlib.sha256(text.encode()).hexdigest(),
+        )
+    return out
