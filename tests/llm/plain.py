@@ -212,3 +212,126 @@ def conversation_reports(rows: list[tuple]) -> dict[int, tuple]:
             sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, hashlib.sha256(text.encode()).hexdigest(),
         )
     return out
+
+
+# --- Templates of a benchmark, by trying every place --------------------------------
+
+NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
+
+
+def template_tokens(text: str | None, punctuation: str, units: set[str]) -> list[tuple[str, str, bool]]:
+    """``word, token, first`` of every word: ``first`` is a capital that may be a name or not."""
+    out, ended, number = [], True, False
+    for raw in WORD.findall(text or ""):
+        core = raw.strip(punctuation)
+        if not core:
+            continue
+        low = core.lower()
+        is_number = bool(re.fullmatch(r"[+-]?[0-9][0-9.,:/]*", core))
+        capital = core[0].isupper() and core[1:2].islower()
+        first = False
+        if is_number:
+            token = NUMBER
+        elif capital and not ended:
+            token = NAME
+        elif number and low in units:
+            token, first = UNIT, capital
+        else:
+            token, first = low, capital
+        out.append((low, token, first))
+        ended, number = raw[-1] in ".!?:", is_number
+    return out
+
+
+def _pattern(values: list) -> list[int]:
+    return [values.index(v) for v in values]
+
+
+def _item_windows(tokens: list[tuple], size: int) -> list[tuple]:
+    """``at, form, key, as_typed`` in every reading of first words."""
+    out = []
+    for at in range(len(tokens) - size + 1):
+        part = tokens[at : at + size]
+        firsts = [k for k, t in enumerate(part) if t[2]]
+        for mask in range(1 << len(firsts)):
+            named = {k for j, k in enumerate(firsts) if mask >> j & 1}
+            form = tuple(NAME if k in named else t[1] for k, t in enumerate(part))
+            out.append((at, form, _window_key(form, part), not named))
+    return out
+
+
+def _window_key(form: tuple, part: list[tuple]) -> tuple:
+    only_slots = all(t in (NUMBER, NAME, UNIT) for t in form)
+    return ("words", *[t[0] for t in part]) if only_slots else form
+
+
+def template_leaks(documents, items, punctuation: str, units: set[str], limits: dict) -> set[tuple]:
+    """``doc_id, item_id`` of every find; ``limits`` are the operator's numbers."""
+    window, literal, short, hits_needed, holders = (
+        limits[k] for k in ("WINDOW", "MIN_LITERAL", "MIN_SHORT", "MIN_HITS", "MAX_HOLDERS")
+    )
+    slots = (NUMBER, NAME, UNIT)
+    known, alike = {}, set()
+    for i, text in sorted((i, t) for i, t in items if i is not None):
+        tokens = template_tokens(text, punctuation, units)
+        if not tokens:
+            continue
+        size = min(window, len(tokens))
+        starts = range(len(tokens) - size + 1)
+        few = any(sum(t[1] not in slots for t in tokens[a : a + size]) < literal for a in starts)
+        values = [t[0] for t in tokens if t[1] in slots]
+        own = tuple(t[0] for t in tokens) if few or len(tokens) < window else None
+        same = (tuple(t[1] for t in tokens), tuple(_pattern(values)), own)
+        if same not in alike:
+            alike.add(same)
+            known[i] = (tokens, size, _item_windows(tokens, size))
+    held = collections.defaultdict(set)
+    for tokens, _, windows in known.values():
+        for _, _, key, _ in windows:
+            held[key].add(tuple(t[1] for t in tokens))
+    searched = {}
+    for i, (tokens, size, windows) in known.items():
+        own = [w for w in windows if len(held[w[2]]) <= holders]
+        rich = sum(w[3] and sum(t not in slots for t in w[1]) >= literal for w in own)
+        typed = sum(w[3] for w in own)
+        if typed:
+            searched[i] = (tokens, size, own, min(rich or typed, hits_needed))
+        else:
+            searched[i] = (tokens, size, windows, sum(w[3] for w in windows))
+    out = set()
+    for doc, text in documents:
+        said = template_tokens(text, punctuation, units)
+        readings = [(True, [t[1] for t in said]), (False, [NAME if t[2] else t[1] for t in said])]
+        sizes = {s for _, s, _, _ in searched.values()}
+        places = collections.defaultdict(set)
+        for plain_reading, form in readings:
+            for size in sizes:
+                for at in range(len(said) - size + 1):
+                    key = _window_key(tuple(form[at : at + size]), said[at : at + size])
+                    places[size, key].add((at, plain_reading))
+        for i, (tokens, size, windows, needed) in searched.items():
+            at_shift = collections.defaultdict(lambda: (set(), set(), set()))
+            for at, form, key, as_typed in windows:
+                for place, plain_reading in places.get((size, key), ()):
+                    hit, sure, typed = at_shift[place - at]
+                    hit.add(at)
+                    if not any(t in slots for t in form):
+                        sure.add(at)
+                    if as_typed and plain_reading:
+                        typed.add(at)
+            for shift, (hit, sure, typed) in at_shift.items():
+                if len(hit) < needed:
+                    continue
+                if len(sure) >= needed:
+                    out.add((doc, i))
+                    continue
+                least = min(len(tokens), short) if len(tokens) < window else literal
+                for found, kinds in ((hit, lambda t: t[1] in slots or t[2]), (typed, lambda t: t[1] in slots)):
+                    inside = {p for a in found for p in range(a, a + size)}
+                    same = sum(said[p + shift][0] == tokens[p][0] for p in inside)
+                    asked = [p for p in sorted(inside) if kinds(tokens[p])]
+                    ours = _pattern([tokens[p][0] for p in asked])
+                    theirs = _pattern([said[p + shift][0] for p in asked])
+                    if len(found) >= needed and same >= least and ours == theirs:
+                        out.add((doc, i))
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import sys
 from pathlib import Path
 
@@ -334,6 +335,82 @@ def test_short_dense_and_named_items(spark):
     assert all(r.contaminated == (r.item_id is not None) for r in got.values())
 
 
+def _template_pairs(documents, benchmark):
+    """The operator's finds, and those of the plain matcher."""
+    found = decontaminate.find(documents, benchmark).select("doc_id", "item_id").distinct()
+    limits = {k: getattr(decontaminate, k) for k in ("WINDOW", "MIN_LITERAL", "MIN_SHORT", "MIN_HITS", "MAX_HOLDERS")}
+    texts = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    items = [tuple(r) for r in benchmark.select("item_id", "text").collect()]
+    want = plain.template_leaks(texts, items, decontaminate._PUNCTUATION, set(decontaminate.UNITS.split()), limits)
+    return {tuple(r) for r in found.collect()}, want
+
+
+def test_templates_against_the_plain_matcher(spark, table):
+    """The table's texts and items, and items asked again with other names and numbers."""
+    rnd = random.Random(5)
+    forms = [
+        "{A} has {n} apples and buys {m} more apples at the market for {n} dollars each. How many has {A}?",
+        "A train leaves at {n} km per hour. {A} waits {m} minutes, then walks {k} km. When does {A} meet {B}?",
+        "what is {n} plus {m}",
+        "Mix {n} kg flour, {m} l water, {k} g salt and 9 g yeast.",
+        "In {A} the year {n} saw {m} days of rain; so did {B}: {k} days!",
+        "{A} and {B} and {C} and {D} and {E}",
+        "{n} {m} {k} {n} {m} {k} {n} {m}",
+    ]
+    names = ["Alice", "Bob", "Carol", "Dora", "Emil", "Frank", "Gina", "Élan"]
+
+    def asked() -> str:
+        given = dict(zip("ABCDE", rnd.sample(names, 5), strict=True))
+        given |= {c: rnd.choice([rnd.randint(2, 9), rnd.randint(10, 999)]) for c in "nmk"}
+        text = rnd.choice(forms).format(**given)
+        words = text.split()
+        if rnd.random() < 0.3:
+            at = rnd.randrange(len(words))
+            words[at : at + rnd.randint(0, 1)] = ["really"]
+        if rnd.random() < 0.2:
+            words = words[: rnd.randint(1, len(words))]
+        text = " ".join(words)
+        return text.lower() if rnd.random() < 0.1 else text
+
+    items = [(r.item_id, r.text) for r in table("benchmark", LARGER).collect()]
+    items += [(1000 + k, asked()) for k in range(40)]
+    texts = [(r.doc_id, r.text) for r in table("documents", LARGER).collect()]
+    texts += [(10_000 + k, " ".join(["so", asked(), "- and then...", asked()])) for k in range(150)]
+    texts += [(20_000 + k, t.upper() if k % 7 == 0 else f"say: {t}") for k, (_, t) in enumerate(items)]
+    found, want = _template_pairs(
+        spark.createDataFrame(texts, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert found == want and len(want) > 300
+
+
+def test_shared_preambles_are_no_leak(spark):
+    """Sixty items of one instruction line: who holds only that line is clean."""
+    line = "Read the text below with care and answer the question"
+    own = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(60)]
+    benchmark = spark.createDataFrame([(k, f"{line} {t}") for k, t in enumerate(own)], "item_id long, text string")
+    texts = [(k, f"{line} about m{k} and more of n{k}") for k in range(50)]
+    texts += [(100 + k, f"{line} {own[k]}") for k in range(3)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontaminate.find(documents, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(100, 0), (101, 1), (102, 2)]
+    judged = {r.doc_id: r.n_items for r in decontaminate.judge(documents, benchmark).filter("contaminated").collect()}
+    assert judged == {100: 1, 101: 1, 102: 1}
+    assert _template_pairs(documents, benchmark)[1] == {(100, 0), (101, 1), (102, 2)}
+
+
+def test_items_of_nothing_but_boilerplate_need_all_of_it(spark):
+    """Twelve items of the same two sentences in other orders hold no window alone."""
+    parts = ["one two three four five six seven eight nine", "ten eleven twelve thirteen fourteen fifteen sixteen seventeen"]
+    ends = [f"end{k}" for k in range(12)]
+    items = [(0, parts[0]), *[(k + 1, f"{parts[0]} {parts[1]} {e}") for k, e in enumerate(ends)]]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(1, f"so {parts[0]} it goes"), (2, "so two three four five six seven eight nine it goes"), (3, f"{parts[0]} {parts[1]} end3")]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    found, want = _template_pairs(documents, benchmark)
+    assert found == want == {(1, 0), (3, 0), (3, 4)}
+
+
 # --- Mixing --------------------------------------------------------------------
 
 

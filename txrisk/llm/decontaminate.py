@@ -23,10 +23,10 @@ WINDOW = 8  # tokens
 MIN_LITERAL = 5  # words of the windows found that are the item's own, at least
 MIN_SHORT = 3  # the same (all, of items with fewer) for items shorter than a window
 MIN_HITS = 3  # windows in line (all, of items with fewer)
+MAX_HOLDERS = 8  # templates that share a window; of more it is boilerplate
 MAX_BROADCAST = 2_000_000  # windows of the benchmark; beyond, windows are shuffled
 
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
-FIRST = "<first>"  # a capital that may be a name or not
 # --- Fixed values: units of measure, as written after a number ---
 UNITS = (
     "mm cm m km in ft mi yd g kg mg lb lbs oz ton tons l ml gal s sec second seconds min minute "
@@ -40,78 +40,93 @@ _PUNCTUATION = ".,;:!?\"'()[]{}|*&%#$<>«»“”„’…-–—"
 _NUMERIC = r"^[+-]?[0-9][0-9.,:/]*$"
 
 
+def _plain(c: Column) -> Column:
+    """Whether it begins with a letter or digit of ASCII."""
+    return ((c >= "a") & (c < "{")) | ((c >= "A") & (c < "[")) | ((c >= "0") & (c < ":"))
+
+
 def cores(text: str = "text") -> Column:
-    """Words without punctuation around them, and whether a word ended a sentence."""
+    """Words without punctuation around them, but for a full stop behind a word that
+    ended a sentence. Trimming takes long, and most words need none."""
+
+    def core(w: Column) -> Column:
+        bare, last = F.btrim(w, F.lit(_PUNCTUATION)), F.substring(w, -1, 1)
+        ended = F.when(last.isin(".", "!", "?", ":") & (bare != ""), ".").otherwise("")
+        return F.when(_plain(w) & _plain(last), w).otherwise(F.concat(bare, ended))
+
     split = F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+")
-    both = F.transform(
-        split,
-        lambda w: F.struct(
-            F.btrim(w, F.lit(_PUNCTUATION)).alias("core"),
-            F.substring(w, -1, 1).isin(".", "!", "?", ":").alias("ends"),
-        ),
-    )
-    return F.filter(both, lambda x: x["core"] != "")
+    return F.filter(F.transform(split, core), lambda c: c != "")
+
+
+def lowered(words: str = "cores") -> Column:
+    """The cores in lower case, without the marks of sentences."""
+    return F.transform(words, lambda c: F.lower(F.when(F.endswith(c, F.lit(".")), F.rtrim(c, F.lit("."))).otherwise(c)))
+
+
+def _numeric(core: Column) -> Column:
+    return (core < ":") & core.rlike(_NUMERIC)  # few words sort before the colon
+
 
+def _capital(core: Column) -> Column:
+    return ((core < "[") | (core > "~")) & core.rlike(r"^\p{Lu}\p{Ll}")
 
-def typed(words: Column) -> Column:
-    """``word, token, named`` of each of :func:`cores`, which must be a column by now: as
-    an expression it would be worked out again for every token. ``token`` is the canonical
-    one; ``named`` is that of a capital at the start of a text or sentence taken for a name."""
-    units = F.array(*[F.lit(u) for u in UNITS.split()])
 
-    def numeric(core: Column) -> Column:
-        return (core < ":") & core.rlike(_NUMERIC)  # few words sort before the colon
+def token_forms(code=lambda token: token) -> tuple[Column, Column]:
+    """From the columns ``cores`` and ``low`` (as expressions they would be worked out
+    again for every token): what ``code`` makes of each canonical token, and the same
+    with every capital taken for a name. A capital at the start of a text or sentence is
+    a word in the first."""
+    units = UNITS.split()
 
     def token(x: Column, i: Column) -> Column:
-        core, last = x["core"], F.get(words, i - 1)
-        capital = ((core < "[") | (core > "~")) & core.rlike(r"^\p{Lu}\p{Ll}")
-        unit = F.coalesce(numeric(last["core"]), F.lit(False))
+        last, low = F.get("cores", i - 1), F.get("low", i)
+        inside = ~F.coalesce(F.endswith(last, F.lit(".")), F.lit(True))
         return (
-            F.when(numeric(core), NUMBER)
-            .when(capital & ~F.coalesce(last["ends"], F.lit(True)), NAME)
-            .when(unit & F.array_contains(units, F.lower(core)), UNIT)
-            .when(capital, FIRST)
-            .otherwise(F.lower(core))
+            F.when(_numeric(x), code(F.lit(NUMBER)))
+            .when(_capital(x) & inside, code(F.lit(NAME)))
+            .when(low.isin(units) & F.coalesce(_numeric(last), F.lit(False)), code(F.lit(UNIT)))
+            .otherwise(code(low))
         )
 
-    def forms(x: Column, kind: Column) -> Column:
-        low = F.lower(x["core"])
-        return F.struct(
-            low.alias("word"),
-            F.when(kind == FIRST, low).otherwise(kind).alias("token"),
-            F.when(kind == FIRST, NAME).otherwise(kind).alias("named"),
-        )
-
-    return F.zip_with(words, F.transform(words, token), forms)
+    named = F.zip_with(
+        "tokens", "cores", lambda t, x: F.when(_capital(x) & ~_numeric(x), code(F.lit(NAME))).otherwise(t)
+    )
+    return F.transform("cores", token), named
 
 
 def _is_slot(token: Column) -> Column:
     return token.isin(NUMBER, NAME, UNIT)
 
 
-def _key(form: Column, words: Column) -> Column:
-    """Hash of a window. One of slots only says nothing by their kinds: there the words count."""
-    only_slots = _is_slot(F.get(form, F.lit(0))) & ~F.exists(form, lambda t: ~_is_slot(t))
-    return F.when(only_slots, F.xxhash64(words)).otherwise(F.xxhash64(form))
+def _key(codes: Column, words: Column) -> Column:
+    """Hash of a window's codes. One of slots only says nothing by their kinds: there the
+    words count."""
+    slot = lambda c: c.isin(*[F.xxhash64(F.lit(s)) for s in (NUMBER, NAME, UNIT)])
+    only_slots = slot(F.get(codes, F.lit(0))) & ~F.exists(codes, lambda c: ~slot(c))
+    return F.when(only_slots, F.xxhash64(words)).otherwise(F.xxhash64(codes))
 
 
 def _windows(sizes: list[int]) -> Column:
-    """``pos, hash, named`` of every window, from 0: its hashes in both forms. ``token``,
-    ``named`` and ``word`` are columns by now, not taken out of pairs for every window."""
+    """``pos, hash, plain`` of every window, from 0, of the columns ``tokens, named, low``:
+    with first words as words, and, where that differs, as names."""
+
+    def part(column: str, i: Column, size: int) -> Column:
+        return F.slice(column, i + 1, F.lit(size))
 
     def windows(size: int) -> Column:
-        def window(i: Column) -> Column:
-            form, named, words = (
-                F.slice(c, i + 1, F.lit(size)) for c in ("token", "named", "word")
-            )
-            return F.struct(
-                i.alias("pos"), _key(form, words).alias("hash"), _key(named, words).alias("named")
+        def window(form: str, plain: bool):
+            return lambda i: F.struct(
+                i.alias("pos"),
+                _key(part(form, i, size), part("low", i, size)).alias("hash"),
+                F.lit(plain).alias("plain"),
             )
 
-        starts = F.sequence(F.lit(0), F.size("token") - size)
-        return F.when(F.size("token") >= size, F.transform(starts, window)).otherwise(none)
+        starts = F.sequence(F.lit(0), F.size("tokens") - size)
+        other = F.filter(starts, lambda i: part("tokens", i, size) != part("named", i, size))
+        both = F.concat(F.transform(starts, window("tokens", True)), F.transform(other, window("named", False)))
+        return F.when(F.size("tokens") >= size, both).otherwise(none)
 
-    none = F.array().cast("array<struct<pos:int,hash:bigint,named:bigint>>")
+    none = F.array().cast("array<struct<pos:int,hash:bigint,plain:boolean>>")
     return F.concat(*map(windows, sizes))
 
 
@@ -131,14 +146,13 @@ def templates(benchmark: DataFrame) -> DataFrame:
 
     ``firsts`` are the places of words that may be names or not.
     """
-    cut = benchmark.filter("item_id IS NOT NULL").select("item_id", cores().alias("words"))
-    told = cut.select("item_id", typed(F.col("words")).alias("typed")).filter(F.size("typed") > 0)
-    size = F.size("typed")
-    rows = told.select(
-        "item_id",
-        *[F.col(f"typed.{c}").alias(n) for c, n in (("token", "tokens"), ("named", "named"), ("word", "words"))],
-        F.least(size, F.lit(WINDOW)).alias("span"),
-    )
+    cut = benchmark.filter("item_id IS NOT NULL").select("item_id", cores().alias("cores"))
+    cut = cut.filter(F.size("cores") > 0).withColumn("low", lowered())
+    token, named = token_forms()
+    rows = cut.withColumn("tokens", token).select(
+        "item_id", "tokens", named.alias("named"), F.col("low").alias("words"),
+        F.least(F.size("cores"), F.lit(WINDOW)).alias("span"),
+    )
     places = F.sequence(F.lit(0), F.size("tokens") - 1)
     rows = rows.withColumn("slots", F.filter(places, lambda i: _is_slot(F.get("tokens", i))))
     rows = rows.withColumn("firsts", F.filter(places, lambda i: F.get("tokens", i) != F.get("named", i)))
@@ -154,8 +168,12 @@ def templates(benchmark: DataFrame) -> DataFrame:
 
 
 def _template_windows(rows: DataFrame) -> DataFrame:
-    """``hash, item_id, at, with_slots, as_typed, needed`` of all windows, in every form: each
-    of a window's first words as a name and not."""
+    """``hash, item_id, at, with_slots, as_typed, needed`` of the windows searched for, in
+    every form: each of a window's first words as a name and not.
+
+    What more than ``MAX_HOLDERS`` templates hold is boilerplate, and no window of theirs;
+    an item that has nothing else needs all its windows in line.
+    """
 
     def bit(j: Column) -> Column:
         return F.pow(F.lit(2.0), j).cast("int")
@@ -178,16 +196,27 @@ def _template_windows(rows: DataFrame) -> DataFrame:
     windows = windows.withColumn("form", form).withColumn("literals", _literals(F.col("form")))
     words = F.slice("words", F.col("at") + 1, F.col("span"))
     kept = windows.select(
-        _key(F.col("form"), words).alias("hash"),
+        _key(F.transform("form", lambda t: F.xxhash64(t)), words).alias("hash"),
         "item_id",
+        F.xxhash64("tokens").alias("template"),
         "at",
         (F.col("literals") < F.col("span")).alias("with_slots"),
         (F.col("mask") == 0).alias("as_typed"),
-        "literals",
+        (F.col("literals") >= MIN_LITERAL).alias("rich"),
     )
-    rich = F.count_if(F.col("as_typed") & (F.col("literals") >= MIN_LITERAL))
-    need = F.least(F.when(rich > 0, rich).otherwise(F.count_if("as_typed")), F.lit(MIN_HITS))
-    return kept.drop("literals").join(kept.groupBy("item_id").agg(need.alias("needed")), "item_id")
+    kept = written(kept, "decontaminate-windows")
+    held = kept.groupBy("hash").agg((F.count_distinct("template") <= MAX_HOLDERS).alias("own"))
+    kept = kept.join(held, "hash")
+    typed = F.col("as_typed")
+    counts = kept.groupBy("item_id").agg(
+        F.count_if(typed).alias("all"),
+        F.count_if(typed & F.col("own")).alias("n_own"),
+        F.count_if(typed & F.col("own") & F.col("rich")).alias("n_rich"),
+    )
+    some = F.least(F.when(F.col("n_rich") > 0, F.col("n_rich")).otherwise(F.col("n_own")), F.lit(MIN_HITS))
+    needed = F.when(F.col("n_own") > 0, some).otherwise(F.col("all"))
+    told = kept.join(counts, "item_id").filter("own OR n_own = 0")
+    return told.select("hash", "item_id", "at", "with_slots", "as_typed", needed.alias("needed"))
 
 
 def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -199,24 +228,26 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     are equal, and enough of the words there are the same; what the document has at
     the item's other places is no matter.
     """
-    rows = templates(benchmark)
-    # The few windows of a benchmark, counted first, go to where the texts are.
-    windows = _template_windows(rows)
-    few = windows.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    sent = F.broadcast(windows) if few else windows
+    rows = written(templates(benchmark), "decontaminate-templates")
+    # The few windows of a benchmark, counted first, go to where the texts are, each with
+    # all that hold it.
+    windows = written(_template_windows(rows), "decontaminate-own")
+    held = windows.groupBy("hash").agg(
+        F.collect_list(F.struct("item_id", "at", "with_slots", "as_typed", "needed")).alias("holders")
+    )
+    sent = F.broadcast(held) if windows.count() <= MAX_BROADCAST else held
     sizes = sorted({WINDOW, *(r["span"] for r in rows.select("span").distinct().collect())})
     texts = documents.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    words = texts.select("doc_id", cores().alias("words"))
-    tokens = words.select("doc_id", typed(F.col("words")).alias("tokens"))
+    words = texts.select("doc_id", cores().alias("cores"))
+    words = words.select("doc_id", "cores", lowered().alias("low"))
+    token, named = token_forms(F.xxhash64)
+    tokens = words.select("*", token.alias("tokens"))
+    tokens = tokens.select("doc_id", "low", "tokens", named.alias("named"))
     # Of an inner generator Spark would first ask, by another run, what it gives.
-    apart = tokens.select("doc_id", "tokens.token", "tokens.named", "tokens.word")
-    seen = apart.select("doc_id", F.inline_outer(_windows(sizes)))
-    plain = F.struct("hash", F.lit(True).alias("plain"))
-    other = F.struct(F.col("named").alias("hash"), F.lit(False).alias("plain"))
-    seen = seen.select("doc_id", "pos", F.inline(F.array(plain, other)), (F.col("named") == F.col("hash")).alias("same"))
-    seen = seen.filter("plain OR NOT same").select("doc_id", "pos", "hash", "plain")
+    seen = tokens.select("doc_id", F.inline_outer(_windows(sizes)))
+    met = seen.join(sent, "hash").select("doc_id", "pos", "plain", F.inline("holders"))
     place = ["doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")]
-    hits = seen.join(sent, "hash").groupBy(*place).agg(
+    hits = met.groupBy(*place).agg(
         F.collect_set(F.when(~F.col("with_slots"), F.col("at"))).alias("literal_at"),
         F.collect_set(F.when(F.col("plain") & F.col("as_typed"), F.col("at"))).alias("typed_at"),
         F.collect_set("at").alias("hit_at"),
@@ -245,8 +276,8 @@ def _checked(found: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
     the windows hit, and how many windows these are. First words count as names
     in one trial, and as what they are in the other."""
     items = rows.select("item_id", "slots", "firsts", "span", F.col("words").alias("ours"))
-    told = found.join(items, "item_id").join(texts.hint("shuffle_merge"), "doc_id")
-    told = told.withColumn("theirs", F.transform(cores(), lambda x: F.lower(x["core"])))
+    told = found.join(items, "item_id").join(texts, "doc_id")
+    told = told.withColumn("cores", cores()).withColumn("theirs", lowered())
     n = F.size("ours")
     least = F.when(n < WINDOW, F.least(n, F.lit(MIN_SHORT))).otherwise(F.lit(MIN_LITERAL))
 
@@ -284,7 +315,7 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     by = found.groupBy("doc_id").agg(
         F.count_distinct("item_id").alias("n_items"), F.max(best).alias("best")
     )
-    return documents.select("doc_id").join(by.hint("shuffle_merge"), "doc_id", "left").select(
+    return documents.select("doc_id").join(by, "doc_id", "left").select(
         "doc_id",
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         (-F.col("best.id")).alias("item_id"),
@@ -296,4 +327,4 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     found = find(documents, benchmark).select("doc_id").distinct()
-    return documents.join(found.hint("shuffle_merge"), "doc_id", "left_anti")
+    return documents.join(found, "doc_id", "left_anti")
