@@ -23,9 +23,11 @@ WINDOW = 8  # tokens
 MIN_LITERAL = 5  # words of the windows found that are the item's own, at least
 MIN_SHORT = 3  # the same (all, of items with fewer) for items shorter than a window
 MIN_HITS = 3  # windows in line (all, of items with fewer)
+RUN = 4  # tokens looked up first
 MAX_HOLDERS = 8  # templates that share a window; of more it is boilerplate
 MAX_BROADCAST = 2_000_000  # windows of the benchmark; beyond, windows are shuffled
 
+FINDS_DDL = "doc_id long, item_id long, shift int, n_hits int, n_slot_hits int, consistent boolean"
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 # --- Fixed values: units of measure, as written after a number ---
 UNITS = (
@@ -36,31 +38,27 @@ UNITS = (
     "gram grams kilogram kilograms liter liters litre litres"
 )
 # ------------------------------------------------------------------
-_PUNCTUATION = ".,;:!?\"'()[]{}|*&%#$<>«»“”„’…-–—"
+_PUNCTUATION = "!\"#$%&'()*,-.:;<>?[]{|}«»" + "".join(map(chr, range(0x2013, 0x2027)))
+_MARK = r"[!-*,-.:;<>?\[\]{|}«»\x{2013}-\x{2026}]"  # the same
+_GAP = r"\x20\x09-\x0D"
+_ENDS = ".!?:"  # of a sentence
 _NUMERIC = r"^[+-]?[0-9][0-9.,:/]*$"
 
 
-def _plain(c: Column) -> Column:
-    """Whether it begins with a letter or digit of ASCII."""
-    return ((c >= "a") & (c < "{")) | ((c >= "A") & (c < "[")) | ((c >= "0") & (c < ":"))
-
-
 def cores(text: str = "text") -> Column:
-    """Words without punctuation around them, but for a full stop behind a word that
-    ended a sentence. Trimming takes long, and most words need none."""
-
-    def core(w: Column) -> Column:
-        bare, last = F.btrim(w, F.lit(_PUNCTUATION)), F.substring(w, -1, 1)
-        ended = F.when(last.isin(".", "!", "?", ":") & (bare != ""), ".").otherwise("")
-        return F.when(_plain(w) & _plain(last), w).otherwise(F.concat(bare, ended))
-
-    split = F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+")
-    return F.filter(F.transform(split, core), lambda c: c != "")
+    """Words without punctuation around them, but for the mark that ended a sentence.
+    A run of marks is looked at once, where it begins, however long."""
+    ahead = rf"{_MARK}(?<![^{_GAP}]{_MARK}){_MARK}*+"
+    behind = rf"{_MARK}(?<!{_MARK}{_MARK}){_MARK}*+(?<=([{_ENDS}])|[^{_ENDS}])(?=[{_GAP}]|\z)"
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), ahead, ""), behind, "$1")
+    bare = F.btrim(bare, F.lit(" \t\n\x0b\x0c\r"))
+    none = F.array().cast("array<string>")
+    return F.when(F.length(bare) > 0, F.split(bare, f"[{_GAP}]+")).otherwise(none)
 
 
 def lowered(words: str = "cores") -> Column:
     """The cores in lower case, without the marks of sentences."""
-    return F.transform(words, lambda c: F.lower(F.when(F.endswith(c, F.lit(".")), F.rtrim(c, F.lit("."))).otherwise(c)))
+    return F.transform(words, lambda c: F.lower(F.rtrim(c, F.lit(_ENDS))))
 
 
 def _numeric(core: Column) -> Column:
@@ -80,17 +78,17 @@ def token_forms(code=lambda token: token) -> tuple[Column, Column]:
 
     def token(x: Column, i: Column) -> Column:
         last, low = F.get("cores", i - 1), F.get("low", i)
-        inside = ~F.coalesce(F.endswith(last, F.lit(".")), F.lit(True))
+        inside = ~F.coalesce(F.substring(last, -1, 1).isin(*_ENDS), F.lit(True))
+        unit = low.isin(units)
         return (
-            F.when(_numeric(x), code(F.lit(NUMBER)))
+            F.when((x >= "a") & (x < "{") & ~unit, code(low))  # most words are that
+            .when(_numeric(low), code(F.lit(NUMBER)))
             .when(_capital(x) & inside, code(F.lit(NAME)))
-            .when(low.isin(units) & F.coalesce(_numeric(last), F.lit(False)), code(F.lit(UNIT)))
+            .when(unit & F.coalesce(_numeric(F.get("low", i - 1)), F.lit(False)), code(F.lit(UNIT)))
             .otherwise(code(low))
         )
 
-    named = F.zip_with(
-        "tokens", "cores", lambda t, x: F.when(_capital(x) & ~_numeric(x), code(F.lit(NAME))).otherwise(t)
-    )
+    named = F.zip_with("tokens", "cores", lambda t, x: F.when(_capital(x), code(F.lit(NAME))).otherwise(t))
     return F.transform("cores", token), named
 
 
@@ -98,36 +96,88 @@ def _is_slot(token: Column) -> Column:
     return token.isin(NUMBER, NAME, UNIT)
 
 
-def _key(codes: Column, words: Column) -> Column:
-    """Hash of a window's codes. One of slots only says nothing by their kinds: there the
-    words count."""
-    slot = lambda c: c.isin(*[F.xxhash64(F.lit(s)) for s in (NUMBER, NAME, UNIT)])
-    only_slots = slot(F.get(codes, F.lit(0))) & ~F.exists(codes, lambda c: ~slot(c))
-    return F.when(only_slots, F.xxhash64(words)).otherwise(F.xxhash64(codes))
+def _slot_code(code: Column) -> Column:
+    return code.isin(*[F.xxhash64(F.lit(s)) for s in (NUMBER, NAME, UNIT)])
+
+
+def _with_code(codes: Column | str, behind: int):
+    return lambda x, i: F.xxhash64(x, F.get(codes, i + behind))
+
+
+def _hashes(runs: Column, run: int, size: int) -> Column:
+    """Of runs of ``run`` codes those of ``size``: two runs that cover it, and the size,
+    since of codes that come again and again other sizes are covered by the same two."""
+    if run == size:
+        return runs
+    return F.transform(runs, lambda x, i: F.xxhash64(F.lit(size), x, F.get(runs, i + size - run)))
+
+
+def _keyed(windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """``hash`` in place of ``codes, part, span``: what :func:`with_windows` gives such a
+    window. One of slots only says nothing by their kinds: there the words count."""
+    rest = [c for c in windows.columns if c not in ("codes", "part", "span")]
+    whole = F.lit(None).cast("long")
+    run = 1
+    for size in sorted(sizes):
+        while 2 * run <= size:
+            last = "codes" if run == 1 else f"codes_{run}"
+            windows = windows.withColumn(f"codes_{2 * run}", F.transform(last, _with_code(last, run)))
+            run *= 2
+        runs = F.col("codes" if run == 1 else f"codes_{run}")
+        first = F.get(runs, F.lit(0))
+        both = first if run == size else F.xxhash64(F.lit(size), first, F.get(runs, F.lit(size - run)))
+        whole = F.when(F.col("span") == size, both).otherwise(whole)
+    only_slots = ~F.exists("codes", lambda c: ~_slot_code(c))
+    key = F.when(only_slots, F.xxhash64("part")).otherwise(whole)
+    return windows.select(key.alias("hash"), *rest)
+
+
+def with_windows(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """``doc_id, pos, hash, plain`` of every window, from 0, of rows ``doc_id, low, tokens,
+    named``: with first words as words, and, where that differs, as names."""
+    parts = []
+    for size in sizes:
+        for form in ("tokens", "named"):
+            # Every step is a column of its own: as one expression it would be worked out
+            # again wherever it is used.
+            run, name = 1, form
+            while 2 * run <= size:
+                texts = texts.withColumn(f"{form}_{2 * run}", F.transform(name, _with_code(name, run)))
+                run, name = 2 * run, f"{form}_{2 * run}"
+            texts = texts.withColumn(f"{form}_of_{size}", _hashes(F.col(name), run, size))
+        parts.append(_windows(size))
+    # Of an inner generator Spark would first ask, by another run, what it gives.
+    return texts.select("doc_id", F.inline_outer(F.concat(*parts)))
 
 
-def _windows(sizes: list[int]) -> Column:
-    """``pos, hash, plain`` of every window, from 0, of the columns ``tokens, named, low``:
-    with first words as words, and, where that differs, as names."""
+def _windows(size: int) -> Column:
+    plain, named = f"tokens_of_{size}", f"named_of_{size}"
+    starts = F.sequence(F.lit(0), F.size("tokens") - size)
 
-    def part(column: str, i: Column, size: int) -> Column:
-        return F.slice(column, i + 1, F.lit(size))
+    def entry(i: Column, hash_: Column, form: Column) -> Column:
+        return F.struct(i.alias("pos"), hash_.alias("hash"), form.alias("plain"))
 
-    def windows(size: int) -> Column:
-        def window(form: str, plain: bool):
-            return lambda i: F.struct(
-                i.alias("pos"),
-                _key(part(form, i, size), part("low", i, size)).alias("hash"),
-                F.lit(plain).alias("plain"),
-            )
+    def of_slots(codes: str, i: Column) -> Column:
+        whole = _slot_code(F.get(codes, i))
+        for k in range(1, size):
+            whole = whole & _slot_code(F.get(codes, i + k))
+        return whole
 
-        starts = F.sequence(F.lit(0), F.size("tokens") - size)
-        other = F.filter(starts, lambda i: part("tokens", i, size) != part("named", i, size))
-        both = F.concat(F.transform(starts, window("tokens", True)), F.transform(other, window("named", False)))
-        return F.when(F.size("tokens") >= size, both).otherwise(none)
+    def part(i: Column) -> Column:
+        return F.xxhash64(F.slice("low", i + 1, F.lit(size)))
 
+    parts = [
+        F.transform(starts, lambda i: entry(i, F.get(plain, i), F.lit(True))),
+        F.transform(
+            F.filter(starts, lambda i: F.get(plain, i) != F.get(named, i)),
+            lambda i: entry(i, F.get(named, i), F.lit(False)),
+        ),
+        F.transform(
+            F.filter(starts, lambda i: of_slots("named", i)), lambda i: entry(i, part(i), of_slots("tokens", i))
+        ),
+    ]
     none = F.array().cast("array<struct<pos:int,hash:bigint,plain:boolean>>")
-    return F.concat(*map(windows, sizes))
+    return F.when(F.size("tokens") >= size, F.concat(*parts)).otherwise(none)
 
 
 def _pattern(values: Column) -> Column:
@@ -193,10 +243,14 @@ def _template_windows(rows: DataFrame) -> DataFrame:
         F.slice("tokens", F.col("at") + 1, F.col("span")),
         lambda t, j: F.when(F.col("mask").bitwiseAND(bit(j)) != 0, NAME).otherwise(t),
     )
-    windows = windows.withColumn("form", form).withColumn("literals", _literals(F.col("form")))
+    windows = windows.withColumn("form", form).withColumns(
+        {"literals": _literals(F.col("form")), "codes": F.transform("form", lambda t: F.xxhash64(t))}
+    )
     words = F.slice("words", F.col("at") + 1, F.col("span"))
     kept = windows.select(
-        _key(F.transform("form", lambda t: F.xxhash64(t)), words).alias("hash"),
+        "codes",
+        words.alias("part"),
+        "span",
         "item_id",
         F.xxhash64("tokens").alias("template"),
         "at",
@@ -204,7 +258,8 @@ def _template_windows(rows: DataFrame) -> DataFrame:
         (F.col("mask") == 0).alias("as_typed"),
         (F.col("literals") >= MIN_LITERAL).alias("rich"),
     )
-    kept = written(kept, "decontaminate-windows")
+    sizes = [r["span"] for r in rows.select("span").distinct().collect()]
+    kept = written(_keyed(kept, sizes), "decontaminate-windows")
     held = kept.groupBy("hash").agg((F.count_distinct("template") <= MAX_HOLDERS).alias("own"))
     kept = kept.join(held, "hash")
     typed = F.col("as_typed")
@@ -219,6 +274,55 @@ def _template_windows(rows: DataFrame) -> DataFrame:
     return told.select("hash", "item_id", "at", "with_slots", "as_typed", needed.alias("needed"))
 
 
+def _short_runs(column: str, at: Column, size: int) -> Column:
+    """Hash of the ``size`` codes from a place on."""
+    return F.xxhash64(*[F.get(column, at + k) for k in range(size)])
+
+
+def _tokens(texts: DataFrame) -> DataFrame:
+    """``doc_id, low, tokens, named``: words in lower case, and the hashes of tokens."""
+    words = texts.select("doc_id", cores().alias("cores"))
+    words = words.select("doc_id", "cores", lowered().alias("low"))
+    token, named = token_forms(F.xxhash64)
+    tokens = words.select("*", token.alias("tokens"))
+    return tokens.select("doc_id", "low", "tokens", named.alias("named"))
+
+
+def _may_hold(tokens: DataFrame, rows: DataFrame, span: int) -> DataFrame:
+    """``doc_id`` of texts that may hold a window of ``span`` tokens or more.
+
+    Any such window has inside it a run of ``size`` tokens that begins at a place
+    divisible by ``step``; so only these are looked up, among all runs of the templates
+    (first words as names and not).
+    """
+    size = min(RUN, span)
+    step = span - size + 1
+    starts = F.sequence(F.lit(0), F.size("tokens") - size)
+    forms = rows.withColumn("at", F.explode(starts))
+    part = F.slice("tokens", F.col("at") + 1, F.lit(size))
+    firsts = F.filter("firsts", lambda p: p.between(F.col("at"), F.col("at") + size - 1))
+    for k in range(size):  # each first word in both readings
+        code = F.get(part, F.lit(k))
+        may = F.array_contains(firsts, F.col("at") + k)
+        forms = forms.withColumn(f"code_{k}", F.when(may, F.array(code, F.lit(NAME))).otherwise(F.array(code)))
+    for k in range(size):
+        forms = forms.withColumn(f"code_{k}", F.explode(f"code_{k}"))
+    known = forms.select(F.xxhash64(*[F.xxhash64(f"code_{k}") for k in range(size)]).alias("hash")).distinct()
+    known = written(known, "decontaminate-runs")
+    sent = F.broadcast(known) if known.count() <= MAX_BROADCAST else known
+    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size("tokens") - size, F.lit(0)), F.lit(step)),
+                      lambda i: i + size <= F.size("tokens"))
+    looked_up = F.flatten(
+        F.transform(
+            places,
+            lambda i: F.array_distinct(F.array(_short_runs("tokens", i, size), _short_runs("named", i, size))),
+        )
+    )
+    # Of an inner generator Spark would first ask, by another run, what it gives.
+    runs = tokens.select("doc_id", F.explode_outer(looked_up).alias("hash"))
+    return runs.join(sent, "hash", "left_semi").select("doc_id").distinct()
+
+
 def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, shift, n_hits, n_slot_hits, consistent`` of every document
     and template with enough windows in line; ``shift`` is how far the document's
@@ -236,15 +340,13 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.collect_list(F.struct("item_id", "at", "with_slots", "as_typed", "needed")).alias("holders")
     )
     sent = F.broadcast(held) if windows.count() <= MAX_BROADCAST else held
-    sizes = sorted({WINDOW, *(r["span"] for r in rows.select("span").distinct().collect())})
+    sizes = sorted(r["span"] for r in rows.select("span").distinct().collect())
     texts = documents.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    words = texts.select("doc_id", cores().alias("cores"))
-    words = words.select("doc_id", "cores", lowered().alias("low"))
-    token, named = token_forms(F.xxhash64)
-    tokens = words.select("*", token.alias("tokens"))
-    tokens = tokens.select("doc_id", "low", "tokens", named.alias("named"))
-    # Of an inner generator Spark would first ask, by another run, what it gives.
-    seen = tokens.select("doc_id", F.inline_outer(_windows(sizes)))
+    if not sizes:
+        return documents.sparkSession.createDataFrame([], FINDS_DDL)
+    ids = written(_may_hold(_tokens(texts), rows, sizes[0]), "decontaminate-may")
+    few = F.broadcast(ids) if ids.count() <= MAX_BROADCAST else ids
+    seen = with_windows(_tokens(texts.join(few, "doc_id", "left_semi")), sizes)
     met = seen.join(sent, "hash").select("doc_id", "pos", "plain", F.inline("holders"))
     place = ["doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")]
     hits = met.groupBy(*place).agg(
