@@ -57,13 +57,20 @@ BROKEN_TEXT = '{"event_id": bad'
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events dealt by id, as a broker deals keyed messages over its partitions."""
     events = pin_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
-    return events.repartition("event_id")
+    return _dealt(events)
+
+
+def _dealt(events: DataFrame) -> DataFrame:
+    """Over as many partitions as the session shuffles into, at every size: without a
+    number adaptive execution would merge a small table's to one, and one core would
+    write and parse all messages."""
+    number = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return events.repartition(number, "event_id")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     reader = pin_utc(spark).readStream.schema(EVENTS_DDL)
-    events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return events.repartition("event_id")
+    return _dealt(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 
 
 def _sql_list(values: Iterable[object]) -> str:

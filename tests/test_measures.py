@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from decimal import ROUND_HALF_UP, Decimal
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -83,6 +83,47 @@ def test_means_are_rounded_once(spark):
     assert money(spark, [-0.01, 0.0])[1] == -0.01
 
 
+def test_means_of_ten_decimals_keep_them_all(spark):
+    assert money(spark, [1.0049999999])[:2] == (1.0, 1.0)
+    assert money(spark, [-1.0049999999])[:2] == (-1.0, -1.0)
+    assert money(spark, [0.0050000001, 0.0049999999])[:2] == (0.01, 0.01)
+
+
+def by_parts(spark, amounts):
+    """Total and mean of parts that are added up in two steps, as kept cells are."""
+    rows = [(k % 3, k % 5, a) for k, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, "k int, l int, amount double")
+    named = lambda parts: [c.alias(n) for n, c in parts.items()]
+    cells = df.groupBy("k", "l").agg(*named(m.money_parts("amount")))
+    cells = cells.unionByName(cells.limit(0))
+    fewer = cells.groupBy("k").agg(*named(m.add_parts()))
+    assert fewer.select(*m.MONEY).dtypes == cells.select(*m.MONEY).dtypes  # can be kept and added to again
+    money_ = m.add_parts()
+    return tuple(fewer.agg(m.money_total(money_).alias("t"), m.money_mean(money_).alias("a")).first())
+
+
+@settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=list(HealthCheck))
+@given(st.integers(0, 10), st.lists(st.integers(-(10**11), 10**11), min_size=1, max_size=25))
+def test_all_places_count_in_one_step_and_in_parts(spark, places, numbers):
+    exact = [Decimal(n).scaleb(-places) for n in numbers]
+    amounts = [float(x) for x in exact]
+    kept = [Decimal(repr(a)).quantize(Decimal(1).scaleb(-10), ROUND_HALF_UP) for a in amounts]
+    want = (half_up(sum(kept)), half_up(sum(kept) / len(kept)))
+    assert money(spark, amounts)[:2] == want
+    assert by_parts(spark, amounts) == want
+
+
+@settings(max_examples=5, deadline=None, phases=[Phase.generate], suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.floats(-9.9e16, 9.9e16), st.floats(-9e25, 9e25)), min_size=1, max_size=40))
+def test_parts_of_large_amounts_never_overflow(spark, amounts):
+    assert repr(by_parts(spark, amounts)) == repr(money(spark, amounts)[:2])
+
+
+def test_many_large_amounts_in_one_cell(spark):
+    amounts = [9.9e16] * 12
+    assert by_parts(spark, amounts) == (12 * 9.9e16, 9.9e16) == money(spark, amounts)[:2]
+
+
 def test_nulls(spark):
     assert money(spark, [None, None]) == (None, None, None)
     assert money(spark, [None, 3.0, 4.0]) == (7.0, 3.5, 4.0)
