@@ -320,3 +320,11 @@ SELECT event_id, customer_id, amount, event_ts FROM newer""",
     "view_refresh": _CUSTOMER,
     "gold_catch_up": _DAILY,
 }
+# The same results by other ways: kept by cells, or in buckets.
+ORACLE |= {
+    "gold_by_cells": ORACLE["daily_kpis"],
+    "merchants_by_cells": ORACLE["merchant_risk_summary"],
+    "customers_by_cells": ORACLE["customer_risk_summary"],
+    "activity_by_cells": ORACLE["customer_risk_distinct"],
+    "activity_in_buckets": ORACLE["customer_risk_distinct"],
+}

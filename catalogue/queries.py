@@ -18,10 +18,11 @@ from txrisk.functions import measures as m
 from txrisk.functions.risk import is_suspicious, risk_score, risk_signals, signal_columns
 from txrisk.functions.scalars import is_cross_border, is_high_amount
 from txrisk.operators.bronze import to_bronze
-from txrisk.operators.merge import newer_rows
+from txrisk.operators.merge import newer_rows, read_buckets, upsert_buckets
 from txrisk.operators.parse import fields, parse_payload, to_typed
 from txrisk.operators.rules import expect_or_drop, rule_counts
 from txrisk.plans import gold
+from txrisk.plans.cells import read_summary
 from txrisk.plans.incremental import (
     activity_of,
     apply_fold,
@@ -34,7 +35,7 @@ from txrisk.plans.tables import TABLES, refresh_view
 from txrisk.session import scratch_path
 from txrisk.sources.messages import encode_messages
 from txrisk.sources.tables import read_table
-from txrisk.streaming.hops import catch_up, export, ingest, keep_fresh, refine
+from txrisk.streaming.hops import catch_up, export, ingest, keep_cells, keep_fresh, refine
 from txrisk.streaming.sinks import append_to, replace_batch_in
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,6 +376,46 @@ def gold_kept_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_table(spark, names["daily_kpis"]))
 
 
+def _by_cells(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary after five growths of the clean table, each with rows of all days."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, path = _table_name("growing"), scratch_path(spark, "growing")
+    checkpoint, root = scratch_path(spark, "cells-checkpoint"), scratch_path(spark, "cells")
+    for step in range(5):
+        _append(silver.filter(F.col("event_id").cast("bigint") % 5 == step), source, path)
+        keep_cells(spark, source, checkpoint, root, [name], interval=None, fold_every=3).awaitTermination()
+    return comparable(read_summary(spark, root, name))
+
+
+def gold_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_cells(spark, sf_dir, "daily_kpis")
+
+
+def merchants_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_cells(spark, sf_dir, "merchant_risk_summary")
+
+
+def customers_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_cells(spark, sf_dir, "customer_risk_summary")
+
+
+def activity_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct countries and categories, too, by cells of each."""
+    return _by_cells(spark, sf_dir, "customer_activity")
+
+
+def activity_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' activity in a table in buckets, of which an upsert writes only those
+    with changed customers: all rows up to the split, then the customers with later ones."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    path = scratch_path(spark, "buckets")
+    upsert_buckets(customer_activity(silver.filter(F.col("event_ts") < SPLIT)), path, "customer_id", 16)
+    newer = silver.filter(F.col("event_ts") >= SPLIT).select("customer_id").distinct()
+    changed = silver.join(newer, "customer_id", "left_semi")
+    upsert_buckets(customer_activity(changed), path, "customer_id", 16)
+    return comparable(read_buckets(spark, path))
+
+
 def gold_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared tables in one go; the daily figures at the end of it."""
     names = {name: _table_name(name) for name in TABLES}
@@ -416,6 +457,11 @@ QUERIES: dict[str, Query] = {
     "export_batches": export_batches,
     "export_appended": export_appended,
     "gold_kept_fresh": gold_kept_fresh,
+    "gold_by_cells": gold_by_cells,
+    "merchants_by_cells": merchants_by_cells,
+    "customers_by_cells": customers_by_cells,
+    "activity_by_cells": activity_by_cells,
+    "activity_in_buckets": activity_in_buckets,
     "view_refresh": view_refresh,
     "gold_catch_up": gold_catch_up,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions.scalars import high_water
@@ -48,3 +48,41 @@ def merge_by_key(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
             for name in target.columns
         ]
     )
+
+
+BUCKET = "_bucket"
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table kept by :func:`upsert_buckets`."""
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def upsert_buckets(changes: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Upsert by key into a table of files that lie in folders by bucket of the key.
+
+    Buckets without a change are neither read nor written: their numbers (at most
+    ``buckets``) become a partition filter, and dynamic overwriting replaces the others
+    only. A change puts its row in place of the key's; rows of null key are added. The
+    number of buckets belongs to the table: give the same each time, such that a bucket
+    is some 100 MB. New files are written beside the old ones and put in their place at
+    the end, bucket by bucket: the same changes given again after a failure mend what
+    it left, but for rows of null key.
+    """
+    spark = changes.sparkSession
+    changes = changes.withColumn(BUCKET, _bucket(key, buckets))
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(where):
+        touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
+        current = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+        merged = merge_by_key(current.select(*changes.columns), changes, key)
+    else:
+        merged = changes
+    dealt = merged.repartition(buckets, BUCKET)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BUCKET).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators.bronze import to_bronze
+from txrisk.plans.cells import FOLD_EVERY, apply_batch
 from txrisk.plans.silver import clean
 from txrisk.plans.tables import TABLES, Table, describe, refresh_views
 from txrisk.schema import CLEAN_INTERVAL, EXPORT_INTERVAL, INGEST_INTERVAL, SOURCE_SYSTEM
@@ -81,6 +82,25 @@ def keep_fresh(
     return export(spark, clean_table, refresh, checkpoint, interval)
 
 
+def keep_cells(
+    spark: SparkSession,
+    clean_table: str,
+    checkpoint: str,
+    root: str,
+    names: list[str] | None = None,
+    interval: str | None = EXPORT_INTERVAL,
+    fold_every: int = FOLD_EVERY,
+) -> StreamingQuery:
+    """Add what is new in the clean table to the summaries' cells under ``root``; read
+    them by :func:`read_summary`. A trigger costs what came in, however much there is.
+    """
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        apply_batch(rows, batch_id, root, names, fold_every)
+
+    return export(pin_utc(spark), clean_table, add, checkpoint, interval)
+
+
 def catch_up(
     spark: SparkSession,
     messages: DataFrame,
