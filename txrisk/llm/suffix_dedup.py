@@ -1,7 +1,8 @@
 """Removal of byte strings that occur earlier in the corpus.
 
 A byte goes if a ``LENGTH``-byte string that covers it also starts earlier. The
-search is that of a difference-cover suffix sort, cut to ``LENGTH``-byte prefixes:
+search takes from a difference-cover suffix sort that positions are sampled, named, and
+compared in order of names; it is a sampled one, and puts no suffixes in order:
 
 * Sampled positions: every ``LENGTH``-byte string has one sampled position inside
   it, and equal strings have it at the same place. (A difference cover modulo 73
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import text as tx
-from txrisk.llm.tables import packed, spare_name, unpacked, written
+from txrisk.llm.tables import free_shuffles, packed, spare_name, unpacked, written
 
 LENGTH = 100  # bytes of a string that counts
 GRAM = 32  # bytes hashed at a position
@@ -298,10 +299,12 @@ def find(documents: DataFrame) -> DataFrame:
     texts = documents.filter("doc_id IS NOT NULL").select("doc_id", "text")
     named = texts.mapInArrow(_names, NAMES_DDL)
     found = written(_sorted(named).mapInArrow(_compared, FOUND_DDL), "suffix-found")
+    free_shuffles(found)
     open_ = _ranges(found.filter("open"))
     strings = packed(texts).join(open_.hint("merge"), "doc_id").mapInArrow(_open_strings, WINDOWS_DDL)
     more = _sorted(strings).mapInArrow(_strings_compared, FOUND_DDL)
     more = written(more, "suffix-strings")
+    free_shuffles(more)
     return _ranges(found.filter("NOT open").unionByName(more))
 
 

@@ -29,6 +29,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Let the files of finished shuffles go now. Spark deletes them once the driver's
+    memory of them is collected, which a driver with little to do puts off for long."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, raw, offsets in tx.pieces(batches):
         data = raw.tobytes()
