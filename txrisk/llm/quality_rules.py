@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from txrisk.llm import text as tx
 
 GRAM, BITS = 4, 16  # bytes in a run, bits of its bucket: the model is 2**BITS numbers
+STEPS = 1 << 24  # of a weight's unit: 2**18 weights of a block add up without rounding
 SMOOTHING = 1.0  # added to every bucket's count
 MIN_RATIO = -0.30  # a document scoring below is rejected
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -54,19 +55,20 @@ def run_counts(documents: DataFrame) -> np.ndarray:
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> np.ndarray:
-    """log(target share / raw share) of each bucket.
+    """log(target share / raw share) of each bucket, in steps of 1 / ``STEPS``, so that
+    sums are exact and a text scores the same wherever it stands in a batch.
 
     Without trusted documents the ratio is 0 everywhere and nothing is rejected
     by it. A document with several labels is trusted if any of them trusts it.
     """
     trusted = labels.filter(F.col("quality") == 1).select("doc_id").distinct()
     raw = run_counts(documents)
-    texts = documents.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
+    texts = documents.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
     target = run_counts(texts)
     if not target.sum():
         return np.zeros(1 << BITS)
     share = lambda c: (c + SMOOTHING) / (c.sum() + SMOOTHING * len(c))
-    return np.log(share(target) / share(raw))
+    return np.rint(np.log(share(target) / share(raw)) * STEPS) / STEPS
 
 
 def _repeated_words(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -104,15 +106,15 @@ def _repeated_lines(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _judge(weights):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = weights.value
+        table = np.rint(weights.value * STEPS)  # whole numbers: sums of a block are exact
         for batch, raw, offsets in tx.pieces(batches):
             starts, ends = tx.words(raw, offsets)
             first = np.searchsorted(starts, offsets)
             repeated = _repeated_words(tx.hashes(raw, starts, ends), first)
             n = batch.num_rows
-            total, runs = np.zeros(n), np.zeros(n, np.int64)
+            total, runs = np.zeros(n, np.int64), np.zeros(n, np.int64)
             for bucket, whose in tx.byte_grams(raw, offsets, GRAM, BITS):
-                total += np.bincount(whose, weights=table[bucket], minlength=n)
+                total += np.bincount(whose, weights=table[bucket], minlength=n).astype(np.int64)
                 runs += np.bincount(whose, minlength=n)
             chars = ((raw & 0xC0) != 0x80) & ~tx.SPACE[raw]
             columns = [
@@ -123,7 +125,7 @@ def _judge(weights):
                 _repeated_lines(raw, offsets),
                 repeated,
                 runs,
-                total / np.maximum(runs, 1),
+                total / (np.maximum(runs, 1) * STEPS),
             ]
             names = [x for x in batch.schema.names if x != "text"]
             names += [x.split()[0] for x in RULES_DDL.split(", ")]
