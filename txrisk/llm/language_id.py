@@ -101,7 +101,8 @@ def fit(documents: DataFrame, usable: Column) -> Model:
 
     The sample takes the documents with letters of lowest hash: ``MAX_PER_LANGUAGE`` of
     each language, ``MAX_SAMPLE`` in all, every language's first before any's second;
-    of more languages than that, one of each. Without any row, the model has no language.
+    of more languages than that, one of each. Of an id with several texts in a language
+    the one of least counts is taken. Without any row, the model has no language.
     """
     rows = documents.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & usable)
     counted = rows.select("text").mapInArrow(_frequencies, "bucket int, n long")
@@ -116,16 +117,17 @@ def fit(documents: DataFrame, usable: Column) -> Model:
     rank = F.xxhash64("doc_id")
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "doc_id"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Different ids, not rows: of a few ids that come again and again none may be lost.
+    sizes = rows.groupBy("lang").agg(F.count_distinct("doc_id").alias("n"))
     sizes = written(sizes, "language-sizes")
     in_all = max(MAX_SAMPLE, sizes.count())
     low = F.pmod(rank, F.lit(1 << 30)) < F.lit(float(1 << 32) * MAX_PER_LANGUAGE) / F.col("n")
-    ids = rows.select("doc_id", "lang").join(F.broadcast(sizes), "lang").filter(low).select("doc_id", "lang")
+    ids = rows.select("doc_id", "lang").join(sizes, "lang").filter(low).select("doc_id", "lang")
     ids = ids.distinct().withColumn("nth", nth)
     ids = ids.filter(F.col("nth") <= MAX_PER_LANGUAGE).orderBy("nth", rank, "lang").limit(in_all).drop("nth")
     texts = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     vectors = texts.mapInArrow(_sampled, "doc_id long, lang string, counts binary")
-    sample = vectors.dropDuplicates(["doc_id", "lang"]).toPandas()
+    sample = vectors.groupBy("doc_id", "lang").agg(F.min("counts").alias("counts")).toPandas()
     sample = sample.sort_values(["lang", "doc_id"], kind="stable")
 
     languages, centroids, reach = [], [np.zeros((0, _SIZE), np.float32)], []

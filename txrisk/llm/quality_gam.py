@@ -247,10 +247,10 @@ def held_out(modulus: int = 5, rest: int = 0) -> Column:
 
 def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_SAMPLE) -> Model | None:
     """A model from at most ``limit`` labelled documents that are not held out; None
-    without any."""
+    without any. Of an id with several texts the one of least features is learned from."""
     sample = documents_of(documents, labelled(labels, "quality", limit, ~held_out()))
     rows = sample.mapInArrow(_sampled, "doc_id long, label double, features binary")
-    rows = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", kind="stable")
+    rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("features").alias("features")).toPandas().sort_values("doc_id", kind="stable")
     if not len(rows):
         return None
     x = np.stack([np.frombuffer(v, np.float64) for v in rows["features"]])

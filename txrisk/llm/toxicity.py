@@ -111,10 +111,11 @@ def _regress(row: np.ndarray, word: np.ndarray, grade: np.ndarray, size: int):
 
 def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_SAMPLE) -> Model:
     """A model from at most ``limit`` labelled documents. Without toxic and other
-    documents among them, nothing is toxic."""
+    documents among them, nothing is toxic. Of an id with several texts the one of least
+    word hashes is learned from."""
     sample = documents_of(documents, labelled(labels, "toxic", limit))
     rows = sample.mapInArrow(_sampled, "doc_id long, label double, words binary")
-    rows = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", kind="stable")
+    rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("words").alias("words")).toPandas().sort_values("doc_id", kind="stable")
     toxic = rows["label"].to_numpy() > 0
     nothing = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([20.0, 21.0]), 0.5)
     if not toxic.any() or toxic.all():
