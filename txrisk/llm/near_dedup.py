@@ -138,13 +138,14 @@ def _compare(size: int, percent: int):
             for k in range(batch.num_rows):
                 sets = []
                 for c in "ab":
-                    if c == "a" and ids[k] == last:
+                    row = batch.column(f"packed_{c}")[k].as_py()
+                    if c == "a" and (ids[k], row) == last:  # an id may have several texts
                         sets.append(known)
                         continue
-                    row = batch.column(f"packed_{c}")[k].as_py()
+                    last = (ids[k], row) if c == "a" else last
                     raw = unpacked(row, batch.column(f"size_{c}")[k].as_py())
                     sets.append(_sets(raw, np.array([0, len(raw)]), size)[0])
-                last, known = ids[k], sets[0]
+                known = sets[0]
                 both = len(np.intersect1d(*sets, assume_unique=True))
                 good.append(100 * both >= percent * (len(sets[0]) + len(sets[1]) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -261,17 +262,17 @@ def _links_across(size: int, percent: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y, main, band, _ in _each_opposed(batches):
             i, j = _likely_across(x, y, main, band, percent)
-            sets: dict[int, np.ndarray] = {}
-            for block, places in ((x, i), (y, j)):
-                for k in np.unique(places):
-                    if int(block.id[k]) not in sets:
-                        row = block.rows[int(k)]
-                        raw = unpacked(row["packed"].as_py(), row["size"].as_py())
-                        sets[int(block.id[k])] = _sets(raw, np.array([0, len(raw)]), size)[0]
+            sets: list[dict[int, np.ndarray]] = [{}, {}]  # by place: an id may have several texts
+            for known, block, places in zip(sets, (x, y), (i, j), strict=True):
+                for k in np.unique(places).tolist():
+                    row = block.rows[k]
+                    raw = unpacked(row["packed"].as_py(), row["size"].as_py())
+                    known[k] = _sets(raw, np.array([0, len(raw)]), size)[0]
             pairs = []
-            for a, b in zip(x.id[i].tolist(), y.id[j].tolist(), strict=True):
-                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            for p, q in zip(i.tolist(), j.tolist(), strict=True):
+                a, b, one, other = int(x.id[p]), int(y.id[q]), sets[0][p], sets[1][q]
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * both >= percent * (len(one) + len(other) - both):
                     pairs.append((min(a, b), max(a, b)))
             if pairs:
                 low, high = zip(*pairs, strict=True)

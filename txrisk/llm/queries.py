@@ -73,7 +73,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache, work = scratch_path(spark, "token-cache"), scratch_path(spark, "token-run")
+    work = scratch_path(spark, "token-run")
+    # Kept between runs: the next one encodes what it has not seen.
+    cache = f"{work.rpartition('/')[0]}/token-counts-{token_counts.version(token_counts.installed())[:16]}"
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), cache, work)
 
 
