@@ -617,6 +617,56 @@ def test_no_rule_is_lost_to_longer_ones(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, url_rules.judge(df, mined, max_sent=1).collect()))
 
 
+# --- Faults of earlier rounds ------------------------------------------------------
+
+
+def test_a_text_scores_alike_wherever_it_stands(spark, table):
+    """Whole numbers are added, so blocks cut at other places change nothing."""
+    documents = table("documents", LARGER)
+    weights = quality_rules.fit(documents, table("labels", LARGER))
+    text = " ".join(r.text or "" for r in documents.limit(250).collect())
+    front = [(k, "other words ahead " * 9000 * k) for k in (1, 2)]
+    scores = set()
+    for rows in ([(0, text)], [*front, (0, text)], [front[1], (0, text)]):
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        scores.add(quality_rules.judge(df, weights).filter("doc_id = 0").first().score)
+    assert len(scores) == 1 and len(text) > 1 << 18
+
+
+def test_a_language_of_few_ids_that_come_often_is_kept(spark):
+    usual = [(k, f"the house and the garden {k} of that one", "en") for k in range(3000)]
+    rare = [(10_000 + k, f"zorgu blint wexo {k} pfuri zorgublint", "xx") for k in range(10)]
+    rows = spark.createDataFrame(usual + rare + [rare[0]] * 20_000, "doc_id long, text string, lang string")
+    model = language_id.fit(rows, F.lit(True))
+    assert set(model.languages) == {"en", "xx"}
+    found = language_id.identify(rows.filter("lang = 'xx'"), model).select("lang_pred").distinct().collect()
+    assert [r.lang_pred for r in found] == ["xx"]
+
+
+def test_every_text_of_an_id_keeps_its_links(spark):
+    one, two = ([f"{c}{k}" for k in range(45)] for c in "ab")
+    rows = [(1, one), (1, two), (2, [*one[:-1], "other"]), (3, [*two[:-1], "other"]), (4, ["apart"] * 9)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    for order in (df, df.orderBy(F.desc("text")).coalesce(1)):
+        got = {(r.doc_id, r.component_id) for r in near_dedup.label(order).collect()}
+        assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_a_second_count_of_tokens_encodes_nothing(spark, monkeypatch):
+    first = sorted(map(tuple, QUERIES["op9_token_counts"](spark, SMALL).collect()))
+
+    def encode(_path):
+        def fails(batches):
+            for batch in batches:
+                assert not batch.num_rows, "encoded again"
+                yield from ()
+
+        return fails
+
+    monkeypatch.setattr(token_counts, "_encode", encode)
+    assert sorted(map(tuple, QUERIES["op9_token_counts"](spark, SMALL).collect())) == first
+
+
 # --- Pipeline and registration -------------------------------------------------
 
 
