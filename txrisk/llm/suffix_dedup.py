@@ -138,6 +138,14 @@ def _spread(doc: np.ndarray, low: np.ndarray) -> np.ndarray:
         return tx.mix(doc.astype(_U) * _U(31) + low.astype(_U)).view(np.int64)
 
 
+def _by_place(ddl: str, parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+    """Rows in order of document and place, not of names, which are all different: so the
+    two columns are much alike from row to row, and the shuffle's files small."""
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.lexsort((columns[3], columns[2]))
+    return _batch(ddl, [c[order] for c in columns])
+
+
 def _passed_on(held: list[list[np.ndarray]]) -> pa.RecordBatch:
     doc, low, span, name, wide = (np.concatenate(x) for x in zip(*held, strict=True))
     wide = (wide & ~_SPAN) | span
@@ -160,7 +168,7 @@ def _passed_on(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         [_spread(doc[open_], low[open_]), low[open_] + span[open_], doc[open_], low[open_], zeros(open_, OPEN)],
         [name[marker], zeros(marker, 0), doc[marker], low[marker], zeros(marker, SEVERAL)],
     ]
-    return _batch(NAMES_DDL, [np.concatenate(x) for x in zip(*rows, strict=True)])
+    return _by_place(NAMES_DDL, rows)
 
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +279,7 @@ def _strings_passed_on(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         [name[start], wide[start], doc[start], low[start], np.full(start.sum(), SINGLE)],
         [_spread(d, a), b, d, a, np.full(len(d), REPEAT)],
     ]
-    return _batch(WINDOWS_DDL, [np.concatenate(x) for x in zip(*columns, strict=True)])
+    return _by_place(WINDOWS_DDL, columns)
 
 
 def _strings_compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
