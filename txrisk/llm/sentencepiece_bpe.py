@@ -14,6 +14,7 @@ number of short units it has seen, and of pairs it has tried.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -72,6 +73,7 @@ class Encoder(dict):
         for piece in words.ids:
             self.found.add_word(piece, len(piece))
         self.found.make_automaton()
+        self._older: dict[str, bytes] = {}
         self._fits: dict[tuple[str, str], bool] = {}
         self._shorter: dict[str, str | None] = {}
         self._edges: dict[str, tuple | None] = {}
@@ -135,14 +137,13 @@ class Encoder(dict):
     def fits(self, left: str, piece: str) -> bool:
         """Whether both stay what they are when merged again, which the symbols at their
         common border tell; ``left`` is empty at the start."""
-        if not left:
-            return self.edges(piece) is not None
         key = (left, piece)
         known = self._fits.get(key)
         if known is None:
             if len(self._fits) >= KEPT_PAIRS:
                 self._fits.clear()
-            known = self._fits[key] = self._stay(left, piece)
+            alone = not left and self.edges(piece) is not None
+            known = self._fits[key] = alone or bool(left and self._stay(left, piece))
         return known
 
     def shorter(self, piece: str) -> str | None:
@@ -163,13 +164,16 @@ class Encoder(dict):
                 longest[start] = length
         failed = bytearray((size >> 3) + 1)
         taken: list[str] = []
+        known, fits = self._fits.get, self.fits
         at, piece = 0, unit[: longest[0]]
         while at < size:
             left = taken[-1] if taken else ""
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and self.fits(left, piece):
-                    break
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    fit = known((left, piece))
+                    if fit if fit is not None else fits(left, piece):
+                        break
                 piece = self.shorter(piece)
             if piece is None:
                 failed[at >> 3] |= 1 << (at & 7)
@@ -184,6 +188,19 @@ class Encoder(dict):
         return taken
 
     def __missing__(self, unit: str) -> bytes:
+        row = self._older.get(unit)
+        return self._kept(unit, self._encoded(unit) if row is None else row)
+
+    def _kept(self, unit: str, row: bytes) -> bytes:
+        """Kept in two generations: units in use outlast those seen once."""
+        if len(unit) <= SHORT:
+            if len(self) >= KEPT_UNITS:
+                self._older = dict(self)
+                self.clear()
+            self[unit] = row
+        return row
+
+    def _encoded(self, unit: str) -> bytes:
         ids: list[int] = []
         for piece in self.pieces(unit):
             known = self.words.ids.get(piece)
@@ -191,12 +208,7 @@ class Encoder(dict):
                 ids.extend(self.words.of_byte[b] for b in piece.encode())
             else:
                 ids.append(known)
-        row = np.array(ids, np.int32).tobytes()
-        if len(unit) <= SHORT:
-            if len(self) >= KEPT_UNITS:
-                self.clear()
-            self[unit] = row
-        return row
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text."""
