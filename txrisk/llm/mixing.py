@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from txrisk.llm.tables import spare_name
 
@@ -193,6 +194,16 @@ def write_shards(documents: DataFrame, path: str) -> None:
     named.write.partitionBy(name).parquet(path)
 
 
+def shards(documents: DataFrame, path: str) -> DataFrame:
+    """The mix itself, written by :func:`write_shards` and read again: the columns of
+    ``documents`` and the shard, a row for each time that a document is taken. Of an
+    empty table, or one without words, no rows."""
+    write_shards(documents, path)
+    name = spare_name("shard", documents.columns)
+    schema = StructType([*documents.schema.fields, StructField(name, IntegerType())])
+    return documents.sparkSession.read.schema(schema).parquet(path)
+
+
 def _tree_sql() -> str:
     """The tree as DuckDB SQL, a CTE per level."""
     out = []
