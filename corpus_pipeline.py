@@ -36,8 +36,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document, and where it puts it."""
-    return mixing.mix(docs)
+    """The documents of the mix, each as often as it is taken, and the shard of each."""
+    return mixing.shards(docs, scratch_path(spark, "pipeline-shards"))
 
 
 STAGES = [
