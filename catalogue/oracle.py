@@ -328,3 +328,14 @@ ORACLE |= {
     "activity_by_cells": ORACLE["customer_risk_distinct"],
     "activity_in_buckets": ORACLE["customer_risk_distinct"],
 }
+# By further ways: touched days, exactly-once export, noted counts, two memories of ids.
+ORACLE |= {
+    "gold_by_touched_days": ORACLE["daily_kpis"],
+    "export_once": ORACLE["export_batches"],
+    "rule_ledger": ORACLE["rule_violation_counts"],
+    "silver_stream_in_tiers": ORACLE["silver_stream_batches"],
+    "stream_state_audit": f"""WITH {_PARSED.replace(*_WITH_FRESH)}, {_IN_TIME}
+SELECT CAST(range AS INTEGER) AS step, event_id
+FROM range(4) JOIN (SELECT event_id, min(step) AS first FROM timed WHERE in_time GROUP BY event_id)
+  ON first <= range""",
+}

@@ -10,8 +10,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from catalogue import feed
 from txrisk.functions import measures as m
@@ -23,6 +25,7 @@ from txrisk.operators.parse import fields, parse_payload, to_typed
 from txrisk.operators.rules import expect_or_drop, rule_counts
 from txrisk.plans import gold
 from txrisk.plans.cells import read_summary
+from txrisk.plans.days import DAY, read_days, with_day
 from txrisk.plans.incremental import (
     activity_of,
     apply_fold,
@@ -35,8 +38,19 @@ from txrisk.plans.tables import TABLES, refresh_view
 from txrisk.session import scratch_path
 from txrisk.sources.messages import encode_messages
 from txrisk.sources.tables import read_table
-from txrisk.streaming.hops import catch_up, export, ingest, keep_cells, keep_fresh, refine
+from txrisk.streaming import once
+from txrisk.streaming.hops import (
+    catch_up,
+    export,
+    ingest,
+    keep_cells,
+    keep_days,
+    keep_fresh,
+    refine,
+)
+from txrisk.streaming.ledger import RuleLedger, rule_totals
 from txrisk.streaming.sinks import append_to, replace_batch_in
+from txrisk.streaming.tiers import read_tiers, refine_in_tiers, remembered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,8 +214,9 @@ def _table_name(name: str) -> str:
     return f"txrisk_{name}_{uuid.uuid4().hex[:12]}"
 
 
-def _append(df: DataFrame, table: str, path: str) -> None:
-    df.write.format("parquet").mode("append").option("path", path).saveAsTable(table)
+def _append(df: DataFrame, table: str, path: str, by: list[str] | None = None) -> None:
+    writer = df.write.format("parquet").mode("append").option("path", path)
+    (writer.partitionBy(*by) if by else writer).saveAsTable(table)
 
 
 def _silver_table(spark: SparkSession, sf_dir: str) -> str:
@@ -302,15 +317,18 @@ def silver_stream_within_watermark(spark: SparkSession, sf_dir: str) -> DataFram
     return comparable(read_table(spark, table))
 
 
-def _refined_in_steps(
-    spark: SparkSession, sf_dir: str, **cleaning: object
-) -> tuple[str, list[int]]:
+def _delivered(
+    spark: SparkSession,
+    sf_dir: str,
+    checkpoint: str | None = None,
+    after: Callable[[int], None] = lambda step: None,
+    **cleaning: object,
+) -> tuple[str, list[StreamingQuery]]:
     """The raw table grows delivery by delivery, and the clean stream is started on
-    its checkpoint again after each: the clean table's name, and how many rows each
-    delivery lost for being late."""
+    its checkpoint again after each: the clean table's name, and the ended runs."""
     raw, out = _table_name("raw"), _table_name("clean")
     raw_path, clean_path = scratch_path(spark, "raw"), scratch_path(spark, "clean")
-    checkpoint, late = scratch_path(spark, "refine-checkpoint"), []
+    checkpoint, runs = checkpoint or scratch_path(spark, "refine-checkpoint"), []
     sent = feed.messages_in_steps(feed.read_events(spark, sf_dir))
     for step in range(feed.STEPS):
         _append(to_bronze(sent.filter(F.col("step") == step).drop("step")), raw, raw_path)
@@ -318,9 +336,18 @@ def _refined_in_steps(
             spark, raw, out, checkpoint, interval=None, sink={"path": clean_path}, **cleaning
         )
         query.awaitTermination()
-        operators = [x for p in query.recentProgress for x in p["stateOperators"]]
-        late.append(sum(x["numRowsDroppedByWatermark"] for x in operators))
-    return out, late
+        runs.append(query)
+        after(step)
+    return out, runs
+
+
+def _refined_in_steps(
+    spark: SparkSession, sf_dir: str, **cleaning: object
+) -> tuple[str, list[int]]:
+    """The clean table's name, and how many rows each delivery lost for being late."""
+    out, runs = _delivered(spark, sf_dir, **cleaning)
+    operators = [[x for p in q.recentProgress for x in p["stateOperators"]] for q in runs]
+    return out, [sum(x["numRowsDroppedByWatermark"] for x in xs) for xs in operators]
 
 
 def silver_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,6 +443,87 @@ def activity_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_buckets(spark, path))
 
 
+def gold_by_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily figures, recomputed after each of three growths of a clean table in
+    folders by day: the first half of the month, the second, and what came late for both."""
+    silver = with_day(read_table(spark, _silver_table(spark, sf_dir)))
+    source, path = _table_name("by_day"), scratch_path(spark, "by-day")
+    checkpoint, out = scratch_path(spark, "days-checkpoint"), scratch_path(spark, "days")
+    late = F.col("event_id").cast("bigint") % 7 == 0
+    early = F.col("event_ts") < SPLIT
+    for part in (silver.filter(~late & early), silver.filter(~late & ~early), silver.filter(late)):
+        _append(part, source, path, [DAY])
+        keep_days(spark, source, checkpoint, out, interval=None).awaitTermination()
+    return comparable(read_days(spark, out))
+
+
+def export_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three micro-batches through an appending connector that fails on the way: in the
+    first it dies with half of the rows delivered, in the second when all are."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, path = _table_name("exported"), scratch_path(spark, "exported")
+    out, checkpoint = scratch_path(spark, "export"), scratch_path(spark, "export-checkpoint")
+    to_target, failures = append_to("parquet", path=out), {0: once.ROW + " % 2 = 0", 1: "true"}
+
+    def deliver(rows: DataFrame, batch_id: int) -> None:
+        delivered = failures.pop(batch_id, None)
+        to_target(rows.filter(delivered) if delivered else rows, batch_id)
+        if delivered:
+            raise ConnectionError("the connection is lost")
+
+    writer = once.append_once(scratch_path(spark, "stage"), deliver, lambda s: s.read.parquet(out))
+    for step in range(3):
+        _append(silver.filter(F.col("event_id").cast("bigint") % 3 == step), source, path)
+        fails = step in failures
+        for _ in range(2 if fails else 1):
+            query = export(spark, source, writer, checkpoint, interval=None)
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                if not fails:
+                    raise
+                fails = False
+    return comparable(spark.read.parquet(out).drop(once.BATCH, once.ROW))
+
+
+def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts noted from the clean stream's progress over four deliveries."""
+    root = scratch_path(spark, "rules")
+    ledger = RuleLedger(spark, root)
+    spark.streams.addListener(ledger)
+    try:
+        for query in _delivered(spark, sf_dir, watch="quality")[1]:
+            ledger.settle(query)
+    finally:
+        spark.streams.removeListener(ledger)
+    return rule_totals(spark, root)
+
+
+def silver_stream_in_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four deliveries, ids remembered in state for the watermark's delay and in a
+    table of ids for ever."""
+    raw, raw_path = _table_name("raw"), scratch_path(spark, "raw")
+    root, checkpoint = scratch_path(spark, "tiers"), scratch_path(spark, "tiers-checkpoint")
+    sent = feed.messages_in_steps(feed.read_events(spark, sf_dir))
+    for step in range(feed.STEPS):
+        _append(to_bronze(sent.filter(F.col("step") == step).drop("step")), raw, raw_path)
+        stream = refine_in_tiers(spark, raw, checkpoint, root, None, buckets=8, fold_every=3)
+        stream.awaitTermination()
+    return comparable(read_tiers(spark, root))
+
+
+def stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids that the clean stream remembers after each delivery, read from its state."""
+    audit, checkpoint = scratch_path(spark, "audit"), scratch_path(spark, "refine-checkpoint")
+
+    def look(step: int) -> None:
+        ids = remembered(spark, checkpoint).withColumn("step", F.lit(step))
+        ids.write.parquet(f"{audit}/{step}")
+
+    _delivered(spark, sf_dir, checkpoint, look)
+    return spark.read.schema("event_id string, step int").parquet(f"{audit}/*")
+
+
 def gold_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared tables in one go; the daily figures at the end of it."""
     names = {name: _table_name(name) for name in TABLES}
@@ -464,4 +572,9 @@ QUERIES: dict[str, Query] = {
     "activity_in_buckets": activity_in_buckets,
     "view_refresh": view_refresh,
     "gold_catch_up": gold_catch_up,
+    "gold_by_touched_days": gold_by_touched_days,
+    "export_once": export_once,
+    "rule_ledger": rule_ledger,
+    "silver_stream_in_tiers": silver_stream_in_tiers,
+    "stream_state_audit": stream_state_audit,
 }

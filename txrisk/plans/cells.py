@@ -25,7 +25,7 @@ from txrisk.functions import measures as m
 from txrisk.functions.scalars import percentage
 from txrisk.plans.gold import summarise
 from txrisk.plans.incremental import CELL, activity_cells, activity_of
-from txrisk.session import delete_folder
+from txrisk.session import complete_folders, delete_folder
 
 FOLD_EVERY = 8  # batches
 
@@ -123,16 +123,7 @@ def _summaries() -> dict[str, Cells]:
 
 def _complete(spark: SparkSession, folder: str) -> dict[str, list[int]]:
     """Numbers of the complete ``batch=N`` and ``base=N`` folders (names only)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: dict[str, list[int]] = {"batch": [], "base": []}
-    if files.exists(path):
-        for status in files.listStatus(path):
-            kind, _, number = status.getPath().getName().partition("=")
-            done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if kind in found and files.exists(done):
-                found[kind].append(int(number))
-    return {kind: sorted(numbers) for kind, numbers in found.items()}
+    return {"batch": [], "base": []} | complete_folders(spark, folder)
 
 
 def applied_folders(spark: SparkSession, folder: str) -> list[str]:

@@ -60,3 +60,22 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that its path names."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def mark_complete(spark: SparkSession, folder: str) -> None:
+    """Write a folder that holds nothing but the mark of being complete."""
+    spark.range(0).write.mode("overwrite").parquet(folder)
+
+
+def complete_folders(spark: SparkSession, folder: str) -> dict[str, list[int]]:
+    """By kind, the numbers of the folders ``kind=N`` that were written to the end,
+    ascending (names only)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {}
+    for status in files.listStatus(path) if files.exists(path) else ():
+        kind, _, number = status.getPath().getName().partition("=")
+        if number.isdigit() and files.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
+            found.setdefault(kind, []).append(int(number))
+    return {kind: sorted(numbers) for kind, numbers in found.items()}

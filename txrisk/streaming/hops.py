@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators.bronze import to_bronze
 from txrisk.plans.cells import FOLD_EVERY, apply_batch
+from txrisk.plans.days import DAY, refresh_days, with_day
 from txrisk.plans.silver import clean
 from txrisk.plans.tables import TABLES, Table, describe, refresh_views
 from txrisk.schema import CLEAN_INTERVAL, EXPORT_INTERVAL, INGEST_INTERVAL, SOURCE_SYSTEM
@@ -40,16 +41,21 @@ def refine(
     interval: str | None = CLEAN_INTERVAL,
     source: dict[str, str] | None = None,
     sink: dict[str, object] | None = None,
+    by_day: bool = False,
     **cleaning: object,
 ) -> StreamingQuery:
-    """Raw table to clean table; ``cleaning`` goes to :func:`clean`.
+    """Raw table to clean table; ``cleaning`` goes to :func:`clean`. ``by_day`` puts its
+    rows in folders by day of event time, with the day as a column.
 
     Sets the session to keep the state of streams on disk.
     """
     use_disk_backed_state(pin_utc(spark))
     raw = read_stream_table(spark, raw_table, **source or {})
     rows = clean(raw, **cleaning)
-    return write_stream_table(rows, clean_table, checkpoint, interval, **sink or {})
+    sink = dict(sink or {})
+    if by_day:
+        rows, sink["partition_by"] = with_day(rows), [DAY]
+    return write_stream_table(rows, clean_table, checkpoint, interval, **sink)
 
 
 def export(
@@ -101,6 +107,23 @@ def keep_cells(
     return export(pin_utc(spark), clean_table, add, checkpoint, interval)
 
 
+def keep_days(
+    spark: SparkSession,
+    clean_table: str,
+    checkpoint: str,
+    path: str,
+    interval: str | None = EXPORT_INTERVAL,
+) -> StreamingQuery:
+    """Recompute the daily figures under ``path`` for the days that are new in the clean
+    table, which lies in folders by day; read them by :func:`read_days`."""
+
+    def refresh(rows: DataFrame, _batch_id: int) -> None:
+        spark.catalog.refreshTable(clean_table)
+        refresh_days(rows, spark.read.table(clean_table), path)
+
+    return export(pin_utc(spark), clean_table, refresh, checkpoint, interval)
+
+
 def catch_up(
     spark: SparkSession,
     messages: DataFrame,
