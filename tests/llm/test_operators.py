@@ -248,6 +248,32 @@ def test_suffix_dedup_inside_and_across(spark, monkeypatch):
     assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
 
 
+def test_suffix_dedup_many_surroundings(spark):
+    """A passage whose ends have more surroundings than a task passes on as blocks, in
+    some tasks but not in all; surroundings alike for a few bytes, and passages of 93 to
+    107 bytes between them."""
+    rng = np.random.default_rng(11)
+    passage = "".join(map(chr, rng.integers(97, 123, 107)))
+    side = lambda: "".join("01"[x] for x in rng.integers(0, 2, rng.integers(0, 40)))
+    own = lambda i: f"<{i}>" * 30
+    rows = [
+        (i, own(i) + side() + passage[rng.integers(0, 8) : 107 - rng.integers(0, 8)] + side() + own(-i))
+        for i in range(1, 500)
+    ]
+    parts = [spark.createDataFrame(x, "doc_id long, text string").coalesce(1) for x in (rows[:20], rows[20:250], rows[250:])]
+    df = parts[0].union(parts[1]).union(parts[2])
+    got = by_id(suffix_dedup.judge(df))
+    want = plain.suffix_spans(rows)
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
+    assert sum(r.n_removed > 0 for r in got.values()) > 300
+    batches = df.select("doc_id", "text").mapInArrow(suffix_dedup._names, suffix_dedup.NAMES_DDL)
+    found = suffix_dedup._sorted(batches).mapInArrow(suffix_dedup._compared, suffix_dedup.FOUND_DDL)
+    ranges = suffix_dedup._ranges(found.filter("open"))
+    blocks = suffix_dedup.packed(df).join(ranges, "doc_id").mapInArrow(suffix_dedup._open_blocks, suffix_dedup.BLOCKS_DDL)
+    kinds = {r.kind for r in blocks.select("kind").distinct().collect()}
+    assert {suffix_dedup.SINGLE, suffix_dedup.STRING, suffix_dedup.MANY} <= kinds
+
+
 def test_suffix_dedup_odd(odd, none):
     got = suffix_dedup.judge(odd).collect()
     assert len(got) == len(ODD)
