@@ -327,11 +327,13 @@ ORACLE |= {
     "customers_by_cells": ORACLE["customer_risk_summary"],
     "activity_by_cells": ORACLE["customer_risk_distinct"],
     "activity_in_buckets": ORACLE["customer_risk_distinct"],
+    "activity_by_bitmaps": ORACLE["customer_risk_distinct"],
 }
 # By further ways: touched days, exactly-once export, noted counts, two memories of ids.
 ORACLE |= {
     "gold_by_touched_days": ORACLE["daily_kpis"],
     "export_once": ORACLE["export_batches"],
+    "silver_in_sized_files": ORACLE["export_batches"],
     "rule_ledger": ORACLE["rule_violation_counts"],
     "silver_stream_in_tiers": ORACLE["silver_stream_batches"],
     "stream_state_audit": f"""WITH {_PARSED.replace(*_WITH_FRESH)}, {_IN_TIME}

@@ -26,6 +26,7 @@ from txrisk.operators.rules import expect_or_drop, rule_counts
 from txrisk.plans import gold
 from txrisk.plans.cells import read_summary
 from txrisk.plans.days import DAY, read_days, with_day
+from txrisk.plans.distinct import read_activity
 from txrisk.plans.incremental import (
     activity_of,
     apply_fold,
@@ -43,9 +44,11 @@ from txrisk.streaming.hops import (
     catch_up,
     export,
     ingest,
+    keep_bitmaps,
     keep_cells,
     keep_days,
     keep_fresh,
+    keep_sized,
     refine,
 )
 from txrisk.streaming.ledger import RuleLedger, rule_totals
@@ -431,6 +434,30 @@ def activity_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_cells(spark, sf_dir, "customer_activity")
 
 
+def activity_by_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct countries and categories by bitmaps of each customer, after five growths."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, path = _table_name("growing"), scratch_path(spark, "growing")
+    checkpoint, root = scratch_path(spark, "bitmaps-checkpoint"), scratch_path(spark, "bitmaps")
+    for step in range(5):
+        _append(silver.filter(F.col("event_id").cast("bigint") % 5 == step), source, path)
+        keep_bitmaps(spark, source, checkpoint, root, interval=None, fold_every=3).awaitTermination()
+    return comparable(read_activity(spark, root))
+
+
+def silver_in_sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table in files of a wanted size, after six growths, each with rows of all
+    days; every second one closes the days that are over, and most rows come late for these."""
+    silver = read_table(spark, _silver_table(spark, sf_dir))
+    source, path = _table_name("growing"), scratch_path(spark, "growing")
+    view, root = _table_name("sized"), scratch_path(spark, "sized")
+    checkpoint = scratch_path(spark, "sized-checkpoint")
+    for step in range(6):
+        _append(silver.filter(F.col("event_id").cast("bigint") % 6 == step), source, path)
+        keep_sized(spark, source, checkpoint, view, root, None, close_every=2).awaitTermination()
+    return comparable(read_table(spark, view).drop(DAY))
+
+
 def activity_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers' activity in a table in buckets, of which an upsert writes only those
     with changed customers: all rows up to the split, then the customers with later ones."""
@@ -570,6 +597,8 @@ QUERIES: dict[str, Query] = {
     "customers_by_cells": customers_by_cells,
     "activity_by_cells": activity_by_cells,
     "activity_in_buckets": activity_in_buckets,
+    "activity_by_bitmaps": activity_by_bitmaps,
+    "silver_in_sized_files": silver_in_sized_files,
     "view_refresh": view_refresh,
     "gold_catch_up": gold_catch_up,
     "gold_by_touched_days": gold_by_touched_days,

@@ -39,10 +39,15 @@ class Cells:
     of_rows: Callable[[DataFrame], DataFrame]
     to_summary: Callable[[DataFrame], DataFrame]
     largest: tuple[str, ...] = field(default=("largest", "newest"))  # the others are sums
+    bitmaps: tuple[str, ...] = ()  # but for these, which are united
 
     def folded(self, cells: DataFrame) -> DataFrame:
-        names = [c for c in cells.columns if c not in self.keys]
-        parts = {c: F.max(c) if c in self.largest else F.sum(c) for c in names}
+        def part(name: str) -> Column:
+            if name in self.bitmaps:
+                return F.bitmap_or_agg(name)
+            return F.max(name) if name in self.largest else F.sum(name)
+
+        parts = {c: part(c) for c in cells.columns if c not in self.keys}
         return summarise(cells, self.keys, parts).select(*cells.columns)
 
 
@@ -155,16 +160,19 @@ def apply_batch(
     One writer at a time, as one stream is. Readers see a batch in a summary whole or
     not at all; summaries follow each other within a batch.
     """
-    spark = rows.sparkSession
     for name, cells in _summaries().items():
-        if names is not None and name not in names:
-            continue
-        folder = f"{root}/{name}"
-        found = _complete(spark, folder)
-        if batch_id not in found["batch"] and not (found["base"] and batch_id <= found["base"][-1]):
-            cells.of_rows(rows).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
-        if len(applied_folders(spark, folder)) > fold_every:
-            _fold(spark, cells, folder)
+        if names is None or name in names:
+            add_cells(rows, batch_id, f"{root}/{name}", cells, fold_every)
+
+
+def add_cells(rows: DataFrame, batch_id: int, folder: str, cells: Cells, fold_every: int = FOLD_EVERY) -> None:
+    """Add a micro-batch to the cells under ``folder``. Given again, it changes nothing."""
+    spark = rows.sparkSession
+    found = _complete(spark, folder)
+    if batch_id not in found["batch"] and not (found["base"] and batch_id <= found["base"][-1]):
+        cells.of_rows(rows).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    if len(applied_folders(spark, folder)) > fold_every:
+        _fold(spark, cells, folder)
 
 
 def _fold(spark: SparkSession, cells: Cells, folder: str) -> None:

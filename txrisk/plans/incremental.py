@@ -50,9 +50,14 @@ def customer_activity(silver: DataFrame) -> DataFrame:
     return activity_of(activity_cells(silver))
 
 
-def activity_of(cells: DataFrame) -> DataFrame:
-    """Per customer, from the cells of :func:`activity_cells`."""
+def activity_of(cells: DataFrame, used: dict[str, Column] | None = None) -> DataFrame:
+    """Per customer, from the cells of :func:`activity_cells`; ``used`` are the distinct
+    counts, where cells hold other things than the values themselves."""
     money = m.add_parts()
+    used = used or {
+        "countries_used": m.distinct("country"),
+        "merchant_categories_used": m.distinct("merchant_category"),
+    }
     return summarise(
         cells,
         [KEY],
@@ -62,8 +67,7 @@ def activity_of(cells: DataFrame) -> DataFrame:
             "avg_amount": m.money_mean(money),
             "max_amount": m.peak("largest"),
             "suspicious_transaction_count": F.sum("suspicious"),
-            "countries_used": m.distinct("country"),
-            "merchant_categories_used": m.distinct("merchant_category"),
+            **used,
             "last_event_ts": m.latest("newest"),
         },
     )

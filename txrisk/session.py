@@ -62,6 +62,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(path) if files.exists(path) else ()
+    return sorted(status.getPath().getName() for status in found)
+
+
 def mark_complete(spark: SparkSession, folder: str) -> None:
     """Write a folder that holds nothing but the mark of being complete."""
     spark.range(0).write.mode("overwrite").parquet(folder)

@@ -6,12 +6,17 @@ Broker -> raw table -> clean table -> outside. Each returns its running
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators.bronze import to_bronze
 from txrisk.plans.cells import FOLD_EVERY, apply_batch
 from txrisk.plans.days import DAY, refresh_days, with_day
+from txrisk.plans.distinct import apply_bitmaps
+from txrisk.plans.files import TARGET_BYTES, add_batch, close_days
 from txrisk.plans.silver import clean
 from txrisk.plans.tables import TABLES, Table, describe, refresh_views
 from txrisk.schema import CLEAN_INTERVAL, EXPORT_INTERVAL, INGEST_INTERVAL, SOURCE_SYSTEM
@@ -124,6 +129,49 @@ def keep_days(
     return export(pin_utc(spark), clean_table, refresh, checkpoint, interval)
 
 
+def keep_bitmaps(
+    spark: SparkSession,
+    clean_table: str,
+    checkpoint: str,
+    root: str,
+    interval: str | None = EXPORT_INTERVAL,
+    fold_every: int = FOLD_EVERY,
+    spread: int = 1,
+) -> StreamingQuery:
+    """Add what is new in the clean table to the customers' bitmaps under ``root``; read
+    them by :func:`read_activity`."""
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        apply_bitmaps(rows, batch_id, root, fold_every, spread)
+
+    return export(pin_utc(spark), clean_table, add, checkpoint, interval)
+
+
+def keep_sized(
+    spark: SparkSession,
+    clean_table: str,
+    checkpoint: str,
+    view: str,
+    root: str,
+    interval: str | None = EXPORT_INTERVAL,
+    close_every: int = FOLD_EVERY,
+    open_days: int = 1,
+    target_bytes: int = TARGET_BYTES,
+) -> StreamingQuery:
+    """Keep the clean table's rows under ``view`` in files of ``target_bytes``: after every
+    ``close_every`` batches, those of days more than ``open_days`` before the newest."""
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        add_batch(rows, batch_id, view, root)
+        if batch_id % close_every == close_every - 1:
+            newest = rows.agg(F.max(F.to_date("event_ts"))).first()[0]
+            if newest is not None:
+                before = newest - timedelta(days=open_days)
+                close_days(spark, view, root, batch_id, before, target_bytes)
+
+    return export(pin_utc(spark), clean_table, add, checkpoint, interval)
+
+
 def catch_up(
     spark: SparkSession,
     messages: DataFrame,
