@@ -7,6 +7,7 @@ import hashlib
 import math
 import re
 import zlib
+from itertools import combinations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -335,3 +336,18 @@ def template_leaks(documents, items, punctuation: str, units: set[str], limits:
                     if len(found) >= needed and same >= least and ours == theirs:
                         out.add((doc, i))
     return out
+
+
+def minimal_url_rules(baskets: list[tuple[set[str], bool]], support: float, confidence: float) -> set[tuple]:
+    """All sets of tokens that mean "blocked" often enough, by trying each subset of each
+    labelled URL's tokens; of these, those that hold no other."""
+    held: dict[frozenset, list[int]] = {}
+    for tokens, blocked in baskets:
+        for size in range(1, len(tokens) + 1):
+            for part in combinations(sorted(tokens), size):
+                seen = held.setdefault(frozenset(part), [0, 0])
+                seen[0] += 1
+                seen[1] += blocked
+    least = math.ceil(support * len(baskets))
+    rules = {part for part, (n, bad) in held.items() if bad >= max(least, 1) and bad / n >= confidence}
+    return {tuple(sorted(r)) for r in rules if not any(other < r for other in rules)}

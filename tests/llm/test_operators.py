@@ -453,6 +453,22 @@ def test_mixing_matches_sql(table):
     assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want.fetchall())
 
 
+def test_tree_halves_the_blocks_of_many_sources(spark):
+    """Ranks by counts of first digits are those of one list of all blocks of a node."""
+    nodes = spark.range(6000).selectExpr(
+        "concat('s', id % 2000) AS source_key", "hex(id % 3) AS block", "CAST(id DIV 3000 AS INT) AS copy",
+        "CAST(id % 2 AS INT) AS shard", "if(id % 5 = 0, md5('tie'), md5(CAST(id AS STRING))) AS draw",
+    )
+    want, by_node = {}, {}
+    for r in nodes.collect():
+        by_node.setdefault(r.shard, []).append((r.draw, r.source_key, r.block, r.copy))
+    for shard, blocks in by_node.items():
+        for at, block in enumerate(sorted(blocks)):
+            want[block] = 2 * shard + (at >= len(blocks) // 2)
+    got = {(r.draw, r.source_key, r.block, r.copy): r.shard for r in mixing._halved(nodes.repartition(5)).collect()}
+    assert got == want and len(got) == 6000
+
+
 def test_mixing_odd(spark, odd, none):
     got = mixing.mix(odd).collect()
     assert len(got) == len(ODD)
@@ -629,6 +645,29 @@ def test_rules_are_mined_and_matched(spark):
     assert got == {k: "block" if k % 8 == 0 else "allow" for k in range(400)}
 
 
+@pytest.mark.parametrize(("support", "confidence"), [(0.002, 0.6), (0.02, 0.4), (0.01, 1.0)])
+def test_minimal_rules_are_those_of_plain_enumeration(spark, table, support, confidence):
+    pages, labels = table("pages", LARGER).select("page_id", "url"), table("labels", LARGER)
+    urls = {r.page_id: r.url for r in pages.collect()}
+    parts = url_rules.with_parts(pages).select("page_id", url_rules.tokens().alias("tokens")).collect()
+    tokens = {r.page_id: set(r.tokens or ()) for r in parts}
+    rated = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in urls and r.quality is not None}
+    want = plain.minimal_url_rules([(tokens[k], q == 0) for k, q in rated.items()], support, confidence)
+    rules = url_rules.minimal_rules(pages, labels, support, confidence)
+    assert {tuple(r.tokens) for r in rules.collect()} == want and rules.count() == len(want)
+
+
+def test_rules_left_by_size(spark):
+    """Rules of one, two and three tokens, none of which holds another."""
+    urls = [("a", 0), ("b.c", 0), ("b", 1), ("c", 1), ("d.e.f", 0), ("d.e", 1), ("e.f", 1), ("d.f", 1), ("a.g", 0)]
+    rows = [(k, f"http://{host}/", q) for k, (host, q) in enumerate(urls * 20)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    got = url_rules.mine(pages, labels, min_support=0.05)
+    hosts = [(set(f"host={x}" for x in host.split(".")), q == 0) for host, q in urls * 20]
+    assert set(got) == plain.minimal_url_rules(hosts, 0.05, 0.6) and {len(r) for r in got} == {1, 2, 3}
+
+
 def test_no_rule_is_lost_to_longer_ones(spark):
     form = "/".join(f"w{k}" for k in range(13))
     pages = [(k, f"https://spam.net/{form}/{k}") for k in range(60)]

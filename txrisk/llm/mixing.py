@@ -88,6 +88,26 @@ def targets(blocks: DataFrame) -> DataFrame:
     )
 
 
+def _halved(nodes: DataFrame) -> DataFrame:
+    """Each node's blocks ranked by ``draw``, the lower half to the left child.
+
+    A node may hold all blocks of very many sources. So they are counted by the
+    draw's first digits (at most 4,096 rows a node), and ranked within those.
+    """
+    digits = F.substring("draw", 1, 3)
+    placed = nodes.withColumn("digits", digits)
+    counts = placed.groupBy("shard", "digits").agg(F.count(F.lit(1)).alias("n"))
+    node = Window.partitionBy("shard")
+    before = node.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.coalesce(F.sum("n").over(before), F.lit(0))
+    counts = counts.select("shard", "digits", lower.alias("lower"), F.sum("n").over(node).alias("all"))
+    order = Window.partitionBy("shard", "digits").orderBy("draw", "source_key", "block", "copy")
+    placed = placed.withColumn("at", F.row_number().over(order)).join(counts, ["shard", "digits"])
+    right = F.col("lower") + F.col("at") > F.expr("`all` DIV 2")
+    child = 2 * F.col("shard") + F.when(right, 1).otherwise(0)
+    return placed.withColumn("shard", child).select(*nodes.columns)
+
+
 def _dealt(plan: DataFrame) -> DataFrame:
     """The shard of every copy of a block that is taken: ``shards`` in order of copies."""
     copies = F.sequence(F.lit(0), F.col("passes") + F.when(F.col("need") > 0, 1).otherwise(0) - 1)
@@ -97,14 +117,8 @@ def _dealt(plan: DataFrame) -> DataFrame:
     )
     name = F.concat_ws(":", F.col("copy").cast("string"), "block", "source_key")
     for level in range(DEPTH):
-        node = Window.partitionBy("shard")
         draw = F.md5(F.concat(F.lit(f"tree{level}:"), name).cast("binary"))
-        at = F.row_number().over(node.orderBy(draw, "source_key", "block", "copy"))
-        half = F.expr("div(n, 2)")
-        nodes = nodes.withColumns({"at": at, "n": F.count(F.lit(1)).over(node)})
-        nodes = nodes.withColumn(
-            "shard", 2 * F.col("shard") + F.when(F.col("at") > half, 1).otherwise(0)
-        ).drop("at", "n")
+        nodes = _halved(nodes.withColumn("draw", draw)).drop("draw")
     pair = F.array_sort(F.collect_list(F.struct("copy", "shard")))
     return nodes.groupBy("source_key", "block").agg(
         F.transform(pair, lambda x: x["shard"]).alias("shards")

@@ -53,7 +53,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    return url_rules.judge(pages, url_rules.mine(pages, _table(spark, sf_dir, "labels")))
+    return url_rules.judge(pages, url_rules.minimal_rules(pages, _table(spark, sf_dir, "labels")))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,15 @@ finds the combinations of tokens that are frequent enough and mean the label
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.llm.tables import written
+
 # --- Fixed values: verdict, host, path ---
 GIVEN = [
     ("allow", "org", "/"),
@@ -59,68 +62,78 @@ def tokens() -> Column:
     return F.filter(found, lambda x: ~x.endswith("="))
 
 
-def mine(
+def minimal_rules(
     pages: DataFrame,
     labels: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-) -> list[tuple[str, ...]]:
-    """The token sets of all rules that hold no other rule's: what holds one decides no
-    page that the other does not. A page's labels are those of its id, and it
-    counts as blocked if any gives quality 0. Without labelled pages: none."""
+) -> DataFrame:
+    """``tokens`` of all rules that hold no other rule's: what holds one decides no page
+    that the other does not. A page's labels are those of its id, and it counts as
+    blocked if any gives quality 0. Without labelled pages: none.
+
+    By size: what is left of one size is minimal, and every longer rule that holds one
+    of it goes. Rules stay in tables; the driver learns their sizes only.
+    """
     rated = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     rated = rated.groupBy(F.col("doc_id").alias("page_id")).agg(F.min("quality").alias("quality"))
     label = F.when(F.col("quality") == 0, F.lit(BLOCK)).otherwise("label=allow")
     basket = F.concat(tokens(), F.array(label)).alias("items")
     urls = with_parts(pages.select("page_id", "url"))
-    baskets = urls.join(rated.hint("merge"), "page_id").select(basket)
+    baskets = urls.join(rated, "page_id").select(basket)
     found = FPGrowth(minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = found.associationRules.filter(F.array_contains("consequent", BLOCK))
-    rows = rules.select(F.array_sort("antecedent").alias("tokens")).orderBy(F.size("tokens"), "tokens")
-    kept: list[tuple[str, ...]] = []
-    filed: dict[str, list[frozenset[str]]] = {}  # by the first token
-    for row in rows.toLocalIterator():
-        have = frozenset(row["tokens"])
-        if not any(r <= have for t in have for r in filed.get(t, ())):
-            kept.append(tuple(row["tokens"]))
-            filed.setdefault(kept[-1][0], []).append(have)
-    return kept
-
-
-def _matcher(rules: list[tuple[str, ...]]):
-    """Inverted index: each rule is filed under its token that fewest rules hold."""
-    held: dict[str, int] = {}
-    for rule in rules:
-        for token in rule:
-            held[token] = held.get(token, 0) + 1
-    index: dict[str, list[frozenset[str]]] = {}
-    for rule in rules:
-        index.setdefault(min(rule, key=lambda t: (held[t], t)), []).append(frozenset(rule))
-    return index
-
-
-def _joined(rows: DataFrame, mined: list[tuple[str, ...]]) -> DataFrame:
+    left = written(rules.select(F.array_sort("antecedent").alias("tokens")), "rules")
+    spark, kept = pages.sparkSession, []
+    while (size := left.agg(F.min(F.size("tokens"))).first()[0]) is not None:
+        kept.append(written(left.filter(F.size("tokens") == size), "minimal-rules"))
+        longer = left.filter(F.size("tokens") > size)
+        holding = holders(longer, filed(kept[-1])).select("tokens").distinct()
+        left = written(longer.join(holding, "tokens", "left_anti"), "rules")
+    none = spark.createDataFrame([], "tokens array<string>")
+    return reduce(DataFrame.unionByName, kept, none)
+
+
+def mine(pages: DataFrame, labels: DataFrame, **limits: float) -> list[tuple[str, ...]]:
+    """The rules of :func:`minimal_rules` as a list, for callers who know it to be short."""
+    found = minimal_rules(pages, labels, **limits).collect()
+    return sorted((tuple(r["tokens"]) for r in found), key=lambda t: (len(t), t))
+
+
+def filed(rules: DataFrame) -> DataFrame:
+    """Inverted index ``token, needs``: each rule under its token that fewest rules hold."""
+    each = rules.select(F.col("tokens").alias("needs"), F.explode("tokens").alias("token"))
+    held = each.groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+    rarest = F.min(F.struct("held", "token"))["token"].alias("token")
+    return each.join(held, "token").groupBy("needs").agg(rarest).select("token", "needs")
+
+
+def holders(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``tokens, needs`` for each list of tokens and each rule that it holds."""
+    own = rows.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token"))
+    near = own.join(index, "token").filter(F.size(F.array_except("needs", "tokens")) == 0)
+    return near.select("tokens", "needs")
+
+
+def _joined(rows: DataFrame, index: DataFrame) -> DataFrame:
     """The verdicts of :func:`judge` by a join of the URLs' tokens with the rules' rarest."""
-    filed = [(t, sorted(r)) for t, rules in _matcher(mined).items() for r in rules]
-    rules = rows.sparkSession.createDataFrame(filed, "token string, needs array<string>")
-    urls = rows.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token"))
-    fitting = urls.join(rules.hint("merge"), "token").filter(F.size(F.array_except("needs", "tokens")) == 0)
-    best = fitting.groupBy("tokens").agg(F.min(F.array_join("needs", " ")).alias("mined_rule"))
+    best = holders(rows, index).groupBy("tokens").agg(F.min(F.array_join("needs", " ")).alias("mined_rule"))
     verdict = F.coalesce("given", F.when(F.col("mined_rule").isNotNull(), "block").otherwise("allow"))
-    return rows.join(best.hint("merge"), "tokens", "left").select(
+    return rows.join(best, "tokens", "left").select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"), "mined_rule"
     )
 
 
 def judge(
     pages: DataFrame,
-    mined: list[tuple[str, ...]],
+    mined: DataFrame | list[tuple[str, ...]],
     given: list[tuple[str, str, str]] = GIVEN,
     max_sent: int = MAX_RULES,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, mined_rule``, a row per row.
 
-    A given rule decides where one fits. Otherwise a mined rule blocks, and what
+    ``mined`` are the rules of :func:`minimal_rules` or :func:`mine`. A given rule decides
+    where one fits. Otherwise a mined rule blocks, and what
     none fits is allowed, such as a null url. Repeated rows are judged alike; null
     ids are carried through; other columns are left behind. Tasks are sent up to
     ``max_sent`` rules; more are joined.
@@ -130,9 +143,16 @@ def judge(
         "page_id", "host", "path", name.alias("rule"), verdict.alias("given"), tokens().alias("tokens")
     )
 
-    if len(mined) > max_sent:
-        return _joined(rows, mined)
-    sent = pages.sparkSession.sparkContext.broadcast(_matcher(mined))
+    spark = pages.sparkSession
+    if isinstance(mined, list):
+        mined = spark.createDataFrame([(list(rule),) for rule in mined], "tokens array<string>")
+    rules = written(filed(mined), "filed-rules")
+    if rules.count() > max_sent:
+        return _joined(rows, rules)
+    by_token: dict[str, list[frozenset[str]]] = {}
+    for token, needs in rules.collect():
+        by_token.setdefault(token, []).append(frozenset(needs))
+    sent = spark.sparkContext.broadcast(by_token)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
