@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from txrisk.llm.tables import spare_name
+from txrisk.llm.tables import spare_name, written
 
 # --- Fixed values of the mix ---
 WEIGHTS = (3, 1, 2)  # of sources in order, repeating
@@ -92,9 +92,10 @@ def _halved(nodes: DataFrame) -> DataFrame:
     """Each node's blocks ranked by ``draw``, the lower half to the left child.
 
     A node may hold all blocks of very many sources. So they are counted by the
-    draw's first digits (at most 4,096 rows a node), and ranked within those.
+    draw's first digits (256 rows a node), and ranked within those. ``nodes`` is
+    used twice: give a written table.
     """
-    digits = F.substring("draw", 1, 3)
+    digits = F.substring("draw", 1, 2)
     placed = nodes.withColumn("digits", digits)
     counts = placed.groupBy("shard", "digits").agg(F.count(F.lit(1)).alias("n"))
     node = Window.partitionBy("shard")
@@ -118,7 +119,7 @@ def _dealt(plan: DataFrame) -> DataFrame:
     name = F.concat_ws(":", F.col("copy").cast("string"), "block", "source_key")
     for level in range(DEPTH):
         draw = F.md5(F.concat(F.lit(f"tree{level}:"), name).cast("binary"))
-        nodes = _halved(nodes.withColumn("draw", draw)).drop("draw")
+        nodes = _halved(written(nodes.withColumn("draw", draw), "nodes")).drop("draw")
     pair = F.array_sort(F.collect_list(F.struct("copy", "shard")))
     return nodes.groupBy("source_key", "block").agg(
         F.transform(pair, lambda x: x["shard"]).alias("shards")
@@ -142,13 +143,14 @@ def plan_blocks(measured: DataFrame) -> DataFrame:
     earlier = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1))
     need = F.least(F.col("words").cast("double"), rest - F.coalesce(earlier, F.lit(0)))
     planned = planned.withColumn("need", F.greatest(need, F.lit(0.0))).drop("source")
+    planned = written(planned, "quotas")
     return planned.join(_dealt(planned), ["source_key", "block"], "left")
 
 
 def _drawn(documents: DataFrame) -> DataFrame:
     """Each document's ``source_key`` and ``rank``, and the columns of :func:`mix`,
     ``shards`` as a list."""
-    measured = _measured(documents)
+    measured = written(_measured(documents), "sizes")
     rows = measured.join(plan_blocks(measured), ["source_key", "block"])
     order = Window.partitionBy("source_key", "block").orderBy("rank", "doc_id")
     earlier = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
