@@ -7,10 +7,11 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from txrisk.operators.dedup import first_arrivals_stream
-from txrisk.session import complete_folders
+from txrisk.session import complete_folders, use_disk_backed_state
 from txrisk.sources.tables import read_stream_table
 from txrisk.streaming.tiers import BUCKETS, apply_tier, read_tiers, remembered, unknown
 
+IDS_IN_TIME = ["CAST(id AS STRING) AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, id) AS event_ts"]
 DDL = "event_id string, event_ts timestamp, n int"
 
 
@@ -52,6 +53,26 @@ def test_eight_deliveries_as_if_remembered_for_ever(spark, table, tmp_path):
     assert complete_folders(spark, root)["folded"][0] >= 5
 
 
+def test_a_stream_run_once_leaves_no_changes_to_replay(spark, table, tmp_path):
+    """It uploads its state, and goes on from the changes that a running one uploaded."""
+    checkpoint = f"{tmp_path}/checkpoint"
+
+    def deliver(first: int, last: int, once: bool):
+        rows = spark.range(first, last).selectExpr(*IDS_IN_TIME)
+        rows.write.format("parquet").mode("append").option("path", f"{tmp_path}/in").saveAsTable(table)
+        use_disk_backed_state(spark, once)
+        stream = first_arrivals_stream(read_stream_table(spark, table))
+        writer = stream.writeStream.option("checkpointLocation", checkpoint).format("noop")
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return {p.name for p in Path(checkpoint).glob("state/**/*.changelog")}
+
+    changes = deliver(0, 20, once=False)
+    assert changes
+    assert deliver(10, 40, once=True) == changes
+    assert list(Path(checkpoint).glob("state/**/*.zip"))
+    assert remembered(spark, checkpoint).count() == 40
+
+
 def ids(spark, first: int, last: int):
     return spark.range(first, last).selectExpr("CAST(id AS STRING) AS event_id", "CAST(NULL AS TIMESTAMP) AS event_ts", "0 AS n")
 

@@ -16,20 +16,25 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def use_disk_backed_state(spark: SparkSession) -> SparkSession:
+def use_disk_backed_state(spark: SparkSession, once: bool = False) -> SparkSession:
     """Keep streaming state in RocksDB and upload only its changes per batch.
 
     Duplicates are remembered for ever by default, so state outgrows executor
     heaps; the default in-memory store would not hold it. Rows in it are not
     counted, which would cost a look-up per update; its size shows in the store's
     file metrics. Takes effect for streams started afterwards.
+
+    Spark makes files of the state itself from time to time, beside a running stream.
+    One that catches up ``once`` and ends has none made, and all changes since its first
+    start would be replayed by the next one and by whoever reads its state. So it uploads
+    the state's new files with every batch instead. Either goes on from the other.
     """
     store = "spark.sql.streaming.stateStore"
     settings = {
         f"{store}.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
-        f"{store}.rocksdb.changelogCheckpointing.enabled": "true",
+        f"{store}.rocksdb.changelogCheckpointing.enabled": "false" if once else "true",
         f"{store}.rocksdb.trackTotalNumberOfRows": "false",
     }
     for key, value in settings.items():

@@ -54,7 +54,7 @@ def refine(
 
     Sets the session to keep the state of streams on disk.
     """
-    use_disk_backed_state(pin_utc(spark))
+    use_disk_backed_state(pin_utc(spark), once=interval is None)
     raw = read_stream_table(spark, raw_table, **source or {})
     rows = clean(raw, **cleaning)
     sink = dict(sink or {})
@@ -185,7 +185,7 @@ def catch_up(
     checkpoints and for the files of the tables; ``names`` gives declared tables
     other names.
     """
-    use_disk_backed_state(pin_utc(spark))
+    use_disk_backed_state(pin_utc(spark), once=True)
     called = {name: name for name in tables} | (names or {})
     for name, spec in tables.items():
         if spec.kind == "stream":

@@ -100,7 +100,7 @@ def refine_in_tiers(
 ) -> StreamingQuery:
     """Raw table to clean rows under ``root``, each id once for ever; read them by
     :func:`read_tiers`. Rules go first, so ids are never null."""
-    use_disk_backed_state(pin_utc(spark))
+    use_disk_backed_state(pin_utc(spark), once=interval is None)
     raw = read_stream_table(spark, raw_table, **source or {})
     rows = clean(raw, delay=delay, retention="within_watermark")
 
