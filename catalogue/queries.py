@@ -228,6 +228,16 @@ def _silver_table(spark: SparkSession, sf_dir: str) -> str:
     return table
 
 
+def _silver_in_growths(spark: SparkSession, sf_dir: str, number: int) -> list[DataFrame]:
+    """The clean table dealt by id into growths, each in a folder of its own: taking one
+    does not read the others."""
+    table, growth = _table_name("clean"), F.col("event_id").cast("bigint") % number
+    silver = _silver(spark, sf_dir).withColumn("growth", growth)
+    _append(silver, table, scratch_path(spark, "clean"), ["growth"])
+    dealt = read_table(spark, table)
+    return [dealt.filter(F.col("growth") == n).drop("growth") for n in range(number)]
+
+
 def _before_split(silver: DataFrame) -> DataFrame:
     return increment(silver.filter(F.col("event_ts") < SPLIT), None)
 
@@ -448,12 +458,11 @@ def activity_by_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_in_sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table in files of a wanted size, after six growths, each with rows of all
     days; every second one closes the days that are over, and most rows come late for these."""
-    silver = read_table(spark, _silver_table(spark, sf_dir))
     source, path = _table_name("growing"), scratch_path(spark, "growing")
     view, root = _table_name("sized"), scratch_path(spark, "sized")
     checkpoint = scratch_path(spark, "sized-checkpoint")
-    for step in range(6):
-        _append(silver.filter(F.col("event_id").cast("bigint") % 6 == step), source, path)
+    for growth in _silver_in_growths(spark, sf_dir, 6):
+        _append(growth, source, path)
         keep_sized(spark, source, checkpoint, view, root, None, close_every=2).awaitTermination()
     return comparable(read_table(spark, view).drop(DAY))
 
