@@ -119,6 +119,15 @@ def test_quality_rules(table, rows):
     assert kept.columns == documents.columns
 
 
+def test_trusted_texts_are_found_by_one_plan(table, monkeypatch):
+    plans = []
+    counted = quality_rules.run_counts
+    keep = lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or counted(d)
+    monkeypatch.setattr(quality_rules, "run_counts", keep)
+    quality_rules.fit(table("documents"), table("labels"))
+    assert "SortMergeJoin" in plans[1] and "BroadcastHashJoin" not in plans[1]
+
+
 def test_ratio_is_that_of_the_shares(table):
     documents, labels = table("documents"), table("labels")
     weights = quality_rules.fit(documents, labels)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from txrisk.llm import text as tx
 
 GRAM, BITS = 4, 16  # bytes in a run, bits of its bucket: the model is 2**BITS numbers
-STEPS = 1 << 24  # of a weight's unit: 2**18 weights of a block add up without rounding
+STEPS = 1 << 27  # of a weight's unit: 2**18 weights of a block add up without rounding
 SMOOTHING = 1.0  # added to every bucket's count
 MIN_RATIO = -0.30  # a document scoring below is rejected
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -63,7 +63,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> np.ndarray:
     """
     trusted = labels.filter(F.col("quality") == 1).select("doc_id").distinct()
     raw = run_counts(documents)
-    texts = documents.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
+    # One plan at every size: a broadcast of the ids would be swapped for this as they grow.
+    texts = documents.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
     target = run_counts(texts)
     if not target.sum():
         return np.zeros(1 << BITS)
