@@ -55,22 +55,20 @@ BROKEN_TEXT = '{"event_id": bad'
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events dealt by id, as a broker deals keyed messages over its partitions."""
-    events = pin_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
-    return _dealt(events)
-
-
-def _dealt(events: DataFrame) -> DataFrame:
-    """Over as many partitions as the session shuffles into, at every size: without a
-    number adaptive execution would merge a small table's to one, and one core would
-    write and parse all messages."""
-    number = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return events.repartition(number, "event_id")
+    return pin_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     reader = pin_utc(spark).readStream.schema(EVENTS_DDL)
-    return _dealt(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def _dealt(copies: DataFrame) -> DataFrame:
+    """By event id, as a broker deals keyed messages over its partitions, and over as many
+    as the session shuffles into, at every size: without a number adaptive execution would
+    merge a small table's to one, and one core would write and parse all messages."""
+    number = int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return copies.repartition(number, "event_id")
 
 
 def _sql_list(values: Iterable[object]) -> str:
@@ -118,9 +116,9 @@ def transactions(events: DataFrame) -> DataFrame:
     """One transaction per message, with ``event_ts`` still a timestamp and a
     ``copy`` column telling which message of its event it is.
 
-    ``props`` is read behind the copies: a filter on them or on their delivery passes
-    below, and only messages that are wanted are made."""
-    copies = events.selectExpr("*", _COPIES).filter("copy IS NOT NULL")
+    Copies are dealt, and ``props`` read, behind their making: a filter on them or on their
+    delivery passes below, and only messages that are wanted are moved and made."""
+    copies = _dealt(events.selectExpr("*", _COPIES).filter("copy IS NOT NULL"))
     keyed = copies.selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
     plain = keyed.selectExpr(*_TRANSACTION.split(";"))
     return hide_unless_remote(plain, "device_id", "ip_address")

@@ -43,6 +43,17 @@ def test_props_are_read_for_wanted_messages_alone(spark):
     assert "lambda" not in plan
 
 
+def test_only_wanted_messages_are_dealt(spark, tmp_path):
+    """The delivery is chosen below the shuffle, which deals it by id over all partitions."""
+    _events(spark, range(400)).write.parquet(f"{tmp_path}/events.parquet")
+    sent = feed.messages_in_steps(feed.read_events(spark, str(tmp_path)))
+    wanted = sent.filter(F.col("step") == 2)
+    plan = _plan(wanted)
+    assert plan.count("Exchange") == 1
+    assert plan.index("Exchange hashpartitioning(event_id") < plan.index("Filter") < plan.index("Generate")
+    assert wanted.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_steps_hold_every_message_once(spark):
     events = _events(spark, range(400))
     sent = feed.messages_in_steps(events).drop("step")
