@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from txrisk.operators.dedup import first_arrivals_stream
@@ -93,6 +94,19 @@ def test_a_batch_handed_over_again_changes_nothing(spark, tmp_path):
     assert rows.count() == rows.distinct().count() == 80
 
 
+def test_a_batch_is_taken_once_and_written_once(spark, tmp_path):
+    """Its rows lie nowhere else on the way, and a stream's state is run even for a batch
+    that is there already."""
+    root = str(tmp_path / "tiers")
+    for n, first in ((0, 0), (1, 10), (1, 10)):
+        taken = Observation()
+        rows = ids(spark, first, first + 20).observe(taken, F.count(F.lit(1)).alias("rows"))
+        apply_tier(rows, n, root, 4, 8)
+        assert taken.get["rows"] == 20
+    assert {p.name for p in Path(root).iterdir()} == {"rows"}
+    assert sorted(int(r.event_id) for r in read_tiers(spark, root).collect()) == list(range(30))
+
+
 def test_a_failure_between_ids_and_their_mark(spark, tmp_path, monkeypatch):
     """The ids are there, the mark is not: they are added again, and no row is lost."""
     root = str(tmp_path / "tiers")

@@ -63,16 +63,17 @@ def apply_tier(
     """Keep the rows of a micro-batch that no earlier batch brought, under its id.
 
     Rows are taken once, since each pass over a stateful stream's batch runs its
-    state. Given again, a complete batch stays as it is. An append of ids that failed
+    state: they go through the joins into their folder in one job. Given again, a complete
+    batch stays as it is, and its state is run alone. An append of ids that failed
     half-way is done again; an id that is there twice does no harm.
     """
     spark = rows.sparkSession
-    arrived, kept = f"{root}/arrived", f"{root}/rows"
-    rows.write.mode("overwrite").parquet(arrived)
+    kept = f"{root}/rows"
     done = complete_folders(spark, kept).get("batch", [])
-    if batch_id not in done:
-        seen = spark.read.schema(rows.schema).parquet(arrived)
-        new = unknown(seen, root, batch_id, buckets).select(*rows.columns)
+    if batch_id in done:
+        rows.write.format("noop").mode("overwrite").save()
+    else:
+        new = unknown(rows, root, batch_id, buckets).select(*rows.columns)
         new.write.mode("overwrite").parquet(f"{kept}/batch={batch_id}")
         done = sorted({*done, batch_id})
     folded = complete_folders(spark, root).get("folded", [])
