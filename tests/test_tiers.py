@@ -156,6 +156,22 @@ def test_ids_of_the_table_are_not_moved(spark, tmp_path):
     assert "ReadSchema: struct<event_id:string>" in plan
 
 
+def test_ids_of_the_table_stay_whatever_the_batch_comes_in(spark, tmp_path):
+    """Rows that come in more partitions than there are buckets, as a stream's may."""
+    root = str(tmp_path / "tiers")
+    apply_tier(ids(spark, 0, 200), 0, root, 4, 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = unknown(ids(spark, 100, 300).repartition(16, "event_id"), root, 1, 4)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert new.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plan
+
+
 def test_folding_writes_what_is_new_only(spark, tmp_path):
     root = str(tmp_path / "tiers")
     for n in range(2):

@@ -50,7 +50,8 @@ def unknown(rows: DataFrame, root: str, before: int, buckets: int = BUCKETS) ->
     folded = complete_folders(spark, root).get("folded", [])
     last = folded[-1] if folded else -1
     recent = [n for n in complete_folders(spark, f"{root}/rows").get("batch", []) if last < n < before]
-    if folded:
+    if folded:  # dealt to the buckets, however a stream's state has dealt them
+        rows = rows.repartition(buckets, KEY)
         rows = rows.join(spark.read.table(_id_table(spark, root, buckets)), KEY, "left_anti")
     if recent:
         rows = rows.join(_rows_of(spark, root, recent, rows.schema).select(KEY), KEY, "left_anti")
